@@ -79,6 +79,18 @@ def character_counts(words: DataFrame) -> DataFrame:
     return chars.groupBy("ch").agg(F.sum("cnt").alias("cnt"))
 
 
+def affixed_characters(words: DataFrame, alphabet: Sequence[str], prefix: str, suffix: str) -> list[str]:
+    """The characters of the alphabet with the affixes of the positions they occur at."""
+    chars = F.split("word", "")
+    last = F.size(chars) - 1
+    forms = words.select(
+        F.explode(F.transform(chars, lambda c, i: F.struct((i > 0).alias("inner"), (i == last).alias("last"), c.alias("ch")))).alias("f")
+    ).select("f.*").distinct()
+    known = set(alphabet)
+    rows = sorted((r["inner"], r["last"], r["ch"]) for r in forms.collect() if r["ch"] in known)
+    return [(prefix if inner else "") + c + (suffix if last else "") for inner, last, c in rows]
+
+
 def symbol_char(number: int) -> str:
     """The character that stands for a symbol; the order of characters is the order of numbers."""
     point = number + 1
@@ -113,11 +125,11 @@ class Symbols:
 
     def write(self, word: Column, alphabet: Sequence[str], dropped: Sequence[str] = ()) -> Column:
         """The word in symbol characters, without the dropped characters."""
-        known = "".join([*alphabet, *dropped])
 
         def part(text: Column, first: bool, last: bool) -> Column:
-            names = [(("" if first else self.prefix) + c + (self.suffix if last else "")) for c in alphabet]
-            return F.translate(text, known, "".join(symbol_char(self.numbers[n]) for n in names))
+            names = {c: ("" if first else self.prefix) + c + (self.suffix if last else "") for c in alphabet}
+            known = {c: symbol_char(self.numbers[n]) for c, n in names.items() if n in self.numbers}
+            return F.translate(text, "".join([*known, *dropped]), "".join(known.values()))
 
         n = F.length(word)
         if not self.prefix and not self.suffix:
@@ -231,9 +243,8 @@ def train_bpe(
     for c in alphabet:
         symbols.add(c, frequency.get(c))
     if continuing_subword_prefix or end_of_word_suffix:
-        for form in ((0, 1), (1, 0), (1, 1)):
-            for c in alphabet:
-                symbols.add((continuing_subword_prefix if form[0] else "") + c + (end_of_word_suffix if form[1] else ""), None)
+        for name in affixed_characters(counts, alphabet, continuing_subword_prefix, end_of_word_suffix):
+            symbols.add(name, None)
 
     room_for = vocab_size - len(special_tokens)
     written = symbols.write(F.col("word"), alphabet, sorted(set(ranked_chars) - set(alphabet)))

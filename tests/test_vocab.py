@@ -68,3 +68,100 @@ def test_bpe_equals_library_on_documents(spark):
     )
     assert merges_of(v) == merges
     assert tokens_of(v) == tokens
+
+
+def library_vocabulary(spark, tokenizer, kind, **params):
+    import json
+
+    model = json.loads(tokenizer.to_str())["model"]
+    if kind == "unigram":
+        rows = [(i, t, None, s) for i, (t, s) in enumerate(model["vocab"])]
+    else:
+        rows = [(i, t, None, None) for t, i in model["vocab"].items()]
+    merges = [(i, *m) for i, m in enumerate(model.get("merges", []))]
+    return V.vocabulary(spark, kind, rows, merges, **params)
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, ""), (-2, None), (-3, "x☃☃y 你好☃ " + "ab" * 90)], df.schema)
+    return df.unionByName(odd).withColumn("tokens", pretok_whitespace(F.col("text"))).cache()
+
+
+MODELS = {
+    "bpe": ({"unk_token": "[UNK]"}, {"vocab_size": 300, "limit_alphabet": 40}),
+    "bpe_affix": (
+        {"unk_token": "[UNK]", "continuing_subword_prefix": "##", "end_of_word_suffix": "</w>"},
+        {"vocab_size": 400, "continuing_subword_prefix": "##", "end_of_word_suffix": "</w>"},
+    ),
+    "bpe_fuse": ({"unk_token": "[UNK]", "fuse_unk": True}, {"vocab_size": 300, "limit_alphabet": 20}),
+    "wordpiece": ({"unk_token": "[UNK]"}, {"vocab_size": 400, "limit_alphabet": 60}),
+    "word_level": ({"unk_token": "[UNK]"}, {"vocab_size": 500}),
+    "unigram": ({}, {"vocab_size": 400, "unk_token": "[UNK]"}),
+}
+
+
+@pytest.mark.parametrize("name", MODELS)
+def test_encoding_equals_library(spark, documents, name):
+    from corpusmill.operators.encode import encode
+
+    tk = pytest.importorskip("tokenizers")
+    kind = name.split("_affix")[0].split("_fuse")[0]
+    model, trainer = {
+        "bpe": (tk.models.BPE, tk.trainers.BpeTrainer),
+        "wordpiece": (tk.models.WordPiece, tk.trainers.WordPieceTrainer),
+        "word_level": (tk.models.WordLevel, tk.trainers.WordLevelTrainer),
+        "unigram": (tk.models.Unigram, tk.trainers.UnigramTrainer),
+    }[kind]
+    options, training = MODELS[name]
+    t = tk.Tokenizer(model(**options))
+    t.pre_tokenizer = tk.pre_tokenizers.Whitespace()
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    seen = [x for i, x in texts.items() if i >= 0]
+    t.train_from_iterator(seen, trainer(special_tokens=SPECIAL_TOKENS, show_progress=False, **training))
+    params = {"unk_token": "[UNK]", **options}
+    if kind == "wordpiece":
+        params["continuing_subword_prefix"] = "##"
+    v = library_vocabulary(spark, t, kind, **params)
+    wanted = {i: None if x is None else t.encode(x).ids for i, x in texts.items()}
+    for limit in (400_000, 0):
+        got = {r.doc_id: r.ids for r in encode(documents, "tokens", v, ["doc_id"], limit=limit).collect()}
+        wrong = [i for i in wanted if got[i] != wanted[i]]
+        assert not wrong, (limit, len(wrong), wrong[0], got[wrong[0]][:20], wanted[wrong[0]][:20])
+
+
+def test_wordpiece_learning(spark):
+    counts = counts_of(spark, MERGE_WORDS)
+    v = V.train_wordpiece(counts, vocab_size=40)
+    tokens = tokens_of(v)
+    assert tokens[:5] == SPECIAL_TOKENS and len(tokens) == len(set(tokens)) <= 40
+    assert {"the", "##a", "##at", "t"} <= set(tokens)
+    tk = pytest.importorskip("tokenizers")
+    t = tk.Tokenizer(tk.models.WordPiece(unk_token="[UNK]"))
+    t.pre_tokenizer = tk.pre_tokenizers.Whitespace()
+    t.train_from_iterator(MERGE_WORDS, tk.trainers.WordPieceTrainer(special_tokens=SPECIAL_TOKENS, vocab_size=1000, show_progress=False))
+    assert set(tokens_of(V.train_wordpiece(counts, vocab_size=1000))) == set(t.get_vocab())
+
+
+def test_unigram_learning(spark):
+    from corpusmill.operators.unigram import train_unigram
+
+    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    counts = token_counts(df, pretok_whitespace(F.col("text")))
+    v = train_unigram(counts, vocab_size=300, seed_size=3000)
+    rows = v.vocab.orderBy("id").collect()
+    tokens = [r.token for r in rows]
+    assert tokens[:5] == SPECIAL_TOKENS and len(set(tokens)) == len(tokens) <= 300
+    scores = [r.score for r in rows[5:]]
+    assert scores == sorted(scores, reverse=True) and max(scores) < 0
+    chars = {r.ch for r in V.character_counts(counts).collect()}
+    assert chars <= set(tokens)
+    # Most of what the library keeps at this size is kept here too.
+    tk = pytest.importorskip("tokenizers")
+    t = tk.Tokenizer(tk.models.Unigram())
+    t.pre_tokenizer = tk.pre_tokenizers.Whitespace()
+    t.train_from_iterator([r.text for r in df.collect()], tk.trainers.UnigramTrainer(
+        special_tokens=SPECIAL_TOKENS, vocab_size=300, unk_token="[UNK]", show_progress=False))
+    theirs = set(t.get_vocab())
+    assert len(theirs & set(tokens)) > 0.6 * len(theirs), len(theirs & set(tokens))
