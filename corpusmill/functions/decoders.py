@@ -21,11 +21,12 @@ def _cleanup(token: Column) -> Column:
 
 
 def decode_bpe(tokens: Column, suffix: str = "</w>") -> Column:
-    last = F.size(tokens) - 1
-    spaced = F.transform(
-        tokens, lambda t, i: F.replace(t, F.lit(suffix), F.when(i == last, F.lit("")).otherwise(F.lit(" ")))
-    )
-    return F.array_join(spaced, "")
+    def spaced(some: Column, end: str) -> Column:
+        return F.transform(some, lambda t: F.replace(t, F.lit(suffix), F.lit(end)))
+
+    n = F.size(tokens)
+    inner, last = F.slice(tokens, 1, F.greatest(n - 1, F.lit(0))), F.slice(tokens, F.greatest(n, F.lit(1)), 1)
+    return F.array_join(F.concat(spaced(inner, " "), spaced(last, "")), "")
 
 
 def decode_byte_level(tokens: Column) -> Column:
@@ -42,7 +43,9 @@ def decode_byte_level(tokens: Column) -> Column:
 
 
 def decode_ctc(tokens: Column, pad_token: str = "<pad>", word_delimiter_token: str = "|", cleanup: bool = True) -> Column:
-    first_of_run = F.filter(tokens, lambda t, i: (i == 0) | (t != F.get(tokens, i - 1)))
+    before = F.concat(F.array(F.lit(None).cast("string")), tokens)
+    changed = F.zip_with(tokens, before, lambda t, b: F.when(b.isNull() | (t != b), t))
+    first_of_run = F.filter(changed, lambda t: t.isNotNull())
 
     def text(token: Column) -> Column:
         token = F.replace(token, F.lit(pad_token), F.lit(""))

@@ -132,7 +132,8 @@ def pretok_split(text: Column, pattern: str, behavior: str, invert: bool = False
     p = literal(pattern)
     if behavior == "contiguous":
         between, runs = F.split(text, f"(?:{p})+", -1), matches(text, f"(?:{p})+")
-        return _non_empty(F.flatten(F.transform(between, lambda x, i: F.array(x, F.coalesce(F.get(runs, i), F.lit(""))))))
+        both = F.zip_with(between, runs, lambda x, run: F.array(x, F.coalesce(run, F.lit(""))))
+        return _non_empty(F.flatten(both))
     if behavior == "removed" and invert:
         return matches(text, p)
     if invert:
@@ -140,12 +141,13 @@ def pretok_split(text: Column, pattern: str, behavior: str, invert: bool = False
             behavior, behavior
         )
     between = F.split(text, p, -1)
-    last = F.size(between) - 1
     match = F.lit(pattern)
+    # Every piece but the last is followed by a match.
+    followed, final = F.slice(between, 1, F.size(between) - 1), F.slice(between, -1, 1)
     if behavior == "isolated":
-        between = F.flatten(F.transform(between, lambda x, i: F.when(i < last, F.array(x, match)).otherwise(F.array(x))))
+        between = F.concat(F.flatten(F.transform(followed, lambda x: F.array(x, match))), final)
     elif behavior == "merged_with_previous":
-        between = F.transform(between, lambda x, i: F.when(i < last, F.concat(x, match)).otherwise(x))
+        between = F.concat(F.transform(followed, lambda x: F.concat(x, match)), final)
     elif behavior == "merged_with_next":
         between = F.transform(between, lambda x, i: F.when(i > 0, F.concat(match, x)).otherwise(x))
     return _non_empty(between)

@@ -81,11 +81,17 @@ def character_counts(words: DataFrame) -> DataFrame:
 
 def affixed_characters(words: DataFrame, alphabet: Sequence[str], prefix: str, suffix: str) -> list[str]:
     """The characters of the alphabet with the affixes of the positions they occur at."""
-    chars = F.split("word", "")
-    last = F.size(chars) - 1
-    forms = words.select(
-        F.explode(F.transform(chars, lambda c, i: F.struct((i > 0).alias("inner"), (i == last).alias("last"), c.alias("ch")))).alias("f")
-    ).select("f.*").distinct()
+    n = F.length("word")
+
+    def form(inner: Column, last: Column, ch: Column) -> Column:
+        return F.struct(inner.alias("inner"), last.alias("last"), ch.alias("ch"))
+
+    ends = F.array(
+        form(F.lit(False), n == 1, F.substr("word", F.lit(1), F.lit(1))), form(n > 1, F.lit(True), F.substr("word", n, F.lit(1)))
+    )
+    middle = F.split(F.substr("word", F.lit(2), F.greatest(n - 2, F.lit(0))), "")
+    between = F.transform(middle, lambda c: form(F.lit(True), F.lit(False), c))
+    forms = words.where(n > 0).select(F.explode(F.concat(ends, between)).alias("f")).select("f.*").distinct()
     known = set(alphabet)
     rows = sorted((r["inner"], r["last"], r["ch"]) for r in forms.collect() if r["ch"] in known)
     return [(prefix if inner else "") + c + (suffix if last else "") for inner, last, c in rows]
