@@ -39,15 +39,21 @@ def stratum_ratio(stratum: str, ratios: float | dict) -> Column:
     return out
 
 
+def stratified_draw(test_size: float | dict, stratum: str, salt: str, *key: str | Column) -> Column:
+    """True for the rows of the second frame; the draw is salted by the stratum, so strata are independent.
+
+    `test_size` is one ratio or a ratio per stratum; strata left out stay in the first frame.
+    """
+    of = F.coalesce(F.col(stratum).cast("string"), F.lit("null"))
+    parts = [k if isinstance(k, Column) else F.col(k) for k in key]
+    return in_second(stratum_ratio(stratum, test_size), salt, of, *parts)
+
+
 def stratified_split(
     df: DataFrame, test_size: float | dict, stratum: str, salt: str, *key: str | Column
 ) -> tuple[DataFrame, DataFrame]:
-    """One pass over all strata; the draw is salted by the stratum, so that strata are independent.
-
-    `test_size` is one ratio or a ratio per stratum (strata left out stay in the first frame).
-    """
-    ratio = stratum_ratio(stratum, test_size)
-    chosen = in_second(ratio, salt, F.coalesce(F.col(stratum).cast("string"), F.lit("null")), *key)
+    """One pass per frame over all strata, without a job to list them."""
+    chosen = stratified_draw(test_size, stratum, salt, *key)
     return df.where(~chosen), df.where(chosen)
 
 
