@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
-from corpusmill.catalog.common import TWEET_LIKE, Group, blanks, each, join, keep, listed, q, sub, table, tweet_like, words
+from corpusmill.catalog.common import TWEET_LIKE, Group, blanks, each, join, keep, listed, q, sub, table, texts, tweet_like, words
 from corpusmill.functions import cleaners as C
 from corpusmill.functions import treebank
 from corpusmill.functions.charclasses import ASCII_PUNCTUATION, WORD, WS
@@ -25,20 +27,28 @@ def no_retweet(x: str) -> str:
     return f"translate({sub(marked, chr(1) + '[rR][tT]' + chr(2), '')}, '\x01\x02', '')"
 
 
+# The published tokeniser rules one by one, for an engine without look-around.
+RULES = [
+    ("([«“‘„]|[`]+)", " \\1 "), ('^"', "``"), ("(``)", " \\1 "), ("([ (\\[{<])(\"|'{2})", "\\1 `` "),
+    ("(?i)(')([a-ce-lo-ru-z0-9_])\\b", "\\1 \\2"),
+    (f"([^.])(\\.)([\\])}}>\"'»”’ ]*)[{WS}]*$", "\\1 \\2 \\3 "), ("([:,])([^\\p{Nd}])", " \\1 \\2"), ("([:,])$", " \\1 "),
+    ("(\\.{2,})", " \\1 "), ("([;@#$%&])", " \\1 "), (f"([^.])(\\.)([\\])}}>\"']*)[{WS}]*$", "\\1 \\2\\3 "),
+    ("([?!])", " \\1 "), ("([^'])' ", "\\1 ' "), ("([*])", " \\1 "), ("([\\]\\[(){}<>])", " \\1 "), ("--", " -- "),
+]
+RULES_BETWEEN_BLANKS = [
+    ("([»”’])", " \\1 "), ("''", " '' "), ('"', " '' "), (f"[{WS}]+", " "), ("([^' ])('[sS]|'[mM]|'[dD]|') ", "\\1 \\2 "),
+    ("([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "\\1 \\2 "),
+    *[(f"(?i)\\b({a})({b})\\b", " \\1 \\2 ") for a, b in (
+        ("can", "not"), ("d", "'ye"), ("gim", "me"), ("gon", "na"), ("got", "ta"), ("lem", "me"), ("more", "'n"))],
+    (f"(?i)\\b(wan)(na)([{WS}])", " \\1 \\2 \\3"), ("(?i) ('t)(is)\\b", " \\1 \\2 "), ("(?i) ('t)(was)\\b", " \\1 \\2 "),
+]
+
+
 def treebank_words(x: str) -> str:
-    """The tokeniser rules for an engine without look-around."""
-    sentences = f"string_split({sub(x, f'([.?!])[{WS}]+(' + chr(92) + 'p{Lu})', chr(92) + '1' + chr(3) + chr(92) + '2')}, '\x03')"
-    out = "w"
-    lookahead = treebank.STARTING_QUOTES[-1]
-    for rule in treebank.STARTING_QUOTES + treebank.PUNCTUATION + treebank.BRACKETS:
-        if rule is lookahead:
-            out = sub(out, r"(?i)(')([a-ce-lo-ru-z0-9_])\b", r"\1 \2")
-            continue
-        out = sub(out, rule[0], rule[1].replace("$", "\\"))
-    out = f"concat(' ', {out}, ' ')"
-    for pattern, replacement in treebank.ENDING_QUOTES + treebank.CONTRACTIONS:
-        out = sub(out, pattern, replacement.replace("$", "\\"))
-    return words(join(each(sentences, out), " "))
+    marked = sub(x, f"([.?!])[{WS}]+(\\p{{Lu}})", "\\1\x03\\2")
+    out = reduce(lambda w, rule: sub(w, *rule), RULES, "w")
+    out = reduce(lambda w, rule: sub(w, *rule), RULES_BETWEEN_BLANKS, f"concat(' ', {out}, ' ')")
+    return words(join(each(f"string_split({marked}, '\x03')", out), " "))
 
 
 TEXT_SQL = {
@@ -75,7 +85,7 @@ WORDS_SQL = {
 
 def _text_query(name):
     def run(spark, sf):
-        docs = tweet_like(table(spark, sf, "documents"))
+        docs = tweet_like(texts(spark, sf, "documents"))
         return docs.select("doc_id", C.cleaner(name).text(F.col("text")).alias("cleaned_text"))
 
     return run
@@ -83,7 +93,7 @@ def _text_query(name):
 
 def _words_query(name):
     def run(spark, sf):
-        docs = tweet_like(table(spark, sf, "documents")).select("doc_id", F.split("text", " ").alias("words"))
+        docs = tweet_like(texts(spark, sf, "documents")).select("doc_id", F.split("text", " ").alias("words"))
         return docs.select("doc_id", listed(C.cleaner(name).words(F.col("words"))).alias("cleaned_words"))
 
     return run
@@ -99,7 +109,7 @@ for _name in TEXT_SQL:
 
 @query("treebank_tokens", f"SELECT doc_id, {join(treebank_words('text'))} AS tokens FROM {TWEET_LIKE}")
 def _(spark, sf):
-    docs = tweet_like(table(spark, sf, "documents"))
+    docs = tweet_like(texts(spark, sf, "documents"))
     return docs.select("doc_id", listed(treebank.treebank_tokens(F.col("text"))).alias("tokens"))
 
 
@@ -116,13 +126,13 @@ EXPRESSIONS = FULL[1:]
 
 @query("clean_chain", f"SELECT doc_id, text AS cleaned_text FROM {chain_sql(TWEET_LIKE, EXPRESSIONS)}")
 def _(spark, sf):
-    docs = tweet_like(table(spark, sf, "documents"))
+    docs = tweet_like(texts(spark, sf, "documents"))
     return docs.select("doc_id", C.clean_text(F.col("text"), EXPRESSIONS).alias("cleaned_text"))
 
 
 @query("default_chain", f"SELECT doc_id, text AS cleaned_text FROM {chain_sql(TWEET_LIKE, FULL)}")
 def _(spark, sf):
-    docs = tweet_like(table(spark, sf, "documents"))
+    docs = tweet_like(texts(spark, sf, "documents"))
     return docs.select("doc_id", C.clean_text(F.col("text")).alias("cleaned_text"))
 
 
@@ -130,14 +140,14 @@ def _(spark, sf):
     SELECT doc_id, lower(text) AS as_text, {join(each("string_split(text, ' ')", "lower(w)"))} AS as_words FROM {TWEET_LIKE}
 """)
 def _(spark, sf):
-    docs = tweet_like(table(spark, sf, "documents")).withColumn("words", F.split("text", " "))
+    docs = tweet_like(texts(spark, sf, "documents")).withColumn("words", F.split("text", " "))
     by_type = {c: C.clean_column(docs, c, ["lowercase"]) for c in ("text", "words")}
     return docs.select("doc_id", by_type["text"].alias("as_text"), listed(by_type["words"]).alias("as_words"))
 
 
 @query("map_text", f"SELECT doc_id, replace({blanks('text')}, ' ', '-') AS cleaned_text FROM documents")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
     return map_text(docs, lambda c: F.replace(C.normalize_blanks(c), F.lit(" "), F.lit("-"))).drop("text")
 
 
@@ -150,7 +160,7 @@ def _(spark, sf):
 @query("custom_cleaner", r"SELECT doc_id, lower(regexp_replace(text, '\p{N}+', '#', 'g')) AS cleaned_text FROM " + TWEET_LIKE)
 def _(spark, sf):
     C.register_cleaner("mask_numbers", lambda c: F.regexp_replace(c, r"\p{N}+", "#"))
-    docs = tweet_like(table(spark, sf, "documents"))
+    docs = tweet_like(texts(spark, sf, "documents"))
     return docs.select("doc_id", C.clean_text(F.col("text"), ["mask_numbers", "lowercase"]).alias("cleaned_text"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.charclasses import WS
+from corpusmill.sources.files import spread
 
 LIST_SEPARATOR = "|"
 
@@ -31,6 +32,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def texts(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table whose texts are worked on at length: spread over the cores where one small file holds it."""
+    return spread(table(spark, folder, name))
+
+
 def listed(column: Column) -> Column:
     """A list as one string, so that every engine compares it in the same way."""
     return F.array_join(column, LIST_SEPARATOR)

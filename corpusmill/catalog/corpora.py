@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from corpusmill.catalog.cleaning import EXPRESSIONS, chain_sql
-from corpusmill.catalog.common import Group, below, table, words
+from corpusmill.catalog.common import Group, below, table, texts, words
 from corpusmill.catalog.tables import COMMENT_FLAGS, POST_FLAGS, comment_flags, post_flags
 from corpusmill.operators.relational import union_sources
 from corpusmill.operators.splits import quota_split, random_split, stratified_split
@@ -65,13 +65,13 @@ def posts(spark, dev_ratio=0.3, folder=""):
 
 def comments(spark, dev_ratio=0.03, folder=""):
     flags = comment_flags(spark, folder)
-    texts = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("comment_text"))
-    unlabelled = texts.join(flags.where("toxic = -1"), "id").withColumn("toxic", F.lit(0))
-    return recipes.flagged_comments(unlabelled, texts, flags, dev_ratio)
+    comments = texts(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("comment_text"))
+    unlabelled = comments.join(flags.where("toxic = -1"), "id").withColumn("toxic", F.lit(0))
+    return recipes.flagged_comments(unlabelled, comments, flags, dev_ratio)
 
 
 def tweets(spark, folder=""):
-    rows = table(spark, folder, "conversations").select(
+    rows = texts(spark, folder, "conversations").select(
         "conv_id", "turn", F.col("text").alias("tweet_text"), F.col("role").alias("cyberbullying_type")
     )
     return recipes.categorised_tweets(rows, negative="user", key=("conv_id", "turn"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.catalog.common import Group, table, words
+from corpusmill.catalog.common import Group, table, texts, words
 from corpusmill.functions.cleaners import words_of
 from corpusmill.operators import spelling as S
 from corpusmill.operators.words import token_counts
@@ -13,23 +13,29 @@ from corpusmill.plans.corpus import spell_correct
 GROUP = Group()
 query = GROUP.query
 
-DICTIONARY = f"""(SELECT term, count(*)::BIGINT AS cnt FROM (SELECT unnest({words('lower(text)')}) AS term FROM conversations)
+# The checking engine measures distances in bytes, so letters beyond ASCII are written as one hyphen each.
+PLAIN = r"regexp_replace(lower(text), '[^\x00-\x7F]', '-', 'g')"
+DICTIONARY = f"""(SELECT term, count(*)::BIGINT AS cnt FROM (SELECT unnest({words(PLAIN)}) AS term FROM conversations)
     GROUP BY term HAVING count(*) >= 2)"""
-TOKENS = f"(SELECT DISTINCT unnest({words('lower(text)')}) AS token FROM benchmark)"
+TOKENS = f"(SELECT DISTINCT unnest({words(PLAIN)}) AS token FROM benchmark)"
 
 
-def dictionary(spark, sf, source="conversations", threshold=2):
-    counts = token_counts(table(spark, sf, source), words_of(F.lower("text")))
+def plain(text):
+    return F.regexp_replace(F.lower(text), r"[^\x00-\x7F]", "-")
+
+
+def dictionary(spark, sf, source="conversations", threshold=2, text=plain):
+    counts = token_counts(texts(spark, sf, source), words_of(text(F.col("text"))))
     return S.build_dictionary(counts, threshold)
 
 
 def tokens(spark, sf):
-    return table(spark, sf, "benchmark").select(F.explode(words_of(F.lower("text"))).alias("token")).distinct()
+    return table(spark, sf, "benchmark").select(F.explode(words_of(plain(F.col("text")))).alias("token")).distinct()
 
 
 def bigrams(spark, sf):
     """Neighbouring words of the conversations that occur more than once."""
-    listed = table(spark, sf, "conversations").select(words_of(F.lower("text")).alias("ws"))
+    listed = texts(spark, sf, "conversations").select(words_of(F.lower("text")).alias("ws"))
     shifted = F.zip_with(F.concat(F.array(F.lit(None).cast("string")), F.col("ws")), "ws", lambda a, b: F.struct(a.alias("left"), b.alias("right")))
     pairs = listed.select(F.explode(shifted).alias("p")).select("p.left", "p.right").dropna()
     return pairs.groupBy("left", "right").agg(F.count("*").alias("cnt")).where("cnt > 1")
@@ -39,7 +45,7 @@ def bigrams(spark, sf):
     SELECT term, count(*)::BIGINT AS cnt FROM (SELECT unnest({words('lower(text)')}) AS term FROM documents) GROUP BY term HAVING count(*) >= 5
 """)
 def _(spark, sf):
-    return dictionary(spark, sf, "documents", 5)
+    return dictionary(spark, sf, "documents", 5, F.lower)
 
 
 @query("delete_index", f"""
@@ -80,10 +86,10 @@ def _(spark, sf):
 @query("spell_compound")
 def _(spark, sf):
     items = table(spark, sf, "benchmark").select("item_id", "text")
-    return S.spell_compound(items, "text", ["item_id"], dictionary(spark, sf), bigrams(spark, sf)).select("item_id", "corrected")
+    return S.spell_compound(items, "text", ["item_id"], dictionary(spark, sf, text=F.lower), bigrams(spark, sf)).select("item_id", "corrected")
 
 
 @query("spell_correct")
 def _(spark, sf):
     items = table(spark, sf, "benchmark").select("item_id", "text")
-    return spell_correct(items, "text", dictionary(spark, sf), bigrams(spark, sf))
+    return spell_correct(items, "text", dictionary(spark, sf, text=F.lower), bigrams(spark, sf))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.catalog.common import Group, blanks, table, words
+from corpusmill.catalog.common import Group, blanks, table, texts, words
 from corpusmill.functions.cleaners import words_of
 from corpusmill.functions.labels import TOXICITY_FLAGS, any_flag, any_flag_strict, not_category
 from corpusmill.functions.pretokenizers import pretok_whitespace
@@ -30,7 +30,7 @@ WORD_COUNTS = (
 
 
 def document_words(spark, sf):
-    return token_counts(table(spark, sf, "documents"), pretok_whitespace(F.col("text")))
+    return token_counts(texts(spark, sf, "documents"), pretok_whitespace(F.col("text")))
 
 
 # Sources
@@ -67,7 +67,7 @@ def _(spark, sf):
 """)
 def _(spark, sf):
     path = shared_folder(spark, "dictionary")
-    counts = token_counts(table(spark, sf, "documents"), words_of(F.col("text")))
+    counts = token_counts(texts(spark, sf, "documents"), words_of(F.col("text")))
     counts.select(F.concat_ws(" ", "word", F.col("cnt").cast("string"))).write.text(path)
     return load_dictionary(spark, path, count_threshold=3)
 
@@ -79,7 +79,7 @@ def _(spark, sf):
 """)
 def _(spark, sf):
     path = shared_folder(spark, "bigrams")
-    listed = table(spark, sf, "documents").select(words_of(F.col("text")).alias("ws"))
+    listed = texts(spark, sf, "documents").select(words_of(F.col("text")).alias("ws"))
     n = F.size("ws")
     following = F.zip_with(F.slice("ws", 1, F.greatest(n - 1, F.lit(0))), F.slice("ws", 2, n), lambda a, b: F.concat_ws(" ", a, b))
     pairs = listed.where(n > 1).select(F.explode(following).alias("pair")).groupBy("pair").agg(F.count("*").alias("cnt"))
@@ -107,7 +107,7 @@ def _(spark, sf):
 
 def post_flags(spark, sf):
     labels = table(spark, sf, "labels")
-    joined = table(spark, sf, "documents").join(labels, "doc_id", "left")
+    joined = texts(spark, sf, "documents").join(labels, "doc_id", "left")
     return joined.select("doc_id", "text", "lang", F.col("toxic").alias("hd"), (1 - F.col("quality")).alias("cv"), F.lit(0).alias("vo"))
 
 
@@ -174,7 +174,7 @@ def _(spark, sf):
 def _(spark, sf):
     # Without characters to delete, the punctuation step only normalises blanks.
     spec = ["lowercase", "newline_to_space", ("strip_punctuation", {"punctuation": ""})]
-    return R.add_cleaned_text(table(spark, sf, "documents").select("doc_id", "text"), spec)
+    return R.add_cleaned_text(texts(spark, sf, "documents").select("doc_id", "text"), spec)
 
 
 # Joins, aggregates

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.catalog.common import Group, each, join, keep, listed, sub, table
+from corpusmill.catalog.common import Group, each, join, keep, listed, sub, texts
 from corpusmill.catalog.tables import WHITESPACE
 from corpusmill.functions import decoders as D
 from corpusmill.functions import normalizers as N
@@ -29,7 +29,7 @@ def padded(c):
 
 def _normalizer(name, apply, sql=None):
     def run(spark, sf):
-        return table(spark, sf, "documents").select("doc_id", apply(F.col("text")).alias("normalized"))
+        return texts(spark, sf, "documents").select("doc_id", apply(F.col("text")).alias("normalized"))
 
     query(name, sql and f"SELECT doc_id, {sql} AS normalized FROM documents")(run)
 
@@ -53,7 +53,7 @@ _normalizer(
 
 def _pretokenizer(name, apply, sql=None):
     def run(spark, sf):
-        listed_tokens = table(spark, sf, "documents").select("doc_id", apply(F.col("text")).alias("ts"))
+        listed_tokens = texts(spark, sf, "documents").select("doc_id", apply(F.col("text")).alias("ts"))
         return listed_tokens.select("doc_id", listed(F.col("ts")).alias("tokens"), F.size("ts").cast("bigint").alias("n_tokens"))
 
     query(name, sql and f"SELECT doc_id, {join('ts')} AS tokens, len(ts)::BIGINT AS n_tokens FROM (SELECT doc_id, {sql} AS ts FROM documents)")(run)
@@ -107,7 +107,7 @@ _pretokenizer("pretok_unicode_scripts", P.pretok_unicode_scripts)
 
 def _decoder(name, tokens, apply, sql=None):
     def run(spark, sf):
-        cut = table(spark, sf, "documents").select("doc_id", tokens(F.col("text")).alias("ts"))
+        cut = texts(spark, sf, "documents").select("doc_id", tokens(F.col("text")).alias("ts"))
         return cut.select("doc_id", apply(F.col("ts")).alias("decoded"))
 
     query(name, sql and f"SELECT doc_id, {sql[1]} AS decoded FROM (SELECT doc_id, {sql[0]} AS ts FROM documents)")(run)

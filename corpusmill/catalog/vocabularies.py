@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from corpusmill.catalog.common import Group, listed, numbers, table
+from corpusmill.catalog.common import Group, listed, numbers, texts
 from corpusmill.catalog.tables import WHITESPACE, WORD_COUNTS, document_words
 from corpusmill.functions.pretokenizers import BYTE_LEVEL_PATTERN, matches, pretok_whitespace, to_byte_chars
 from corpusmill.operators.encode import encode
@@ -37,7 +37,7 @@ def word_level(spark, sf) -> Vocabulary:
 
 
 def turns(spark, sf):
-    rows = table(spark, sf, "conversations")
+    rows = texts(spark, sf, "conversations")
     return rows.select("conv_id", "turn", "role", pretok_whitespace(F.col("text")).alias("tokens"))
 
 
@@ -122,7 +122,7 @@ def _(spark, sf):
     spec = TokenizerSpec("bpe", {"vocab_size": 500}, post_processor="bert")
     folder = shared_folder(spark, "tokenizer")
     train_tokenizer_from_parquet(spark, f"{sf}/documents.parquet", "text", spec, folder)
-    coded = encode_texts(table(spark, sf, "conversations"), "text", spec, load_vocab(spark, folder), ["conv_id", "turn"])
+    coded = encode_texts(texts(spark, sf, "conversations"), "text", spec, load_vocab(spark, folder), ["conv_id", "turn"])
     return coded.select("conv_id", "turn", numbers(F.col("ids")).alias("ids"), numbers(F.col("type_ids")).alias("type_ids"))
 
 
@@ -194,5 +194,5 @@ def byte_level_tokens(df, *key):
 
 @query("post_byte_level")
 def _(spark, sf):
-    return post_byte_level(byte_level_tokens(table(spark, sf, "conversations"), "conv_id", "turn"))
+    return post_byte_level(byte_level_tokens(texts(spark, sf, "conversations"), "conv_id", "turn"))
 

@@ -37,14 +37,21 @@ shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn'
 URL = f"(?:http|www)[^{WS}]+"
 MENTION = f"@[{WORD}]+"
 RETWEET = f"(?<![{WORD}])[rR][tT](?![{WORD}])"
-# A whole word holding a character outside the wanted class, in text with single blanks.
-NOT_ALPHA_WORD = r"(?<![^ ])\p{L}*+[^\p{L} ][^ ]*"
-NOT_ASCII_WORD = r"(?<![^ ])[\x00-\x1F\x21-\x7F]*+[^\x00-\x7F][^ ]*"
+# In text with single blanks, a whole word holding a character outside the wanted class, and its blank.
+NOT_ALPHA_WORD = r"(?<![^ ])\p{L}*+[^\p{L} ][^ ]* ?"
+NOT_ASCII_WORD = r"(?<![^ ])[\x00-\x1F\x21-\x7F]*+[^\x00-\x7F][^ ]* ?"
 
+# What is known of the blanks of a text: nothing; only spaces; single spaces and none at the ends.
+RAW, SPACED, TIDY = range(3)
+# Every white space character but the space itself.
+_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) != " ")
 
-def normalize_blanks(text: Column) -> Column:
-    """Single blanks between words and none at the ends."""
-    return F.trim(F.regexp_replace(text, f"[{WS}]+", " "))
+
+def normalize_blanks(text: Column, state: int = RAW) -> Column:
+    """Single blanks between words and none at the ends; `state` saves the work already done."""
+    if state == RAW:
+        text = F.translate(text, _BLANKS, " " * len(_BLANKS))
+    return text if state == TIDY else F.trim(F.regexp_replace(text, " {2,}", " "))
 
 
 def words_of(text: Column) -> Column:
@@ -62,8 +69,20 @@ def _each(text_form: ColumnFn) -> ColumnFn:
 
 @dataclass(frozen=True)
 class Cleaner:
-    text: ColumnFn
+    """The two forms of a cleaner.
+
+    `text` takes the column and, if `blanks` is set, what is known of its blanks; `blanks` tells what is
+    known after it, given what was known before.
+    """
+
+    text: Callable[..., Column]
     words: ColumnFn
+    blanks: Callable[[int], int] | None = None
+
+    def apply(self, text: Column, state: int = RAW) -> tuple[Column, int]:
+        if self.blanks is None:
+            return self.text(text), RAW
+        return self.text(text, state), self.blanks(state)
 
 
 def stopwords(stop_words: Iterable[str] = tuple(ENGLISH_STOPWORDS)) -> Cleaner:
@@ -72,18 +91,23 @@ def stopwords(stop_words: Iterable[str] = tuple(ENGLISH_STOPWORDS)) -> Cleaner:
     def words(tokens: Column) -> Column:
         return F.filter(tokens, lambda w: ~F.lower(w).isin(unwanted))
 
-    return Cleaner(lambda text: F.array_join(words(treebank_tokens(text)), " "), words)
+    # Tokens hold no blanks.
+    return Cleaner(lambda text, state=RAW: F.array_join(words(treebank_tokens(text)), " "), words, lambda state: TIDY)
 
 
 def lowercase() -> Cleaner:
-    return Cleaner(F.lower, _each(F.lower))
+    return Cleaner(lambda text, state=RAW: F.lower(text), _each(F.lower), lambda state: state)
+
+
+def _no_longer_single(state: int) -> int:
+    return min(state, SPACED)
 
 
 def strip_urls() -> Cleaner:
-    def text(c: Column) -> Column:
+    def text(c: Column, state: int = RAW) -> Column:
         return F.regexp_replace(c, URL, "")
 
-    return Cleaner(text, _each(text))
+    return Cleaner(text, _each(lambda c: text(c)), _no_longer_single)
 
 
 def strip_punctuation(punctuation: str = ASCII_PUNCTUATION) -> Cleaner:
@@ -93,42 +117,44 @@ def strip_punctuation(punctuation: str = ASCII_PUNCTUATION) -> Cleaner:
     def delete(c: Column) -> Column:
         return F.translate(c, unwanted, "")
 
-    return Cleaner(lambda text: delete(normalize_blanks(text)), _each(delete))
+    return Cleaner(lambda text, state=RAW: delete(normalize_blanks(text, state)), _each(delete), lambda state: SPACED)
 
 
 def keep_alpha_words() -> Cleaner:
     return Cleaner(
-        lambda text: normalize_blanks(F.regexp_replace(normalize_blanks(text), NOT_ALPHA_WORD, "")),
+        lambda text, state=RAW: F.rtrim(F.regexp_replace(normalize_blanks(text, state), NOT_ALPHA_WORD, "")),
         lambda words: F.filter(words, lambda w: w.rlike(r"^\p{L}+\z")),
+        lambda state: TIDY,
     )
 
 
 def newline_to_space() -> Cleaner:
-    def text(c: Column) -> Column:
-        return F.replace(c, F.lit("\n"), F.lit(" "))
+    def text(c: Column, state: int = RAW) -> Column:
+        return F.replace(c, F.lit("\n"), F.lit(" ")) if state == RAW else c
 
-    return Cleaner(text, _each(text))
+    return Cleaner(text, _each(lambda c: text(c)), lambda state: state)
 
 
 def keep_ascii_words() -> Cleaner:
     return Cleaner(
-        lambda text: normalize_blanks(F.regexp_replace(normalize_blanks(text), NOT_ASCII_WORD, "")),
+        lambda text, state=RAW: F.rtrim(F.regexp_replace(normalize_blanks(text, state), NOT_ASCII_WORD, "")),
         lambda words: F.filter(words, lambda w: w.rlike(r"^[\x00-\x7F]*\z")),
+        lambda state: TIDY,
     )
 
 
 def strip_mentions() -> Cleaner:
-    def text(c: Column) -> Column:
+    def text(c: Column, state: int = RAW) -> Column:
         return F.regexp_replace(c, MENTION, "")
 
-    return Cleaner(text, _through_text(text))
+    return Cleaner(text, _through_text(text), _no_longer_single)
 
 
 def strip_retweet() -> Cleaner:
-    def text(c: Column) -> Column:
+    def text(c: Column, state: int = RAW) -> Column:
         return F.regexp_replace(c, RETWEET, "")
 
-    return Cleaner(text, _through_text(text))
+    return Cleaner(text, _through_text(text), _no_longer_single)
 
 
 def limit_chars(limit: int = 300) -> Cleaner:
@@ -186,7 +212,10 @@ def resolve(spec: Spec) -> list[Cleaner]:
 
 def clean_text(text: Column, spec: Spec = tuple(DEFAULT_CHAIN)) -> Column:
     """Apply the cleaners of `spec` in order, in text form."""
-    return reduce(lambda c, step: step.text(c), resolve(spec), text)
+    state = RAW
+    for step in resolve(spec):
+        text, state = step.apply(text, state)
+    return text
 
 
 def clean_words(words: Column, spec: Spec) -> Column:

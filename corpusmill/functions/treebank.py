@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,62 +14,68 @@ from corpusmill.functions.charclasses import UWORD, WS
 _S = f"[{WS}]"
 _W = f"[{UWORD}]"
 
-# The published Treebank rules as (pattern, replacement), in order of application.
-# Character classes are spelled out, so that look-around is needed nowhere but in the first list.
-STARTING_QUOTES = [
+# The published Treebank rules as (pattern, replacement), in order of application. Rules that
+# put the same blanks around different characters are one pattern.
+OPENING = [
     ("([«“‘„]|[`]+)", " $1 "),
     ('^"', "``"),
     ("(``)", " $1 "),
     ("([ (\\[{<])(\"|'{2})", "$1 `` "),
-    (f"(?i)(')(?!re|ve|ll|m|t|s|d|n)({_W})(?!{_W})", "$1 $2"),
 ]
+OPENING_APOSTROPHE = [(f"(?i)(')(?!re|ve|ll|m|t|s|d|n)({_W})(?!{_W})", "$1 $2")]
 PUNCTUATION = [
     (f"([^.])(\\.)([\\])}}>\"'»”’ ]*){_S}*$", "$1 $2 $3 "),
     ("([:,])([^\\p{Nd}])", " $1 $2"),
     ("([:,])$", " $1 "),
     ("(\\.{2,})", " $1 "),
-    ("([;@#$%&])", " $1 "),
+    ("([;@#$%&?!*])", " $1 "),
     (f"([^.])(\\.)([\\])}}>\"']*){_S}*$", "$1 $2$3 "),
-    ("([?!])", " $1 "),
-    ("([^'])' ", "$1 ' "),
-    ("([*])", " $1 "),
 ]
+APOSTROPHE_BLANK = [("([^'])' ", "$1 ' ")]
 BRACKETS = [("([\\]\\[(){}<>])", " $1 "), ("--", " -- ")]
-ENDING_QUOTES = [
-    ("([»”’])", " $1 "),
-    ("''", " '' "),
-    ('"', " '' "),
+CLOSING = [("([»”’])", " $1 "), ("''|\"", " '' ")]
+CLOSING_APOSTROPHE = [
     (f"{_S}+", " "),
     ("([^' ])('[sS]|'[mM]|'[dD]|') ", "$1 $2 "),
     ("([^' ])('ll|'LL|'re|'RE|'ve|'VE|n't|N'T) ", "$1 $2 "),
+    ("(?i) ('t)(is|was)\\b", " $1 $2 "),
 ]
 CONTRACTIONS = [
-    ("(?i)\\b(can)(not)\\b", " $1 $2 "),
-    ("(?i)\\b(d)('ye)\\b", " $1 $2 "),
-    ("(?i)\\b(gim)(me)\\b", " $1 $2 "),
-    ("(?i)\\b(gon)(na)\\b", " $1 $2 "),
-    ("(?i)\\b(got)(ta)\\b", " $1 $2 "),
-    ("(?i)\\b(lem)(me)\\b", " $1 $2 "),
-    ("(?i)\\b(more)('n)\\b", " $1 $2 "),
-    (f"(?i)\\b(wan)(na)({_S})", " $1 $2 $3"),
-    ("(?i) ('t)(is)\\b", " $1 $2 "),
-    ("(?i) ('t)(was)\\b", " $1 $2 "),
+    (
+        f"(?i)\\b(?:(?:(can)(not)|(d)('ye)|(gim)(me)|(gon)(na)|(got)(ta)|(lem)(me)|(more)('n))\\b|(wan)(na)(?={_S}))",
+        " $1$3$5$7$9$11$13$15 $2$4$6$8$10$12$14$16 ",
+    )
 ]
 # A sentence ends at a period, question or exclamation mark before blanks and a capital letter.
 SENTENCE_BREAK = f"(?<=[.?!]){_S}+(?=\\p{{Lu}})"
 
 
-def _cascade(sentence: Column) -> Column:
-    out = sentence
-    for pattern, replacement in STARTING_QUOTES + PUNCTUATION + BRACKETS:
-        out = F.regexp_replace(out, pattern, replacement)
-    out = F.concat(F.lit(" "), out, F.lit(" "))
-    for pattern, replacement in ENDING_QUOTES + CONTRACTIONS:
-        out = F.regexp_replace(out, pattern, replacement)
-    return out
+def _rules(rules: list[tuple[str, str]], needs: str = "") -> Callable[[Column], Column]:
+    """The rules in order; texts with none of the characters they need are passed by."""
+
+    def apply(sentence: Column) -> Column:
+        out = reduce(lambda c, rule: F.regexp_replace(c, *rule), rules, sentence)
+        if not needs:
+            return out
+        return F.when(reduce(or_, [sentence.contains(c) for c in needs]), out).otherwise(sentence)
+
+    return apply
+
+
+STAGES = [
+    _rules(OPENING, "\"'`«“‘„"),
+    _rules(OPENING_APOSTROPHE, "'"),
+    _rules(PUNCTUATION),
+    _rules(APOSTROPHE_BLANK, "'"),
+    _rules(BRACKETS),
+    lambda sentence: F.concat(F.lit(" "), sentence, F.lit(" ")),
+    _rules(CLOSING, "\"'»”’"),
+    _rules(CLOSING_APOSTROPHE, "'"),
+    _rules(CONTRACTIONS),
+]
 
 
 def treebank_tokens(text: Column) -> Column:
     """Word tokens of `text`, sentence by sentence."""
-    spaced = F.transform(F.split(text, SENTENCE_BREAK), _cascade)
+    spaced = reduce(F.transform, STAGES, F.split(text, SENTENCE_BREAK))
     return F.regexp_extract_all(F.array_join(spaced, " "), F.lit(f"[^{WS}]+"), F.lit(0))

@@ -10,7 +10,7 @@ HOT_SHARE = 1 / 2000
 
 
 def lookup_join(rows: DataFrame, table: DataFrame, key: str, weight: str | None = None) -> DataFrame:
-    """`rows` left join `table` on `key`; the table has unique keys and is not null.
+    """`rows` left join `table` on `key`; the keys of the table are unique, not null, and cheap to read again.
 
     `weight` is a column of the table that tells how many rows carry the key. The keys above the hot
     share are bounded in number by arithmetic, so they are joined by broadcast; all others go through a

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.charclasses import UWS
 from corpusmill.operators.hotkeys import lookup_join
 from corpusmill.operators.words import SPECIAL_TOKENS
+from corpusmill.session import materialize
 
 
 def special_tokens(spark, tokens: list[str] = SPECIAL_TOKENS) -> DataFrame:
@@ -69,7 +70,7 @@ def pad_batch(df: DataFrame, column: str, pad: object, length: int | None = None
         wide = df.crossJoin(F.broadcast(longest))
     else:
         longest = df.groupBy(batch).agg(F.max(size).alias("_width"), F.count("*").alias("_n"))
-        wide = lookup_join(df, longest, batch, "_n")
+        wide = lookup_join(df, materialize(longest, "widths"), batch, "_n")
     missing = F.col("_width") - size
     return wide.withColumns(
         {

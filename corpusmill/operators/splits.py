@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from corpusmill.operators.hotkeys import lookup_join
+from corpusmill.session import materialize
 
 def key_hash(salt: str, *key: str | Column) -> Column:
     """128 bits of hash as 32 hexadecimal digits."""
@@ -82,11 +83,12 @@ def quota_thresholds(df: DataFrame, test_size: float, stratum: str, salt: str, *
             break
         # The first bucket that passes the quota, and what is left of the quota where it starts.
         start = (F.col("_left") - F.col("_upto") + F.col("_c")).alias("_left")
-        quota = (
+        quota = materialize(
             cumulated.where("_upto > _left")
             .groupBy("_stratum", "n")
             .agg(F.min_by(F.struct("_bucket", start), "_bucket").alias("_e"))
-            .select("_stratum", "n", F.col("_e._bucket").alias("_edge"), F.col("_e._left").alias("_left"))
+            .select("_stratum", "n", F.col("_e._bucket").alias("_edge"), F.col("_e._left").alias("_left")),
+            "quota",
         )
         rows = (
             lookup_join(rows, quota.select("_stratum", "n", "_edge"), "_stratum", "n")
@@ -105,7 +107,7 @@ def quota_split(
     df: DataFrame, test_size: float, stratum: str, salt: str, *key: str | Column
 ) -> tuple[DataFrame, DataFrame]:
     """Exact-quota form: floor(test_size * n) rows of each stratum, less only if copies of a key straddle it."""
-    thresholds = quota_thresholds(df, test_size, stratum, salt, *key)
+    thresholds = materialize(quota_thresholds(df, test_size, stratum, salt, *key), "thresholds")
     marked = lookup_join(df, thresholds, stratum, "n")
     chosen = F.coalesce(key_hash(salt, *key) <= F.col("_threshold"), F.lit(False))
     return marked.where(~chosen).drop("_threshold"), marked.where(chosen).drop("_threshold")

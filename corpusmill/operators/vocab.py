@@ -9,7 +9,6 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 from heapq import heapify, heappop, heappush
 from typing import Any
 
@@ -299,10 +298,13 @@ def train_bpe(
 
 
 def _apply(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
+    """The words after the merges, given as (two symbols, one symbol) in order."""
     if not merges:
         return words
-    merged = reduce(lambda c, m: F.replace(c, F.lit(m[0]), F.lit(m[1])), merges, F.col("word"))
-    return words.select(merged.alias("word"), "cnt")
+    pairs, merged = (F.split(F.lit("\0".join(column)), "\0") for column in zip(*merges))
+    steps = F.zip_with(pairs, merged, lambda old, new: F.struct(old.alias("old"), new.alias("new")))
+    word = F.aggregate(steps, F.col("word"), lambda w, step: F.replace(w, step["old"], step["new"]))
+    return words.select(word.alias("word"), "cnt")
 
 
 def train_wordpiece(

@@ -16,6 +16,7 @@ from corpusmill.functions.cleaners import DEFAULT_CHAIN, Spec, resolve, words_of
 from corpusmill.operators.hotkeys import lookup_join
 from corpusmill.operators.relational import add_cleaned_text, filter_min_words
 from corpusmill.operators.spelling import spell_compound
+from corpusmill.session import materialize
 from corpusmill.sources.registry import SourceFn, read_sources, source
 from corpusmill.sources.sinks import manifest, write_manifest, write_splits
 
@@ -48,7 +49,8 @@ def spell_correct(df: DataFrame, column: str, dictionary: DataFrame, bigrams: Da
         F.first(column).alias("_text"), F.count("*").alias("_n")
     )
     corrected = spell_compound(texts, "_text", ["_text_key"], dictionary, bigrams, output="_corrected", **params)
-    joined = lookup_join(keyed, corrected.select("_text_key", "_n", "_corrected"), "_text_key", "_n")
+    table = materialize(corrected.select("_text_key", "_n", "_corrected"), "corrected")
+    joined = lookup_join(keyed, table, "_text_key", "_n")
     return joined.withColumn(column, F.col("_corrected")).select(*df.columns)
 
 

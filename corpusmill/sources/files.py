@@ -31,6 +31,12 @@ def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores if the files give fewer partitions than there are; as it is otherwise."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_version(df: DataFrame, base: str, version: str) -> None:
     """Add a version of a dataset below `base`."""
     df.write.parquet(f"{base.rstrip('/')}/version={version}")
