@@ -9,6 +9,7 @@ from corpusmill.functions.cleaners import words_of
 from corpusmill.operators import spelling as S
 from corpusmill.operators.words import token_counts
 from corpusmill.plans.corpus import spell_correct
+from corpusmill.session import materialize
 
 GROUP = Group()
 query = GROUP.query
@@ -26,7 +27,7 @@ def plain(text):
 
 def dictionary(spark, sf, source="conversations", threshold=2, text=plain):
     counts = token_counts(texts(spark, sf, source), words_of(text(F.col("text"))))
-    return S.build_dictionary(counts, threshold)
+    return materialize(S.build_dictionary(counts, threshold), "dictionary")
 
 
 def tokens(spark, sf):
@@ -38,7 +39,7 @@ def bigrams(spark, sf):
     listed = texts(spark, sf, "conversations").select(words_of(F.lower("text")).alias("ws"))
     shifted = F.zip_with(F.concat(F.array(F.lit(None).cast("string")), F.col("ws")), "ws", lambda a, b: F.struct(a.alias("left"), b.alias("right")))
     pairs = listed.select(F.explode(shifted).alias("p")).select("p.left", "p.right").dropna()
-    return pairs.groupBy("left", "right").agg(F.count("*").alias("cnt")).where("cnt > 1")
+    return materialize(pairs.groupBy("left", "right").agg(F.count("*").alias("cnt")).where("cnt > 1"), "bigrams")
 
 
 @query("build_dictionary", f"""

@@ -162,12 +162,12 @@ def _(spark, sf):
 
 @query("filter_min_words", f"SELECT doc_id, text FROM documents WHERE len({words('text')}) >= 200")
 def _(spark, sf):
-    return R.filter_min_words(table(spark, sf, "documents").select("doc_id", "text"), "text", 200)
+    return R.filter_min_words(texts(spark, sf, "documents").select("doc_id", "text"), "text", 200)
 
 
 @query("short_texts", f"SELECT doc_id, text FROM documents WHERE len({words('text')}) < 20")
 def _(spark, sf):
-    return R.short_texts(table(spark, sf, "documents").select("doc_id", "text"), "text", 20)
+    return R.short_texts(texts(spark, sf, "documents").select("doc_id", "text"), "text", 20)
 
 
 @query("add_cleaned_text", f"SELECT doc_id, text, {blanks('translate(lower(text), chr(10), chr(32))')} AS cleaned_text FROM documents")

@@ -65,6 +65,17 @@ def filter_min_words(df: DataFrame, column: str = "cleaned_text", minimum: int =
     return df.where(word_count(F.col(column)) >= minimum)
 
 
+def clean_and_filter(df: DataFrame, spec: Spec, minimum: int = 2, column: str = "text") -> DataFrame:
+    """Cleaned texts with at least `minimum` words.
+
+    A filter on a computed column is pushed below its projection, which would clean every text twice; as
+    a generator of zero or one rows the two are worked out together.
+    """
+    cleaned = F.array(clean_column(df, column, spec))
+    kept = F.filter(cleaned, lambda text: word_count(text) >= minimum)
+    return df.withColumn("cleaned_text", F.explode(kept))
+
+
 def short_texts(df: DataFrame, column: str = "cleaned_text", minimum: int = 2) -> DataFrame:
     return df.where(word_count(F.col(column)) < minimum)
 

@@ -12,6 +12,7 @@ from dataclasses import dataclass, field
 from heapq import heapify, heappop, heappush
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,11 +24,9 @@ VOCAB_SCHEMA = "id int, token string, cnt bigint, score double"
 MERGES_SCHEMA = "rank int, left string, right string"
 
 # Per round: pairs that make up segments, at first and at most, and distinct segments looked at.
-FIRST_PAIRS = 256
+FIRST_PAIRS = 64
 MOST_PAIRS = 4096
-SEGMENTS_PER_ROUND = 200_000
-# Merges applied on the fly before the word table is written anew.
-MERGES_PER_TABLE = 64
+SEGMENTS_PER_ROUND = 50_000
 
 
 @dataclass
@@ -145,21 +144,38 @@ class Symbols:
         return F.when(n < 2, part(word, True, True)).otherwise(whole)
 
 
-def segments(words: DataFrame, heavy: Sequence[str]) -> DataFrame:
-    """(word, cnt): the words cut between all symbols that form none of the heavy pairs, counted anew."""
+def cut_words(words: DataFrame, heavy: Sequence[str]) -> DataFrame:
+    """(word, cnt): a NUL between all symbols that form none of the heavy pairs."""
     symbols = F.split("word", "")
     glued = F.zip_with(
         symbols, adjacent_pairs(symbols),
         lambda symbol, pair: F.when(F.coalesce(pair.isin(list(heavy)), F.lit(False)), symbol).otherwise(F.concat(symbol, F.lit("\0"))),
     )
-    pieces = words.select(F.explode(F.split(F.array_join(glued, ""), "\0")).alias("word"), "cnt")
+    return words.select(F.array_join(glued, "").alias("word"), "cnt")
+
+
+def segments(cut: DataFrame) -> DataFrame:
+    """(word, cnt): the pieces of cut words with a symbol or more to merge, counted anew."""
+    pieces = cut.select(F.explode(F.split("word", "\0")).alias("word"), "cnt")
     return pieces.where(F.length("word") > 1).groupBy("word").agg(F.sum("cnt").alias("cnt"))
 
 
+def replace_segments(cut: DataFrame, merged: dict[str, str]) -> DataFrame:
+    """Whole words again, with each segment in its merged form; there are at most SEGMENTS_PER_ROUND forms."""
+    shared = cut.sparkSession.sparkContext.broadcast(merged)
+
+    @F.arrow_udf("string")
+    def whole(words: pa.Array) -> pa.Array:
+        form = shared.value
+        return pa.array(["".join(form.get(p, p) for p in w.split("\0")) for w in words.to_pylist()], pa.string())
+
+    return cut.select(whole("word").alias("word"), "cnt")
+
+
 def merge_order(
     pieces: list[tuple[str, int]], symbols: Symbols, room: int, least: int, excluded: tuple[int, int, int] | None
-) -> list[tuple[int, int, int]]:
-    """The merges (left, right, count) that the segments determine, in order, adding their symbols.
+) -> tuple[list[tuple[int, int]], dict[str, str]]:
+    """The merges (left, right) that the segments determine, in order, and the segments they change.
 
     All pairs ranked before the excluded one lie within segments. A merged symbol arises from one pair
     only, so a pair across a cut is never more frequent than the pair that was cut there, nor ranked
@@ -176,7 +192,8 @@ def merge_order(
             where[pair].add(i)
     queue = [(-c, *pair) for pair, c in count.items()]
     heapify(queue)
-    merges: list[tuple[int, int, int]] = []
+    merges: list[tuple[int, int]] = []
+    changed: set[int] = set()
     while queue and room > 0:
         negative, left, right = heappop(queue)
         pair, c = (left, right), count[left, right]
@@ -191,7 +208,7 @@ def merge_order(
         if known and merges:
             break
         number = symbols.add(name, c)
-        merges.append((left, right, c))
+        merges.append((left, right))
         room -= not known
         touched = set()
         for i in where.pop(pair):
@@ -207,12 +224,13 @@ def merge_order(
                 where[new].add(i)
                 touched.add(new)
             words[i] = merged
+            changed.add(i)
         for new in touched:
             if new != pair and count[new] > 0:
                 heappush(queue, (-count[new], *new))
         if known:
             break
-    return merges
+    return merges, {pieces[i][0]: "".join(map(symbol_char, words[i])) for i in changed}
 
 
 def train_bpe(
@@ -257,20 +275,16 @@ def train_bpe(
     words = materialize(words.repartition(spark.sparkContext.defaultParallelism), "symbols")
     least = max(1, min_frequency)
     merges: list[tuple[str, str]] = []
-    pending: list[tuple[str, str]] = []
     n_pairs = FIRST_PAIRS
     while len(symbols.names) < room_for:
-        current = _apply(words, pending)
-        if len(pending) >= MERGES_PER_TABLE:
-            words, pending = materialize(current.where(F.length("word") > 1), "symbols"), []
-            current = words
-        ranking = pair_counts(current).where(F.col("cnt") >= least).orderBy(F.desc("cnt"), "pair")
+        ranking = pair_counts(words).where(F.col("cnt") >= least).orderBy(F.desc("cnt"), "pair")
         ranked = ranking.limit(n_pairs + 1).collect()
         if not ranked:
             break
         while True:
-            heavy = segments(current, [r["pair"] for r in ranked[:n_pairs]])
-            pieces = heavy.collect() if n_pairs == 1 else heavy.limit(SEGMENTS_PER_ROUND + 1).collect()
+            cut = cut_words(words, [r["pair"] for r in ranked[:n_pairs]])
+            distinct = segments(cut)
+            pieces = (distinct if n_pairs == 1 else distinct.limit(SEGMENTS_PER_ROUND + 1)).collect()
             if len(pieces) <= SEGMENTS_PER_ROUND or n_pairs == 1:
                 break
             n_pairs = max(1, n_pairs // 4)
@@ -280,12 +294,10 @@ def train_bpe(
             excluded = (-out["cnt"], *(symbol_number(c) for c in out["pair"]))
         if len(pieces) < SEGMENTS_PER_ROUND // 4:
             n_pairs = min(n_pairs * 2, MOST_PAIRS)
-        found = merge_order([tuple(p) for p in pieces], symbols, room_for - len(symbols.names), least, excluded)
-        for left, right, _ in found:
-            names = symbols.names[left], symbols.names[right]
-            merges.append(names)
-            merged = symbols.numbers[symbols.joined(*names)]
-            pending.append((symbol_char(left) + symbol_char(right), symbol_char(merged)))
+        found, merged = merge_order([tuple(p) for p in pieces], symbols, room_for - len(symbols.names), least, excluded)
+        merges += [(symbols.names[left], symbols.names[right]) for left, right in found]
+        if len(symbols.names) < room_for:
+            words = materialize(replace_segments(cut, merged), "symbols").where(F.length("word") > 1)
 
     rows = [(i, t, None, None) for i, t in enumerate(special_tokens)]
     rows += [(len(rows) + i, name, symbols.counts[i], None) for i, name in enumerate(symbols.names)]
@@ -297,16 +309,6 @@ def train_bpe(
     return vocabulary(spark, kind, rows, [(i, a, b) for i, (a, b) in enumerate(merges)], **params)
 
 
-def _apply(words: DataFrame, merges: list[tuple[str, str]]) -> DataFrame:
-    """The words after the merges, given as (two symbols, one symbol) in order."""
-    if not merges:
-        return words
-    pairs, merged = (F.split(F.lit("\0".join(column)), "\0") for column in zip(*merges))
-    steps = F.zip_with(pairs, merged, lambda old, new: F.struct(old.alias("old"), new.alias("new")))
-    word = F.aggregate(steps, F.col("word"), lambda w, step: F.replace(w, step["old"], step["new"]))
-    return words.select(word.alias("word"), "cnt")
-
-
 def train_wordpiece(
     counts: DataFrame, vocab_size: int = 30_000, continuing_subword_prefix: str = "##", **params: Any
 ) -> Vocabulary:

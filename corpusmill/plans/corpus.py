@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpusmill.plans.recipes  # noqa: F401  registers the built-in sources
 from corpusmill.functions.cleaners import DEFAULT_CHAIN, Spec, resolve, words_of
 from corpusmill.operators.hotkeys import lookup_join
-from corpusmill.operators.relational import add_cleaned_text, filter_min_words
+from corpusmill.operators.relational import add_cleaned_text, clean_and_filter, filter_min_words
 from corpusmill.operators.spelling import spell_compound
 from corpusmill.session import materialize
 from corpusmill.sources.registry import SourceFn, read_sources, source
@@ -63,10 +63,11 @@ def build_corpus(
     repartition: Mapping[str, Any] | None = None,
 ) -> DataFrame:
     """One lazy plan from the sources to the cleaned rows; `spelling` adds the corpus job that corrects them."""
-    df = add_cleaned_text(read_sources(spark, sources, repartition), cleaners)
+    df = read_sources(spark, sources, repartition)
     if spelling:
-        df = spell_correct(df, "cleaned_text", **spelling)
-    return filter_min_words(df, "cleaned_text", min_words).select(*CORPUS_COLUMNS)
+        df = spell_correct(add_cleaned_text(df, cleaners), "cleaned_text", **spelling)
+        return filter_min_words(df, "cleaned_text", min_words).select(*CORPUS_COLUMNS)
+    return clean_and_filter(df, cleaners, min_words).select(*CORPUS_COLUMNS)
 
 
 def write_corpus(df: DataFrame, path: str, **params: str) -> DataFrame:
