@@ -45,8 +45,9 @@ def trim_offsets(token: Column, start: Column, end: Column, position: Column, ad
     leading = F.length(F.regexp_extract(token, f"^[Ġ{UWS}]*", 0))
     trailing = F.length(F.regexp_extract(token, rf"(?:(?<![Ġ{UWS}])|^)[Ġ{UWS}]+\z", 0))
     if add_prefix_space:
+        # A single blank before the first token may be the added one.
         first = (position == 0) | (start == 0)
-        leading = F.when(first, F.greatest(leading - 1, F.lit(0))).otherwise(leading)
+        leading = F.when(first & (leading == 1), 0).otherwise(leading)
     new_start = F.least(start + leading, end)
     new_end = F.when((trailing > 0) & (end >= trailing), F.greatest(end - trailing, new_start)).otherwise(end)
     return new_start, new_end

@@ -200,13 +200,13 @@ def spell_compound(
     distinct = materialize(pairs.groupBy("token").agg(F.sum("n").alias("n")), "terms")
     merged = F.concat("prev", "token")
     asked = distinct.select("token").union(pairs.where("prev <> ''").select(merged.alias("token"))).distinct()
-    best = materialize(spell_best(asked, dictionary, max_distance, prefix_length), "best")
+    best = materialize(spell_best(materialize(asked, "asked"), dictionary, max_distance, prefix_length), "best")
 
     imperfect = distinct.join(best.where("distance = 0"), "token", "left_anti").where(F.length("token") > 1)
     cut = F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("cut")
     both = F.array(F.substr("token", F.lit(1), F.col("cut")), F.substr("token", F.col("cut") + 1))
     parts = imperfect.select("token", cut).select(F.explode(both).alias("token")).distinct()
-    parts_best = materialize(spell_best(parts, dictionary, max_distance, prefix_length), "parts")
+    parts_best = materialize(spell_best(materialize(parts, "halves"), dictionary, max_distance, prefix_length), "parts")
     resolved = materialize(_resolve_terms(distinct, best, parts_best, bigrams, max_distance), "resolved")
 
     previous = resolved.select(F.col("token").alias("prev"), "n", F.col("resolved").alias("one"))

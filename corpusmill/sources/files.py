@@ -15,7 +15,10 @@ _VERBATIM = {
 
 
 def scan_csv(spark: SparkSession, path: str, schema: StructType | str, sep: str = ",") -> DataFrame:
-    """A delimited file with a header; the schema is given, so no pass is spent on inferring it."""
+    """A delimited file with a header; the schema is given, so no pass is spent on inferring it.
+
+    An empty field is null, quoted or not.
+    """
     return spark.read.schema(schema).options(**_QUOTING, sep=sep).csv(path)
 
 
@@ -52,7 +55,7 @@ def load_dictionary(
 ) -> DataFrame:
     """(term, cnt) from a text file with a term and its frequency per line."""
     fields = F.split("value", separator)
-    rows = spark.read.text(path).select(fields[term_index].alias("term"), fields[count_index].cast("bigint").alias("cnt"))
+    rows = spark.read.text(path).select(F.get(fields, term_index).alias("term"), F.get(fields, count_index).try_cast("bigint").alias("cnt"))
     totals = rows.where(F.col("cnt").isNotNull()).groupBy("term").agg(F.sum("cnt").alias("cnt"))
     return totals.where(F.col("cnt") >= count_threshold)
 
@@ -61,6 +64,7 @@ def load_bigrams(spark: SparkSession, path: str, term_index: int = 0, count_inde
     """(left, right, cnt) from a text file with two neighbouring terms and their frequency per line."""
     fields = F.split("value", separator)
     rows = spark.read.text(path).select(
-        fields[term_index].alias("left"), fields[term_index + 1].alias("right"), fields[count_index].cast("bigint").alias("cnt")
+        F.get(fields, term_index).alias("left"), F.get(fields, term_index + 1).alias("right"),
+        F.get(fields, count_index).try_cast("bigint").alias("cnt"),
     )
     return rows.where(F.col("cnt").isNotNull()).groupBy("left", "right").agg(F.sum("cnt").alias("cnt"))
