@@ -144,9 +144,11 @@ def _resolve_terms(terms: DataFrame, best: DataFrame, parts_best: DataFrame, big
     cuts = to_split.select("token", "single", F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("cut")).select(
         "token", "single", "cut", F.substr("token", F.lit(1), F.col("cut")).alias("a"), F.substr("token", F.col("cut") + 1).alias("b")
     )
-    pairs = cuts.join(_best_columns(parts_best, "first"), F.col("a") == F.col("_first_token")).join(
-        _best_columns(parts_best, "second"), F.col("b") == F.col("_second_token")
-    )
+    # A short part is shared by very many words.
+    pairs = cuts
+    for side, name in (("a", "first"), ("b", "second")):
+        answers = parts_best.select(F.col("token").alias(side), "n", F.struct("term", "cnt", "distance").alias(name))
+        pairs = lookup_join(pairs, answers, side, "n").where(F.col(name).isNotNull())
     known = bigrams.select(F.concat_ws(" ", "left", "right").alias("_pair"), F.col("cnt").alias("_pair_cnt"))
     least = bigrams.agg(F.coalesce(F.min("cnt"), F.lit(2**63 - 1)).alias("_least"))
     pairs = pairs.withColumn("text", F.concat_ws(" ", "first.term", "second.term"))
@@ -205,8 +207,10 @@ def spell_compound(
     imperfect = distinct.join(best.where("distance = 0"), "token", "left_anti").where(F.length("token") > 1)
     cut = F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("cut")
     both = F.array(F.substr("token", F.lit(1), F.col("cut")), F.substr("token", F.col("cut") + 1))
-    parts = imperfect.select("token", cut).select(F.explode(both).alias("token")).distinct()
-    parts_best = materialize(spell_best(materialize(parts, "halves"), dictionary, max_distance, prefix_length), "parts")
+    halves = imperfect.select("token", cut).select(F.explode(both).alias("token"))
+    parts = materialize(halves.groupBy("token").agg(F.count("*").alias("n")), "halves")
+    parts_best = spell_best(parts.select("token"), dictionary, max_distance, prefix_length)
+    parts_best = materialize(parts_best.join(parts, "token"), "parts")
     resolved = materialize(_resolve_terms(distinct, best, parts_best, bigrams, max_distance), "resolved")
 
     previous = resolved.select(F.col("token").alias("prev"), "n", F.col("resolved").alias("one"))
