@@ -54,7 +54,7 @@ def treebank_words(x: str) -> str:
 TEXT_SQL = {
     "stopwords": lambda x: join(keep(treebank_words(x), f"lower(w) NOT IN ({STOP_LIST})"), " "),
     "lowercase": lambda x: f"lower({x})",
-    "strip_urls": lambda x: sub(x, C.URL),
+    "strip_urls": lambda x: sub(x, f"(?:http|www)[^{WS}]+"),
     "strip_punctuation": lambda x: f"translate({blanks(x)}, {DELETED}, '')",
     "keep_alpha_words": lambda x: join(keep(words(x), r"regexp_full_match(w, '\p{L}+')"), " "),
     "newline_to_space": lambda x: f"replace({x}, chr(10), ' ')",
@@ -72,7 +72,7 @@ def through_text(name: str):
 WORDS_SQL = {
     "stopwords": lambda xs: keep(xs, f"lower(w) NOT IN ({STOP_LIST})"),
     "lowercase": lambda xs: each(xs, "lower(w)"),
-    "strip_urls": lambda xs: each(xs, sub("w", C.URL)),
+    "strip_urls": lambda xs: each(xs, sub("w", f"(?:http|www)[^{WS}]+")),
     "strip_punctuation": lambda xs: each(xs, f"translate(w, {DELETED}, '')"),
     "keep_alpha_words": lambda xs: keep(xs, r"regexp_full_match(w, '\p{L}+')"),
     "newline_to_space": lambda xs: each(xs, "replace(w, chr(10), ' ')"),

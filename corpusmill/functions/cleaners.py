@@ -34,12 +34,14 @@ doesn doesn't hadn hadn't hasn hasn't haven haven't isn isn't ma mightn mightn't
 shan shan't shouldn shouldn't wasn wasn't weren weren't won won't wouldn wouldn't
 """.split()
 
-URL = f"(?:http|www)[^{WS}]+"
+# The look-ahead lets most places fail on one character.
+URL = f"(?=[hw])(?:http|www)[^{WS}]+"
 MENTION = f"@[{WORD}]+"
-RETWEET = f"(?<![{WORD}])[rR][tT](?![{WORD}])"
-# In text with single blanks, a whole word holding a character outside the wanted class, and its blank.
-NOT_ALPHA_WORD = r"(?<![^ ])\p{L}*+[^\p{L} ][^ ]* ?"
-NOT_ASCII_WORD = r"(?<![^ ])[\x00-\x1F\x21-\x7F]*+[^\x00-\x7F][^ ]* ?"
+RETWEET = f"[rR](?<![{WORD}][rR])[tT](?![{WORD}])"
+# In text with single blanks, a whole word holding a character outside the wanted class, and its blank. The
+# leftmost match of such a word starts where the word does.
+NOT_ALPHA_WORD = r"\p{L}*+[^\p{L} ][^ ]* ?"
+NOT_ASCII_WORD = r"[^ \x{80}-\x{10FFFF}]*+[^\x00-\x7F][^ ]* ?"
 
 # What is known of the blanks of a text: nothing; only spaces; single spaces and none at the ends.
 RAW, SPACED, TIDY = range(3)
