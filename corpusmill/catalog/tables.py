@@ -134,7 +134,7 @@ def _(spark, sf):
 
 def comment_flags(spark, sf):
     """Six flags per document; the first is -1 where a document has no label, the second stays null there."""
-    joined = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
+    joined = texts(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
     flags = [F.coalesce("toxic", F.lit(-1)), F.col("quality"), *[F.lit(0)] * 4]
     return joined.select(F.col("doc_id").cast("string").alias("id"), *[c.cast("int").alias(f) for c, f in zip(flags, TOXICITY_FLAGS)])
 

@@ -57,12 +57,15 @@ def filter_split(df: DataFrame, split: str) -> DataFrame:
     return df.where(F.col("split") == split)
 
 
-def word_count(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(f"[^{WS}]+"))
+def has_words(text: Column, minimum: int) -> Column:
+    """True if the text has at least `minimum` words; it is read no further than needed."""
+    if minimum < 1:
+        return text.isNotNull()
+    return text.rlike(f"\\A[{WS}]*+(?:[^{WS}]++[{WS}]++){{{minimum - 1}}}[^{WS}]")
 
 
 def filter_min_words(df: DataFrame, column: str = "cleaned_text", minimum: int = 2) -> DataFrame:
-    return df.where(word_count(F.col(column)) >= minimum)
+    return df.where(has_words(F.col(column), minimum))
 
 
 def clean_and_filter(df: DataFrame, spec: Spec, minimum: int = 2, column: str = "text") -> DataFrame:
@@ -72,12 +75,12 @@ def clean_and_filter(df: DataFrame, spec: Spec, minimum: int = 2, column: str =
     a generator of zero or one rows the two are worked out together.
     """
     cleaned = F.array(clean_column(df, column, spec))
-    kept = F.filter(cleaned, lambda text: word_count(text) >= minimum)
+    kept = F.filter(cleaned, lambda text: has_words(text, minimum))
     return df.withColumn("cleaned_text", F.explode(kept))
 
 
 def short_texts(df: DataFrame, column: str = "cleaned_text", minimum: int = 2) -> DataFrame:
-    return df.where(word_count(F.col(column)) < minimum)
+    return df.where(~has_words(F.col(column), minimum))
 
 
 # Joins

@@ -123,3 +123,9 @@ def test_partition_count(spark):
     spread = repartition_by_size(df, 3, 2500.0, 1000, 4)
     assert spread.rdd.getNumPartitions() == partition_count(30_000, 3, 2500.0, 1000, 4)
     assert sorted(spread.collect()) == sorted(df.collect())
+
+
+def test_word_minimum_equals_python(spark, string_frame, strings):
+    for n in (0, 1, 2, 5):
+        kept = {r.i for r in R.filter_min_words(string_frame, "t", n).collect()}
+        assert kept == {i for i, t in enumerate(strings) if len(t.split()) >= n}
