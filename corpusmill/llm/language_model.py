@@ -50,6 +50,8 @@ class Tally:
         self.size = 0
 
     def add(self, keys: np.ndarray) -> None:
+        if not len(keys):
+            return
         found = np.unique(keys, return_counts=True)
         self.parts.append(found)
         self.size += len(found[0])

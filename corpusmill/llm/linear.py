@@ -177,10 +177,12 @@ def train(texts: DataFrame, features: FeatureFn, binary: bool, twin_texts: Calla
 
     schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label int, twin boolean, ids binary, values binary"
     sparse = texts.select("doc_id", "label", "text").mapInArrow(gather, schema)
-    [row] = sparse.repartition(1).mapInArrow(fit, "bias double, ids binary, values binary").collect()
-    weights = np.zeros(1 << BITS, np.float32)
-    weights[np.frombuffer(row.ids, np.int32)] = np.frombuffer(row["values"], np.float32)
-    return Model(row.bias, weights, binary)
+    learned = sparse.repartition(1).mapInArrow(fit, "bias double, ids binary, values binary").collect()
+    model = Model(0.0, np.zeros(1 << BITS, np.float32), binary)
+    for row in learned:  # one, or none if there is nothing to learn from
+        model.bias = row.bias
+        model.weights[np.frombuffer(row.ids, np.int32)] = np.frombuffer(row["values"], np.float32)
+    return model
 
 
 def raw_scores(texts: pa.Array, features: FeatureFn, model: Model) -> np.ndarray:

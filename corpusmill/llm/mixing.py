@@ -116,15 +116,14 @@ def draw_of(key: str, seed: str = "mix") -> Column:
 
 def mix_sources(
     docs: DataFrame, sources: Column, targets: Callable[[dict[str | None, int]], dict[str | None, float]], *,
-    key: str = "doc_id", text: str = "text", copies: int = 2, seed: str = "mix",
+    key: str = "doc_id", text: str = "text", copies: int = 2, seed: str = "mix", size_name: str = "size", taken_name: str = "taken",
 ) -> tuple[DataFrame, dict[str | None, int], dict[str | None, float]]:
-    """(documents with `size` and `taken` added, words per source, target per source).
+    """(documents with their size and the words taken added under the given names, words per source, target per source).
 
     `sources` is a list of the sources a document belongs to; `targets` maps words per source to targets.
     size: words of the text, 0 for null; taken: size times the copies in the mix, at most `copies`. Reruns
     agree: the draw depends on the key. Rows with one key and one pattern are taken or left together. Null
-    keys and sources are keys and sources of their own; an empty table gives no rows. The columns of `docs`
-    keep their names and must not be called size, taken, or begin with _mix_.
+    keys and sources are keys and sources of their own; an empty table gives no rows. All columns of `docs` stay.
     """
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
@@ -173,5 +172,6 @@ def mix_sources(
     own = F.struct("_mix_draw", F.col(key).alias("_mix_key"))
     goes_in = (F.col("_mix_draw") < F.col("_mix_edge")) | (own <= F.col("_mix_last"))
     n_copies = F.col("_mix_all") + F.coalesce(goes_in, F.lit(False)).cast("bigint")
-    joined = drawn.withColumn("size", size).join(F.broadcast(cuts), "_mix_pattern")
-    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "size", (n_copies * F.col("size")).alias("taken")), sizes, wanted
+    joined = drawn.withColumn("_mix_size", size).join(F.broadcast(cuts), "_mix_pattern")
+    added = [F.col("_mix_size").alias(size_name), (n_copies * F.col("_mix_size")).alias(taken_name)]
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], *added), sizes, wanted

@@ -49,9 +49,9 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_passages(_table(spark, sf_dir, "documents"))
 
 
-def mix_documents(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def mix_documents(docs: DataFrame, **names: str) -> tuple[DataFrame, DataFrame]:
     """(`docs` with size and taken, one row per source with its words and target) for the standard mix."""
-    mixed, sizes, targets = mixing.mix_sources(docs, F.array("source"), mixing.capped_targets)
+    mixed, sizes, targets = mixing.mix_sources(docs, F.array("source"), mixing.capped_targets, **names)
     rows = [(s, sizes[s], float(targets[s])) for s in sizes]
     return mixed, docs.sparkSession.createDataFrame(rows, "mix_source string, source_size bigint, target double")
 
