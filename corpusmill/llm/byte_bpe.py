@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from corpusmill.llm.words import binary_rows, mix, prefix_sums, slices, span_hash, text_bytes
 
 # Pieces and token pairs kept in a task's memory; beyond it they are worked out again.
-MEMORY = 1_000_000
+MEMORY = 300_000
 # Texts encoded together: the more, the more beginnings their pieces share.
-PIECE_BYTES = 1 << 23
+PIECE_BYTES = 1 << 22
 LONG_PIECE = 64
 FILTER_BITS = 22
 NEVER = 1 << 60
