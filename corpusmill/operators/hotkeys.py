@@ -14,7 +14,7 @@ def lookup_join(rows: DataFrame, table: DataFrame, key: str, weight: str | None
 
     `weight` is a column of the table that tells how many rows carry the key. The keys above the hot
     share are bounded in number by arithmetic, so they are joined by broadcast; all others go through a
-    shuffle in which no key is large. Without weights Catalyst chooses, and adaptive execution splits
+    shuffle in which a key holds at most that share. Without weights Catalyst chooses, and adaptive execution splits
     skewed partitions.
     """
     if weight is None:
@@ -28,10 +28,10 @@ def lookup_join(rows: DataFrame, table: DataFrame, key: str, weight: str | None
         F.col(key).alias("_cold_key"), F.lit(0).alias("_cold_spread"), F.struct(*values).alias("_cold_value")
     )
     # A row served by the broadcast gets a spread value other than 0: it finds no partner in the second
-    # join and lands in any partition.
+    # join and lands in any partition. The value is a hash of the row, so a task that runs again after a lost
+    # executor sends its rows where they went before.
     found = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
-        "_spread", F.when(F.col("_hot_key").isNull(), 0).otherwise(1 + F.pmod(F.monotonically_increasing_id(), F.lit(4096)))
-        .cast("int")
+        "_spread", F.when(F.col("_hot_key").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(*rows.columns), F.lit(4096))).cast("int")
     )
     joined = found.join(
         cold, (F.col(key) == F.col("_cold_key")) & (F.col("_spread") == F.col("_cold_spread")), "left"

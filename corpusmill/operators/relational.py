@@ -58,10 +58,8 @@ def filter_split(df: DataFrame, split: str) -> DataFrame:
 
 
 def has_words(text: Column, minimum: int) -> Column:
-    """True if the text has at least `minimum` words; it is read no further than needed."""
-    if minimum < 1:
-        return text.isNotNull()
-    return text.rlike(f"\\A[{WS}]*+(?:[^{WS}]++[{WS}]++){{{minimum - 1}}}[^{WS}]")
+    """True if the text has at least `minimum` words."""
+    return F.regexp_count(text, F.lit(f"[^{WS}]+")) >= minimum
 
 
 def filter_min_words(df: DataFrame, column: str = "cleaned_text", minimum: int = 2) -> DataFrame:
@@ -114,19 +112,31 @@ _FIXED_WIDTH = {
 }
 
 
+def value_bytes(column: Column, kind: T.DataType) -> Column:
+    """Logical size of a value: bytes of strings, widths of numbers, and what lists, maps and structs hold; null takes none."""
+    none = F.lit(0).cast("bigint")
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(column).cast("bigint"), none)
+    if isinstance(kind, T.StructType):
+        return reduce(lambda a, b: a + b, [value_bytes(column[f.name], f.dataType) for f in kind.fields], none)
+    if isinstance(kind, T.ArrayType):
+        held = F.aggregate(column, none, lambda total, x: total + value_bytes(x, kind.elementType))
+        return F.coalesce(held, none)
+    if isinstance(kind, T.MapType):
+        keys, values = T.ArrayType(kind.keyType), T.ArrayType(kind.valueType)
+        return value_bytes(F.map_keys(column), keys) + value_bytes(F.map_values(column), values)
+    if isinstance(kind, T.DecimalType):
+        size = 8 if kind.precision <= 18 else 16
+    elif type(kind) in _FIXED_WIDTH:
+        size = _FIXED_WIDTH[type(kind)]
+    else:
+        raise TypeError(f"no size rule for {kind.simpleString()}")
+    return F.when(column.isNotNull(), F.lit(size)).otherwise(0).cast("bigint")
+
+
 def row_bytes(schema: T.StructType) -> Column:
-    """Logical size of a row: the bytes of its strings plus the widths of its numbers; nulls take none."""
-
-    def width(field: T.StructField) -> Column:
-        column = F.col(field.name)
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            return F.coalesce(F.octet_length(column), F.lit(0)).cast("bigint")
-        for kind, size in _FIXED_WIDTH.items():
-            if isinstance(field.dataType, kind):
-                return F.when(column.isNotNull(), F.lit(size)).otherwise(0).cast("bigint")
-        raise TypeError(f"no size rule for {field.name}: {field.dataType.simpleString()}")
-
-    return reduce(lambda a, b: a + b, [width(f) for f in schema.fields])
+    """Logical size of a row."""
+    return reduce(lambda a, b: a + b, [value_bytes(F.col(f"`{f.name}`"), f.dataType) for f in schema.fields])
 
 
 def table_bytes(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.operators.relational import canonical_select, union_sources, union_splits
+from corpusmill.operators.relational import canonical_select, require_split_domain, union_sources, union_splits
 from corpusmill.operators.sizing import repartition_by_size
 
 Frames = DataFrame | tuple[DataFrame, DataFrame, DataFrame]
@@ -32,10 +32,10 @@ def source(name: str) -> SourceFn:
 
 
 def read_source(spark: SparkSession, dataset_name: str, fn: SourceFn, **params: Any) -> DataFrame:
-    """The canonical columns of one source."""
+    """The canonical columns of one source; a split of another name fails when it is read."""
     frames = fn(spark, **params)
     df = union_splits(*frames) if isinstance(frames, tuple) else frames
-    return canonical_select(df.withColumn("dataset_name", F.lit(dataset_name)))
+    return canonical_select(require_split_domain(df).withColumn("dataset_name", F.lit(dataset_name)))
 
 
 def read_sources(

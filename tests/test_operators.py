@@ -86,6 +86,18 @@ def test_quota_is_exact_and_keeps_copies_together(spark):
         S.quota_split(df, 1.0, "label", "q", "id")
 
 
+def test_no_plan_with_a_shuffle_depends_on_row_order(spark):
+    rows = spark.range(100).select(F.col("id"), (F.col("id") % 3).cast("string").alias("key"))
+    table = rows.groupBy("key").agg(F.count("*").alias("n"), F.max("id").alias("m"))
+    plan = lookup_join(rows, table, "key", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically" not in plan and "rand(" not in plan
+
+
+def test_row_bytes_of_nested_values(spark):
+    rows = spark.sql("SELECT array('ab', null, 'é') AS a, map('k', 1L) AS m, struct(1 AS x, 'yz' AS y) AS s, cast(1 AS decimal(30, 2)) AS d, cast(null AS array<int>) AS n")
+    assert R.table_bytes(rows).first().n_bytes == (2 + 2) + (1 + 8) + (4 + 2) + 16
+
+
 def test_lookup_join_with_hot_keys(spark):
     rng = random.Random(1)
     keys = ["hot"] * 4000 + [f"k{rng.randint(0, 3000)}" for _ in range(6000)] + [None] * 5 + ["missing"] * 5
@@ -126,6 +138,6 @@ def test_partition_count(spark):
 
 
 def test_word_minimum_equals_python(spark, string_frame, strings):
-    for n in (0, 1, 2, 5):
+    for n in (0, 1, 2, 5, 2000, 20_000):
         kept = {r.i for r in R.filter_min_words(string_frame, "t", n).collect()}
         assert kept == {i for i, t in enumerate(strings) if len(t.split()) >= n}
