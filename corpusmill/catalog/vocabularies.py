@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from corpusmill.catalog.common import Group, listed, numbers, texts
 from corpusmill.catalog.tables import WHITESPACE, WORD_COUNTS, document_words
-from corpusmill.functions.pretokenizers import BYTE_LEVEL_PATTERN, matches, pretok_whitespace, to_byte_chars
-from corpusmill.operators.encode import encode
-from corpusmill.operators.postprocess import pad_batch, post_bert, post_byte_level, post_roberta, special_tokens
+from corpusmill.functions.pretokenizers import pretok_whitespace
+from corpusmill.operators.encode import encode, encode_by_join
+from corpusmill.operators.postprocess import pad_batch, post_bert, post_roberta, special_tokens
 from corpusmill.operators.unigram import train_unigram
 from corpusmill.operators.vocab import Vocabulary, pair_counts, train_bpe, train_word_level, train_wordpiece
 from corpusmill.operators.words import SPECIAL_TOKENS
-from corpusmill.plans.tokenizer import TokenizerSpec, encode_texts, register_trainer, train_tokenizer_from_parquet
-from corpusmill.session import shared_folder
+from corpusmill.plans.tokenizer import TokenizerSpec, encode_texts, register_trainer, token_offsets, train_tokenizer_from_parquet
+from corpusmill.session import materialize, shared_folder
 from corpusmill.sources.sinks import load_vocab, save_vocab
 
 GROUP = Group()
@@ -42,7 +41,8 @@ def turns(spark, sf):
 
 
 def encoded_turns(spark, sf):
-    return encode(turns(spark, sf), "tokens", word_level(spark, sf), ["conv_id", "turn"]).select("conv_id", "turn", "ids")
+    coded = encode(turns(spark, sf), "tokens", word_level(spark, sf)).select("conv_id", "turn", "ids")
+    return materialize(coded, "encoded-turns")
 
 
 # Learning
@@ -99,16 +99,28 @@ def _(spark, sf):
     return encoded_turns(spark, sf).withColumn("ids", numbers(F.col("ids")))
 
 
+@query("encode_word_level_documents", f"""
+    SELECT doc_id, coalesce(ids, '') AS ids FROM documents LEFT JOIN (
+        SELECT doc_id, string_agg(coalesce(v.id, 0)::VARCHAR, ' ' ORDER BY pos) AS ids FROM (
+            SELECT doc_id, unnest(ts) AS word, unnest(range(len(ts))) AS pos
+            FROM (SELECT doc_id, regexp_extract_all(text, '{WHITESPACE}') AS ts FROM documents)) t
+        LEFT JOIN {WORD_LEVEL} v ON v.token = t.word GROUP BY ALL) USING (doc_id)
+""")
+def _(spark, sf):
+    docs = texts(spark, sf, "documents").select("doc_id", pretok_whitespace(F.col("text")).alias("tokens"))
+    return encode(docs, "tokens", word_level(spark, sf)).select("doc_id", numbers(F.col("ids")).alias("ids"))
+
+
 @query("encode_word_level_by_join", f"SELECT conv_id, turn, array_to_string(ids, ' ') AS ids FROM {IDS}")
 def _(spark, sf):
-    joined = encode(turns(spark, sf), "tokens", word_level(spark, sf), ["conv_id", "turn"], limit=0)
+    joined = encode_by_join(turns(spark, sf), "tokens", word_level(spark, sf), ["conv_id", "turn"])
     return joined.select("conv_id", "turn", numbers(F.col("ids")).alias("ids"))
 
 
 def _encoding(name, train):
     @query(name)
     def run(spark, sf):
-        out = encode(turns(spark, sf), "tokens", train(document_words(spark, sf)), ["conv_id", "turn"])
+        out = encode(turns(spark, sf), "tokens", train(document_words(spark, sf)))
         return out.select("conv_id", "turn", numbers(F.col("ids")).alias("ids"))
 
 
@@ -122,10 +134,24 @@ def _(spark, sf):
     spec = TokenizerSpec("bpe", {"vocab_size": 500}, post_processor="bert")
     folder = shared_folder(spark, "tokenizer")
     train_tokenizer_from_parquet(spark, f"{sf}/documents.parquet", "text", spec, folder)
-    coded = encode_texts(texts(spark, sf, "conversations"), "text", spec, load_vocab(spark, folder), ["conv_id", "turn"])
+    coded = encode_texts(texts(spark, sf, "conversations"), "text", spec, load_vocab(spark, folder))
     return coded.select("conv_id", "turn", numbers(F.col("ids")).alias("ids"), numbers(F.col("type_ids")).alias("type_ids"))
 
 
+@query("train_tokenizer_word_level", f"""
+    SELECT conv_id, turn, array_to_string(list_concat(whole, list_transform(range(w - len(whole)), lambda i: {SPECIAL_TOKENS.index('[PAD]')})), ' ') AS ids,
+    array_to_string(list_concat(list_transform(range(len(whole)), lambda i: 1), list_transform(range(w - len(whole)), lambda i: 0)), ' ') AS attention_mask
+    FROM (SELECT *, max(len(whole)) OVER (PARTITION BY conv_id) AS w FROM (
+        SELECT conv_id, turn, list_concat([{SPECIAL_TOKENS.index('[CLS]')}], ids, [{SPECIAL_TOKENS.index('[SEP]')}]) AS whole FROM {IDS}))
+""")
+def _(spark, sf):
+    spec = TokenizerSpec("word_level", {"vocab_size": 1000, "min_frequency": 2}, post_processor="bert", padding={"batch": "conv_id"})
+    folder = shared_folder(spark, "tokenizer")
+    train_tokenizer_from_parquet(spark, f"{sf}/documents.parquet", "text", spec, folder)
+    coded = encode_texts(texts(spark, sf, "conversations"), "text", spec, load_vocab(spark, folder))
+    return coded.select("conv_id", "turn", numbers(F.col("ids")).alias("ids"), numbers(F.col("attention_mask")).alias("attention_mask"))
+
+
 def _letters(counts, special=SPECIAL_TOKENS):
     """A vocabulary of single characters by frequency."""
     chars = counts.select(F.explode(F.split("word", "")).alias("word"), "cnt").groupBy("word").agg(F.sum("cnt").alias("cnt"))
@@ -183,16 +209,7 @@ query("post_bert", _pairs_sql("['[SEP]']", "[CLS]", "[SEP]", 1))(_pair_query(pos
 query("post_roberta", _pairs_sql("['</s>', '</s>']", "<s>", "</s>", 0))(_pair_query(post_roberta, "</s>", "<s>"))
 
 
-def byte_level_tokens(df, *key):
-    """One row per byte-level token with its place in the text."""
-    pieces = df.select(*key, F.posexplode(matches(F.col("text"), BYTE_LEVEL_PATTERN)).alias("position", "piece"))
-    upto = Window.partitionBy(*key).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
-    end = F.sum(F.length("piece")).over(upto)
-    placed = pieces.withColumn("end", end.cast("int"))
-    return placed.select(*key, "position", to_byte_chars(F.col("piece")).alias("token"), (F.col("end") - F.length("piece")).alias("start"), "end")
-
-
 @query("post_byte_level")
 def _(spark, sf):
-    return post_byte_level(byte_level_tokens(texts(spark, sf, "conversations"), "conv_id", "turn"))
+    return token_offsets(texts(spark, sf, "conversations"), "text", TokenizerSpec(post_processor="byte_level"), ["conv_id", "turn"])
 

@@ -16,7 +16,7 @@ from corpusmill.operators.segment import SEGMENTERS
 from corpusmill.operators.vocab import Vocabulary
 from corpusmill.session import materialize
 
-# Vocabularies up to this many table rows are sent to every task; larger ones are joined.
+# A vocabulary sent to every task has at most this many table rows (tokens and merges).
 BROADCAST_ROWS = 400_000
 
 
@@ -61,21 +61,29 @@ def _constants(v: Vocabulary, options: dict) -> dict:
     return {**v.params, "longest": row["longest"] or 0, "lowest": row["lowest"] or 0.0, "unk_id": row["unk_id"], **options}
 
 
-def encode(df: DataFrame, tokens: str, v: Vocabulary, key: list[str], limit: int = BROADCAST_ROWS, **options) -> DataFrame:
+def encode(df: DataFrame, tokens: str, v: Vocabulary, **options) -> DataFrame:
     """Adds `ids`: the ids of all words of the array column `tokens`, in order.
 
-    A vocabulary within the limit goes to every task and the texts are not shuffled. Beyond it, the
-    distinct words are cut up once by joins with the vocabulary and joined back; `key` identifies a row.
+    The vocabulary, whose size is a parameter of its training, goes to every task and the texts are not
+    shuffled. One of more than BROADCAST_ROWS rows is refused: `encode_by_join` is the plan for it.
     """
     constants = _constants(v, options)
-    entries = _entries(v)
-    if entries.limit(limit + 1).count() <= limit:
-        return df.withColumn("ids", _encode_in_tasks(df, v.kind, entries, constants)(F.col(tokens)))
-    return _encode_by_join(df, tokens, v.kind, entries, constants, key)
+    found = _entries(v).limit(BROADCAST_ROWS + 1).collect()
+    if len(found) > BROADCAST_ROWS:
+        raise ValueError(f"a vocabulary of more than {BROADCAST_ROWS} rows needs encode_by_join")
+    return df.withColumn("ids", _encode_in_tasks(df, v.kind, found, constants)(F.col(tokens)))
 
 
-def _encode_in_tasks(df: DataFrame, kind: str, entries: DataFrame, constants: dict):
-    shared = df.sparkSession.sparkContext.broadcast(_lookups(entries.collect()))
+def encode_by_join(df: DataFrame, tokens: str, v: Vocabulary, key: list[str], **options) -> DataFrame:
+    """The same for a vocabulary of any size: the distinct words are cut up once by joins with it and joined back.
+
+    `key` identifies a row.
+    """
+    return _encode_by_join(df, tokens, v.kind, _entries(v), _constants(v, options), key)
+
+
+def _encode_in_tasks(df: DataFrame, kind: str, entries: list, constants: dict):
+    shared = df.sparkSession.sparkContext.broadcast(_lookups(entries))
     segment = SEGMENTERS[kind]
 
     @F.arrow_udf("array<int>")

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.charclasses import UWS
+from corpusmill.functions.pretokenizers import BYTE_LEVEL_PATTERN, matches, to_byte_chars
 from corpusmill.operators.hotkeys import lookup_join
 from corpusmill.operators.words import SPECIAL_TOKENS
 from corpusmill.session import materialize
@@ -53,6 +54,14 @@ def trim_offsets(token: Column, start: Column, end: Column, position: Column, ad
     return new_start, new_end
 
 
+def byte_level_tokens(df: DataFrame, text: str, key: list[str]) -> DataFrame:
+    """One row per byte-level token with its place in the text."""
+    pieces = df.select(*key, F.posexplode(matches(F.col(text), BYTE_LEVEL_PATTERN)).alias("position", "piece"))
+    upto = Window.partitionBy(*key).orderBy("position").rowsBetween(Window.unboundedPreceding, 0)
+    placed = pieces.withColumn("end", F.sum(F.length("piece")).over(upto).cast("int"))
+    return placed.select(*key, "position", to_byte_chars(F.col("piece")).alias("token"), (F.col("end") - F.length("piece")).alias("start"), "end")
+
+
 def post_byte_level(tokens: DataFrame, trim_offset: bool = True, add_prefix_space: bool = True) -> DataFrame:
     """Rows (…, position, token, start, end), one per token."""
     if not trim_offset:

@@ -14,9 +14,8 @@ from typing import Any
 Pieces = dict[str, tuple[int, float | None]]
 Ranks = dict[tuple[str, str], int]
 
-# The unknown character's distance below the worst score, and the longest word cut up.
+# Fixed value: the unknown character's distance below the worst score.
 UNK_PENALTY = 10.0
-MAX_INPUT_CHARS = 100
 
 
 def whole_word(word: str, pieces: Pieces, ranks: Ranks, unk_id: int | None, **_: Any) -> list[int]:
@@ -59,11 +58,14 @@ def byte_pairs(
 
 def word_pieces(
     word: str, pieces: Pieces, ranks: Ranks, unk_id: int | None, longest: int = 0,
-    continuing_subword_prefix: str = "##", max_input_chars_per_word: int | None = None, **_: Any,
+    continuing_subword_prefix: str = "##", max_input_chars_per_word: int = 100, **_: Any,
 ) -> list[int]:
-    """The longest token that fits, again and again; the whole word is unknown if that gets stuck."""
+    """The longest token that fits, again and again; the whole word is unknown if that gets stuck.
+
+    Words above `max_input_chars_per_word` are unknown without a look; 100 is the published default.
+    """
     unknown = [] if unk_id is None else [unk_id]
-    if len(word) > (max_input_chars_per_word or MAX_INPUT_CHARS):
+    if len(word) > max_input_chars_per_word:
         return unknown
     ids, start = [], 0
     while start < len(word):

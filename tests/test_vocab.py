@@ -104,7 +104,7 @@ MODELS = {
 
 @pytest.mark.parametrize("name", MODELS)
 def test_encoding_equals_library(spark, documents, name):
-    from corpusmill.operators.encode import encode
+    from corpusmill.operators.encode import encode, encode_by_join
 
     tk = pytest.importorskip("tokenizers")
     kind = name.split("_affix")[0].split("_fuse")[0]
@@ -125,10 +125,10 @@ def test_encoding_equals_library(spark, documents, name):
         params["continuing_subword_prefix"] = "##"
     v = library_vocabulary(spark, t, kind, **params)
     wanted = {i: None if x is None else t.encode(x).ids for i, x in texts.items()}
-    for limit in (400_000, 0):
-        got = {r.doc_id: r.ids for r in encode(documents, "tokens", v, ["doc_id"], limit=limit).collect()}
+    for coded in (encode(documents, "tokens", v), encode_by_join(documents, "tokens", v, ["doc_id"])):
+        got = {r.doc_id: r.ids for r in coded.collect()}
         wrong = [i for i in wanted if got[i] != wanted[i]]
-        assert not wrong, (limit, len(wrong), wrong[0], got[wrong[0]][:20], wanted[wrong[0]][:20])
+        assert not wrong, (len(wrong), wrong[0], got[wrong[0]][:20], wanted[wrong[0]][:20])
 
 
 def test_wordpiece_learning(spark):
