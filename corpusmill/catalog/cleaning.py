@@ -59,7 +59,7 @@ TEXT_SQL = {
     "keep_alpha_words": lambda x: join(keep(words(x), r"regexp_full_match(w, '\p{L}+')"), " "),
     "newline_to_space": lambda x: f"replace({x}, chr(10), ' ')",
     "keep_ascii_words": lambda x: join(keep(words(x), r"regexp_full_match(w, '[\x00-\x7F]*')"), " "),
-    "strip_mentions": lambda x: sub(x, C.MENTION),
+    "strip_mentions": lambda x: sub(x, r"@[\p{L}\p{N}_]+"),
     "strip_retweet": no_retweet,
     "limit_chars": lambda x: f"substring({x}, 1, 300)",
 }
@@ -121,13 +121,12 @@ def chain_sql(source: str, names: list[str], key: str = "doc_id") -> str:
 
 
 FULL = [name for name, _ in C.DEFAULT_CHAIN]
-EXPRESSIONS = FULL[1:]
 
 
-@query("clean_chain", f"SELECT doc_id, text AS cleaned_text FROM {chain_sql(TWEET_LIKE, EXPRESSIONS)}")
+@query("clean_chain", f"SELECT conv_id, turn, text AS cleaned_text FROM {chain_sql('conversations', FULL, 'conv_id, turn')}")
 def _(spark, sf):
-    docs = tweet_like(texts(spark, sf, "documents"))
-    return docs.select("doc_id", C.clean_text(F.col("text"), EXPRESSIONS).alias("cleaned_text"))
+    turns = texts(spark, sf, "conversations")
+    return turns.select("conv_id", "turn", C.clean_text(F.col("text"), FULL).alias("cleaned_text"))
 
 
 @query("default_chain", f"SELECT doc_id, text AS cleaned_text FROM {chain_sql(TWEET_LIKE, FULL)}")
@@ -151,10 +150,10 @@ def _(spark, sf):
     return map_text(docs, lambda c: F.replace(C.normalize_blanks(c), F.lit(" "), F.lit("-"))).drop("text")
 
 
-@query("map_text_python", "SELECT doc_id, reverse(lower(source)) AS cleaned_text FROM documents")
+@query("map_text_python", "SELECT doc_id, reverse(lower(text)) AS cleaned_text FROM documents")
 def _(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "source")
-    return map_text(docs, lambda t: t.lower()[::-1], column="source", python=True).drop("source")
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return map_text(docs, lambda t: t.lower()[::-1], python=True).drop("text")
 
 
 @query("custom_cleaner", r"SELECT doc_id, lower(regexp_replace(text, '\p{N}+', '#', 'g')) AS cleaned_text FROM " + TWEET_LIKE)
@@ -164,10 +163,10 @@ def _(spark, sf):
     return docs.select("doc_id", C.clean_text(F.col("text"), ["mask_numbers", "lowercase"]).alias("cleaned_text"))
 
 
-@query("clean_stream", f"SELECT conv_id, turn, text AS cleaned_text FROM {chain_sql('conversations', EXPRESSIONS, 'conv_id, turn')}")
+@query("clean_stream", f"SELECT conv_id, turn, text AS cleaned_text FROM {chain_sql('conversations', FULL, 'conv_id, turn')}")
 def _(spark, sf):
     arrived = table(spark, sf, "conversations").select("conv_id", "turn", "text")
     folder = shared_folder(spark, "stream")
     arrived.repartition(4).write.parquet(f"{folder}/in")
-    run_clean_stream(spark, f"{folder}/in", arrived.schema, f"{folder}/out", f"{folder}/state", EXPRESSIONS)
+    run_clean_stream(spark, f"{folder}/in", arrived.schema, f"{folder}/out", f"{folder}/state", FULL)
     return spark.read.parquet(f"{folder}/out").select("conv_id", "turn", "cleaned_text")

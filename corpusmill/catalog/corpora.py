@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.catalog.cleaning import EXPRESSIONS, chain_sql
+from corpusmill.catalog.cleaning import FULL, chain_sql
 from corpusmill.catalog.common import Group, below, table, texts, words
-from corpusmill.catalog.tables import COMMENT_FLAGS, POST_FLAGS, comment_flags, post_flags
+from corpusmill.catalog.tables import COMMENT_FLAGS, POST_FLAGS, post_flags
+from corpusmill.functions.cleaners import words_of
+from corpusmill.functions.labels import TOXICITY_FLAGS
 from corpusmill.operators.relational import union_sources
+from corpusmill.operators.words import token_counts
 from corpusmill.operators.splits import quota_split, random_split, stratified_split
 from corpusmill.plans import recipes
 from corpusmill.plans.corpus import build_corpus, run_spec, write_corpus
@@ -58,16 +61,17 @@ def _(spark, sf):
 # make the train file and the labelled ones the test file.
 
 def posts(spark, dev_ratio=0.3, folder=""):
-    flags = post_flags(spark, folder)
-    english = F.col("lang") == "en"
-    return recipes.flagged_posts(flags.where(english), flags.where(~english), dev_ratio, ("doc_id",))
+    return recipes.posts_of(post_flags(spark, folder), F.coalesce(F.col("lang") != "en", F.lit(True)), dev_ratio, ("doc_id",))
 
 
 def comments(spark, dev_ratio=0.03, folder=""):
-    flags = comment_flags(spark, folder)
-    comments = texts(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("id"), F.col("text").alias("comment_text"))
-    unlabelled = comments.join(flags.where("toxic = -1"), "id").withColumn("toxic", F.lit(0))
-    return recipes.flagged_comments(unlabelled, comments, flags, dev_ratio)
+    joined = texts(spark, folder, "documents").join(table(spark, folder, "labels"), "doc_id", "left")
+    flags = [F.coalesce("toxic", F.lit(0)), F.col("quality"), *[F.lit(0)] * 4]
+    rows = joined.select(
+        F.col("doc_id").cast("string").alias("id"), F.col("text").alias("comment_text"), F.col("toxic").isNotNull().alias("tested"),
+        *[c.cast("int").alias(f) for c, f in zip(flags, TOXICITY_FLAGS)],
+    )
+    return recipes.comments_of(rows, F.col("tested"), dev_ratio)
 
 
 def tweets(spark, folder=""):
@@ -123,7 +127,7 @@ CORPUS = "(" + " UNION ALL ".join(
 ) + ")"
 CLEANED = f"""(SELECT text, label, split, dataset_name, cleaned_text FROM (
     SELECT original AS text, label, split, dataset_name, text AS cleaned_text FROM {chain_sql(
-        f"(SELECT text AS original, label, split, dataset_name, text FROM {CORPUS})", EXPRESSIONS, "original, label, split, dataset_name")})
+        f"(SELECT text AS original, label, split, dataset_name, text FROM {CORPUS})", FULL, "original, label, split, dataset_name")})
     WHERE len({words('cleaned_text')}) >= 2)"""
 
 
@@ -164,23 +168,40 @@ def _(spark, sf):
 
 @query("build_corpus", f"SELECT * FROM {CLEANED}")
 def _(spark, sf):
-    return build_corpus(spark, three_sources(sf), EXPRESSIONS)
+    return build_corpus(spark, three_sources(sf), FULL)
 
 
-@query("declared_corpus", f"SELECT * FROM {CLEANED} WHERE dataset_name <> 'comments'")
+@query("declared_corpus", f"SELECT * FROM {CLEANED}")
 def _(spark, sf):
     return run_spec(spark, {
         "sources": {
             "posts": {"source": "document_posts", "dev_ratio": 0.3, "folder": sf},
+            "comments": {"source": "document_comments", "dev_ratio": 0.03, "folder": sf},
             "tweets": {"source": "conversation_tweets", "folder": sf},
         },
-        "cleaners": EXPRESSIONS,
+        "cleaners": FULL,
         "min_words": 2,
     })
 
 
+@query("corrected_corpus")
+def _(spark, sf):
+    """The whole configured chain with spelling at its end, declared by name, over one source and its own frequencies."""
+    folder = shared_folder(spark, "frequencies")
+    turns = texts(spark, sf, "conversations").select(words_of(F.lower("text")).alias("ws"))
+    counts = token_counts(turns, F.col("ws"))
+    counts.where("cnt > 1").select(F.concat_ws(" ", "word", F.col("cnt").cast("string"))).write.text(f"{folder}/words")
+    beside = F.zip_with(F.slice("ws", 1, F.greatest(F.size("ws") - 1, F.lit(0))), F.slice("ws", 2, F.greatest(F.size("ws"), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+    pairs = turns.select(F.explode(beside).alias("pair")).groupBy("pair").agg(F.count("*").alias("cnt")).where("cnt > 1")
+    pairs.select(F.concat_ws(" ", "pair", F.col("cnt").cast("string"))).write.text(f"{folder}/pairs")
+    return run_spec(spark, {
+        "sources": {"tweets": {"source": "conversation_tweets", "folder": sf}},
+        "cleaners": [*FULL, ["spell_correct", {"dictionary": f"{folder}/words", "bigrams": f"{folder}/pairs"}]],
+    })
+
+
 @query("usable_texts", f"SELECT dataset_name, split, label, count(*)::BIGINT AS n FROM {CLEANED} GROUP BY ALL")
 def usable_texts(spark, sf):
     """How many usable texts each source, split and label keeps after cleaning."""
-    corpus = build_corpus(spark, three_sources(sf), EXPRESSIONS)
+    corpus = build_corpus(spark, three_sources(sf), FULL)
     return corpus.groupBy("dataset_name", "split", "label").agg(F.count("*").alias("n"))

@@ -54,22 +54,23 @@ def _(spark, sf):
     return scan_parquet(spark, f"{sf}/documents.parquet").select("doc_id", "lang", "n_chars")
 
 
-@query("versioned_path", "SELECT doc_id, lower(text) AS text FROM documents")
+@query("versioned_path", "SELECT doc_id, lower(text) AS text, lang AS label FROM documents")
 def _(spark, sf):
-    docs, base = table(spark, sf, "documents").select("doc_id", "text"), shared_folder(spark, "versions")
-    write_version(docs, base, "v1")
-    write_version(docs.withColumn("text", F.lower("text")), base, "v2")
-    return read_version(spark, base, "v2")
+    """Versions with other schemas beside each other, and names that differ only as text."""
+    docs, base = table(spark, sf, "documents"), shared_folder(spark, "versions")
+    write_version(docs.select("doc_id", "text"), base, "1")
+    write_version(docs.select("doc_id", F.lower("text").alias("text"), F.col("lang").alias("label")), base, "01")
+    return read_version(spark, base, "01")
 
 
 @query("load_dictionary", f"""
-    SELECT term, count(*)::BIGINT AS cnt FROM (SELECT unnest({words('text')}) AS term FROM documents) GROUP BY term HAVING count(*) >= 3
+    SELECT term, count(*)::BIGINT AS cnt FROM (SELECT replace(unnest({words('text')}), '|', '/') AS term FROM documents) GROUP BY term HAVING count(*) >= 3
 """)
 def _(spark, sf):
     path = shared_folder(spark, "dictionary")
     counts = token_counts(texts(spark, sf, "documents"), words_of(F.col("text")))
-    counts.select(F.concat_ws(" ", "word", F.col("cnt").cast("string"))).write.text(path)
-    return load_dictionary(spark, path, count_threshold=3)
+    counts.select(F.concat_ws("|", F.replace("word", F.lit("|"), F.lit("/")), F.col("cnt").cast("string"))).write.text(path)
+    return load_dictionary(spark, path, separator="|", count_threshold=3)
 
 
 @query("load_bigrams", f"""
@@ -203,6 +204,11 @@ def _(spark, sf):
     return R.table_shape(table(spark, sf, "documents"))
 
 
+@query("table_bytes_nested", "SELECT sum(12 + 4 * len(embedding))::BIGINT AS n_bytes FROM embeddings")
+def _(spark, sf):
+    return R.table_bytes(table(spark, sf, "embeddings"))
+
+
 @query("table_bytes", "SELECT sum(16 + strlen(text) + strlen(lang) + strlen(source))::BIGINT AS n_bytes FROM documents")
 def _(spark, sf):
     return R.table_bytes(table(spark, sf, "documents"))
@@ -245,7 +251,7 @@ def _(spark, sf):
     return R.union_sources([docs, table(spark, sf, "conversations").select("role", "text"), docs])
 
 
-@query("require_columns")
+@query("require_columns", ALL_DOCUMENTS)
 def _(spark, sf):
     return R.require_columns(table(spark, sf, "documents"), ["text", "lang"])
 

@@ -179,7 +179,8 @@ _registry: dict[str, Callable[..., Cleaner]] = {
     "limit_chars": limit_chars,
 }
 
-# The configured order, without the spelling step, which is a corpus job of its own.
+# The configured order. It ends with spelling, which needs frequency files: build_corpus and run_spec take it as a
+# step ("spell_correct", {"dictionary": ..., "bigrams": ...}) after these.
 DEFAULT_CHAIN: list[tuple[str, dict[str, Any]]] = [
     ("stopwords", {}),
     ("lowercase", {}),

@@ -21,9 +21,6 @@ CORPUS_WORDS = 1_024_908_267_229.0
 
 MAX_DISTANCE = 2
 PREFIX_LENGTH = 7
-# Variants this short are shared by very many words; they are spread over that many join keys.
-SHORT_VARIANT = 2
-SPREAD = 16
 
 
 def build_dictionary(counts: DataFrame, count_threshold: int = 1) -> DataFrame:
@@ -89,16 +86,15 @@ def spell_candidates(
     tokens: DataFrame, dictionary: DataFrame, max_distance: int = MAX_DISTANCE, prefix_length: int = PREFIX_LENGTH
 ) -> DataFrame:
     """(token, term, cnt, distance): all terms within the distance of each distinct token."""
-    short = F.length("variant") <= SHORT_VARIANT
+    # The length of the term is part of the key, so that only pairs of fitting lengths are formed. A key that
+    # many words share nevertheless is split by adaptive execution, as the join needs none of it together.
+    size = F.length("token")
+    lengths = F.sequence(F.greatest(size - max_distance, F.lit(0)), size + max_distance)
     asked = tokens.select("token", F.explode(delete_variants(F.col("token"), max_distance, prefix_length)).alias("variant"))
-    asked = asked.withColumn("spread", F.when(short, F.pmod(F.xxhash64("token"), F.lit(SPREAD))).otherwise(F.lit(0)).cast("int"))
-    index = delete_index(dictionary, max_distance, prefix_length)
-    copies = F.when(short, F.sequence(F.lit(0), F.lit(SPREAD - 1))).otherwise(F.array(F.lit(0)))
-    index = index.withColumn("spread", F.explode(copies))
-    near = (F.abs(F.length("token") - F.length("term")) <= max_distance) & (
-        F.levenshtein(F.col("token"), F.col("term"), 2 * max_distance) >= 0
-    )
-    pairs = asked.join(index, ["variant", "spread"]).where(near).select("token", "term", "cnt").distinct()
+    asked = asked.withColumn("size", F.explode(lengths))
+    index = delete_index(dictionary, max_distance, prefix_length).withColumn("size", F.length("term"))
+    near = F.levenshtein(F.col("token"), F.col("term"), 2 * max_distance) >= 0
+    pairs = asked.join(index, ["variant", "size"]).where(near).select("token", "term", "cnt").distinct()
     measured = pairs.withColumn("distance", edit_distance(F.col("token"), F.col("term"), max_distance))
     return measured.where(F.col("distance") <= max_distance)
 
@@ -108,20 +104,16 @@ def spell_best(
 ) -> DataFrame:
     """(token, term, cnt, distance): the nearest term, then the most frequent, then the first by name.
 
-    Distances are tried in turn, each only for the tokens without an answer so far.
+    A token that is a term itself needs no candidates.
     """
-    found = [tokens.join(dictionary, tokens["token"] == dictionary["term"]).select("token", "term", "cnt", F.lit(0).alias("distance"))]
+    exact = tokens.join(dictionary, tokens["token"] == dictionary["term"]).select("token", "term", "cnt", F.lit(0).alias("distance"))
     left = tokens.join(dictionary, tokens["token"] == dictionary["term"], "left_anti")
-    for distance in range(1, max_distance + 1):
-        order = F.struct("distance", -F.col("cnt"), "term")
-        best = (
-            spell_candidates(left, dictionary, distance, prefix_length)
-            .groupBy("token").agg(F.min_by(F.struct("term", "cnt", "distance"), order).alias("b")).select("token", "b.*")
-        )
-        best = materialize(best, "nearest")
-        found.append(best)
-        left = left.join(best, "token", "left_anti")
-    return reduce(DataFrame.unionByName, found)
+    order = F.struct("distance", -F.col("cnt"), "term")
+    best = (
+        spell_candidates(left, dictionary, max_distance, prefix_length)
+        .groupBy("token").agg(F.min_by(F.struct("term", "cnt", "distance"), order).alias("b")).select("token", "b.*")
+    )
+    return exact.unionByName(best)
 
 
 def terms_of(text: Column) -> Column:

@@ -12,11 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpusmill.plans.recipes  # noqa: F401  registers the built-in sources
-from corpusmill.functions.cleaners import DEFAULT_CHAIN, Spec, resolve, words_of
+from corpusmill.functions.cleaners import DEFAULT_CHAIN, Spec, clean_column, resolve, words_of
 from corpusmill.operators.hotkeys import lookup_join
-from corpusmill.operators.relational import add_cleaned_text, clean_and_filter, filter_min_words
+from corpusmill.operators.relational import clean_and_filter, filter_min_words
 from corpusmill.operators.spelling import spell_compound
 from corpusmill.session import materialize
+from corpusmill.sources.files import load_bigrams, load_dictionary
 from corpusmill.sources.registry import SourceFn, read_sources, source
 from corpusmill.sources.sinks import manifest, write_manifest, write_splits
 
@@ -54,6 +55,34 @@ def spell_correct(df: DataFrame, column: str, dictionary: DataFrame, bigrams: Da
     return joined.withColumn(column, F.col("_corrected")).select(*df.columns)
 
 
+SPELLING = "spell_correct"
+
+
+def spelling_params(spark: SparkSession, params: Mapping[str, Any]) -> dict[str, Any]:
+    """The arguments of `spell_correct` from those of a named step; dictionaries may be given as paths of frequency files."""
+    given = dict(params)
+    for name, load in (("dictionary", load_dictionary), ("bigrams", load_bigrams)):
+        if isinstance(given.get(name), str):
+            given[name] = load(spark, given[name])
+    return given
+
+
+def clean_texts(df: DataFrame, cleaners: Spec, column: str = "text", output: str = "cleaned_text") -> DataFrame:
+    """Adds the cleaned text for a chain that may hold spelling steps, each a corpus job between expressions."""
+    df, part = df.withColumn(output, F.col(column)), []
+    for step in [*cleaners, None]:
+        name, params = (step, {}) if isinstance(step, str) or step is None else step
+        if step is not None and name != SPELLING:
+            part.append(step)
+            continue
+        if part:
+            df = df.withColumn(output, clean_column(df, output, part))
+            part = []
+        if name == SPELLING:
+            df = spell_correct(df, output, **spelling_params(df.sparkSession, params))
+    return df
+
+
 def build_corpus(
     spark: SparkSession,
     sources: Mapping[str, SourceFn],
@@ -62,11 +91,15 @@ def build_corpus(
     spelling: Mapping[str, Any] | None = None,
     repartition: Mapping[str, Any] | None = None,
 ) -> DataFrame:
-    """One lazy plan from the sources to the cleaned rows; `spelling` adds the corpus job that corrects them."""
+    """One lazy plan from the sources to the cleaned rows; a step ("spell_correct", {dictionary, bigrams}) is a corpus job of its own.
+
+    `spelling` puts that step at the end of the chain.
+    """
     df = read_sources(spark, sources, repartition)
     if spelling:
-        df = spell_correct(add_cleaned_text(df, cleaners), "cleaned_text", **spelling)
-        return filter_min_words(df, "cleaned_text", min_words).select(*CORPUS_COLUMNS)
+        cleaners = [*cleaners, (SPELLING, dict(spelling))]
+    if any(step[0] == SPELLING for step in cleaners if not isinstance(step, str)):
+        return filter_min_words(clean_texts(df, cleaners), "cleaned_text", min_words).select(*CORPUS_COLUMNS)
     return clean_and_filter(df, cleaners, min_words).select(*CORPUS_COLUMNS)
 
 
@@ -98,7 +131,10 @@ def parse_spec(spec: Mapping[str, Any]) -> dict[str, Any]:
             raise ValueError(f"source {name!r} takes no {sorted(wrong)}")
         sources[name] = partial(fn, **params)
     cleaners = [c if isinstance(c, str) else (c[0], dict(c[1])) for c in spec.get("cleaners", DEFAULT_CHAIN)]
-    resolve(cleaners)
+    resolve([c for c in cleaners if isinstance(c, str) or c[0] != SPELLING])
+    for _, params in (c for c in cleaners if not isinstance(c, str) and c[0] == SPELLING):
+        if not {"dictionary", "bigrams"} <= set(params):
+            raise ValueError("spell_correct needs a dictionary and bigrams")
     return {
         "sources": sources, "cleaners": cleaners, "min_words": spec.get("min_words", 2),
         "repartition": spec.get("repartition"), "spelling": spec.get("spelling"),

@@ -24,12 +24,13 @@ def _dev_or_train(ratio: float, salt: str, *key: str | Column) -> Column:
 
 def flagged_posts(train: DataFrame, test: DataFrame, dev_ratio: float = 0.3, key: tuple[str, ...] = ("text",)) -> DataFrame:
     """Annotator flags; the train file gives train and dev, the test file is kept."""
-    parts = []
-    for file, part in ((train, "train"), (test, "test")):
-        labelled = file.withColumn("label", any_flag_strict(*POST_FLAGS))
-        split = _dev_or_train(dev_ratio, "posts-dev", *key) if part == "train" else F.lit("test")
-        parts.append(labelled.withColumn("split", split))
-    return union_sources(parts)
+    return union_sources([posts_of(train, F.lit(False), dev_ratio, key), posts_of(test, F.lit(True), dev_ratio, key)])
+
+
+def posts_of(rows: DataFrame, is_test: Column, dev_ratio: float = 0.3, key: tuple[str, ...] = ("text",)) -> DataFrame:
+    """The same for rows of one table, which is read once."""
+    labelled = rows.withColumn("label", any_flag_strict(*POST_FLAGS))
+    return labelled.withColumn("split", F.when(is_test, "test").otherwise(_dev_or_train(dev_ratio, "posts-dev", *key)))
 
 
 def flagged_comments(
@@ -37,19 +38,21 @@ def flagged_comments(
     key: tuple[str, ...] = ("id",),
 ) -> DataFrame:
     """Toxicity flags; the labelled test rows keep a share as test and give the rest to train and dev."""
-
-    def labelled(df: DataFrame) -> DataFrame:
-        return rename_text(df, {"comment_text": "text"}).withColumn("label", any_flag(*TOXICITY_FLAGS))
-
-    tested = labelled(drop_sentinel(join_labels(test, test_labels, "id"), "toxic"))
-    pool_split = _dev_or_train(dev_ratio, "comments-dev", *key)
-    kept = stratified_draw(kept_test, "label", "comments-test", *key)
+    tested = drop_sentinel(join_labels(test, test_labels, "id"), "toxic")
     return union_sources([
-        labelled(train).withColumn("split", pool_split),
-        tested.withColumn("split", F.when(kept, "test").otherwise(pool_split)),
+        comments_of(train, F.lit(False), dev_ratio, kept_test, key), comments_of(tested, F.lit(True), dev_ratio, kept_test, key),
     ])
 
 
+def comments_of(
+    rows: DataFrame, tested: Column, dev_ratio: float = 0.03, kept_test: float = 0.1, key: tuple[str, ...] = ("id",)
+) -> DataFrame:
+    """The same for rows of one table, which is read once; `tested` marks the labelled test rows."""
+    labelled = rename_text(rows, {"comment_text": "text"}).withColumn("label", any_flag(*TOXICITY_FLAGS))
+    kept = tested & stratified_draw(kept_test, "label", "comments-test", *key)
+    return labelled.withColumn("split", F.when(kept, "test").otherwise(_dev_or_train(dev_ratio, "comments-dev", *key)))
+
+
 def categorised_tweets(
     tweets: DataFrame, test_ratio: float = 0.1, dev_ratio: float = 0.125, negative: str = "not_cyberbullying",
     key: tuple[str, ...] = ("text",),

@@ -1,5 +1,5 @@
-import re
 import string
+from itertools import groupby
 
 import pytest
 from conftest import column_values, same
@@ -7,48 +7,94 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import cleaners as C
 
+STOP = set(C.ENGLISH_STOPWORDS)
 
-def words_through(fn):
-    return lambda ws: fn(" ".join(ws)).split()
 
+# What is wanted, found by walking over the characters.
 
-def each(fn):
-    return lambda ws: [fn(w) for w in ws]
+def is_word(c):
+    return c == "_" or c.isalnum()
 
 
-PUNCT = str.maketrans("", "", string.punctuation)
-STOP = set(C.ENGLISH_STOPWORDS)
+def without_runs(text, openers, inside):
+    """The text without every opener that at least one more character of the wanted kind follows, and all of these."""
+    out, i = [], 0
+    while i < len(text):
+        end = next((i + len(o) for o in openers if text.startswith(o, i)), None)
+        if end is not None and end < len(text) and inside(text[end]):
+            while end < len(text) and inside(text[end]):
+                end += 1
+            i = end
+        else:
+            out.append(text[i])
+            i += 1
+    return "".join(out)
+
+
+def no_url(text):
+    return without_runs(text, ("http", "www"), lambda c: not c.isspace())
+
+
+def no_mention(text):
+    return without_runs(text, ("@",), is_word)
+
 
+def no_rt(text):
+    runs = ["".join(run) for _, run in groupby(text, is_word)]
+    return "".join(run for run in runs if run.lower() != "rt")
 
-def no_url(t):
-    return re.sub(r"http\S+|www\S+", "", t)
 
+def no_punctuation(word):
+    return "".join(c for c in word if c not in string.punctuation)
 
-def no_mention(t):
-    return re.sub(r"@\w+", "", t)
 
+def over_words(fn):
+    """A text form from a function of a word list."""
+    return lambda text: " ".join(fn(text.split()))
 
-def no_rt(t):
-    return re.sub(r"\brt\b", "", t, flags=re.I)
 
+def over_text(fn):
+    """A word-list form from a function of a text."""
+    return lambda words: fn(" ".join(words)).split()
 
-def joined(f):
-    return lambda t: " ".join(f(t.split()))
 
+def mapped(fn):
+    return lambda words: list(map(fn, words))
 
+
+def only(keep):
+    return lambda words: list(filter(keep, words))
+
+
+# name: (text form, word-list form, parameters)
 CASES = {
-    "lowercase": (str.lower, each(str.lower), {}),
-    "strip_urls": (no_url, each(no_url), {}),
-    "strip_punctuation": (joined(each(lambda w: w.translate(PUNCT))), each(lambda w: w.translate(PUNCT)), {}),
-    "keep_alpha_words": (
-        joined(lambda ws: [w for w in ws if w.isalpha()]), lambda ws: [w for w in ws if w.isalpha()], {}),
-    "newline_to_space": (lambda t: t.replace("\n", " "), each(lambda t: t.replace("\n", " ")), {}),
-    "keep_ascii_words": (
-        joined(lambda ws: [w for w in ws if w.isascii()]), lambda ws: [w for w in ws if w.isascii()], {}),
-    "strip_mentions": (no_mention, words_through(no_mention), {}),
-    "limit_chars": (lambda t: t[:7], words_through(lambda t: t[:7]), {"limit": 7}),
+    "lowercase": (str.lower, mapped(str.lower), {}),
+    "strip_urls": (no_url, mapped(no_url), {}),
+    "strip_punctuation": (over_words(mapped(no_punctuation)), mapped(no_punctuation), {}),
+    "keep_alpha_words": (over_words(only(str.isalpha)), only(str.isalpha), {}),
+    "newline_to_space": (lambda t: " ".join(t.split("\n")), mapped(lambda w: " ".join(w.split("\n"))), {}),
+    "keep_ascii_words": (over_words(only(str.isascii)), only(str.isascii), {}),
+    "strip_mentions": (no_mention, over_text(no_mention), {}),
+    "limit_chars": (lambda t: t[:7], over_text(lambda t: t[:7]), {"limit": 7}),
 }
 
+LITERAL = [
+    ("lowercase", "Some TEXT", "some text"),
+    ("strip_urls", "see http://a.b/c now www.x. http www", "see  now  http www"),
+    ("strip_punctuation", "it's  (so) -- good!", "its so  good"),
+    ("keep_alpha_words", "abc a1 don't é 3", "abc é"),
+    ("newline_to_space", "a\nb\n", "a b "),
+    ("keep_ascii_words", "abc é naïve x", "abc x"),
+    ("strip_mentions", "hi @bob_1, a@b @ x", "hi , a @ x"),
+    ("strip_retweet", "RT: art rt _rt (Rt)", ": art  _rt ()"),
+    ("limit_chars", "x" * 400, "x" * 300),
+]
+
+
+@pytest.mark.parametrize("name, text, wanted", LITERAL)
+def test_literal_results(spark, name, text, wanted):
+    assert spark.createDataFrame([(text,)], "t string").select(C.cleaner(name).text(F.col("t"))).first()[0] == wanted
+
 
 @pytest.mark.parametrize("name", CASES)
 def test_text_mode(string_frame, strings, name):
@@ -64,11 +110,10 @@ def test_word_mode(string_frame, strings, name):
     same(column_values(frame, C.cleaner(name, **params).words(F.col("t"))), wanted, strings)
 
 
-def test_retweet_against_python_boundaries(string_frame, strings):
-    # Python's \b looks at \w on both sides, which the look-around form spells out.
+def test_retweet_marks_are_whole_words(string_frame, strings):
     same(column_values(string_frame, C.cleaner("strip_retweet").text(F.col("t"))), map(no_rt, strings), strings)
     frame = string_frame.select("i", F.split("t", " ").alias("t"))
-    wanted = [words_through(no_rt)(t.split(" ")) for t in strings]
+    wanted = [over_text(no_rt)(t.split(" ")) for t in strings]
     same(column_values(frame, C.cleaner("strip_retweet").words(F.col("t"))), wanted, strings)
 
 

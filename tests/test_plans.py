@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 import corpusmill.plans.recipes  # noqa: F401
 from corpusmill.functions import cleaners as C
-from corpusmill.operators.postprocess import pad_batch, post_bert, post_byte_level, post_roberta
+from corpusmill.operators.postprocess import pad_batch, post_bert, post_roberta
 from corpusmill.plans.corpus import map_text, parse_spec, run_spec, spell_correct, write_corpus
-from corpusmill.plans.tokenizer import TokenizerSpec, decode_tokens, encode_texts, train_tokenizer
+from corpusmill.plans.tokenizer import TokenizerSpec, decode_tokens, encode_texts, token_offsets, train_tokenizer
 from corpusmill.sources.files import load_bigrams, load_dictionary, read_version, scan_csv, write_csv, write_version
 from corpusmill.sources.registry import register_source
 from corpusmill.sources.sinks import load_vocab
@@ -92,6 +92,17 @@ def test_spec_is_checked(raw_files):
         parse_spec({"sources": {}})
 
 
+def test_spelling_is_a_step_of_a_declared_chain(spark, tmp_path):
+    (tmp_path / "words.txt").write_text("hello 50\nworld 40\n")
+    (tmp_path / "pairs.txt").write_text("hello world 9\n")
+    register_source("greetings", lambda session: session.createDataFrame([("@bob HELO wrld", 1, "train"), (None, 0, "dev")], "text string, label int, split string"))
+    step = ["spell_correct", {"dictionary": str(tmp_path / "words.txt"), "bigrams": str(tmp_path / "pairs.txt")}]
+    spec = {"sources": {"g": {"source": "greetings"}}, "cleaners": ["strip_mentions", "lowercase", step, ["limit_chars", {"limit": 8}]]}
+    assert [r.cleaned_text for r in run_spec(spark, spec).collect()] == ["hello wo"]
+    with pytest.raises(ValueError, match="needs a dictionary"):
+        parse_spec({**spec, "cleaners": [["spell_correct", {}]]})
+
+
 def test_custom_source_of_three_frames(spark):
     def three(session, n):
         return tuple(session.createDataFrame([(f"text {i} {s}", 1) for i in range(n)], "text string, label int") for s in "abc")
@@ -118,6 +129,9 @@ def test_versions_and_dictionaries(spark, tmp_path):
     for v in ("v3", "v5"):
         write_version(spark.createDataFrame([(v,)], "t string"), base, v)
     assert [r.t for r in read_version(spark, base, "v5").collect()] == ["v5"]
+    write_version(spark.createDataFrame([("a", 1), ("b", 2)], "t string, label int"), base, "1")
+    write_version(spark.createDataFrame([("c", 3)], "t string, label int"), base, "01")
+    assert read_version(spark, base, "1").columns == ["t", "label"] and read_version(spark, base, "1").count() == 2
     (tmp_path / "words.txt").write_text("the 23\ncat 2\nrare 1\nthe 2\n\n")
     (tmp_path / "pairs.txt").write_text("the cat 9\na dog 4\n")
     words = load_dictionary(spark, str(tmp_path / "words.txt"), count_threshold=2)
@@ -126,6 +140,38 @@ def test_versions_and_dictionaries(spark, tmp_path):
     assert {tuple(r) for r in pairs.collect()} == {("the", "cat", 9), ("a", "dog", 4)}
 
 
+def test_other_separators_are_taken_literally(spark, tmp_path):
+    (tmp_path / "words.txt").write_text("foo|7\nbar|x\n")
+    (tmp_path / "pairs.txt").write_text("a.b.3\n")
+    assert [tuple(r) for r in load_dictionary(spark, str(tmp_path / "words.txt"), separator="|").collect()] == [("foo", 7)]
+    assert [tuple(r) for r in load_bigrams(spark, str(tmp_path / "pairs.txt"), separator=".").collect()] == [("a", "b", 3)]
+
+
+def test_single_line_files_are_split(spark, tmp_path):
+    rows = spark.range(20_000).select("id", F.concat(F.lit("text "), "id").alias("t"))
+    write_csv(rows.coalesce(1), str(tmp_path / "c"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    try:
+        read = scan_csv(spark, str(tmp_path / "c"), rows.schema, multi_line=False)
+        assert read.rdd.getNumPartitions() > 1 and sorted(read.collect()) == sorted(rows.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_a_split_of_another_name_fails_when_read(spark):
+    register_source("odd_split", lambda session: session.createDataFrame([("t", 1, "eval")], "text string, label int, split string"))
+    with pytest.raises(Exception, match="invalid split name"):
+        run_spec(spark, {"sources": {"odd": {"source": "odd_split"}}, "cleaners": ["lowercase"], "min_words": 1}).collect()
+
+
+def test_each_table_is_scanned_once_per_source(spark):
+    from corpusmill.catalog.corpora import comments, posts
+
+    for made in (posts(spark, folder="/root/testdata/sf0.001"), comments(spark, folder="/root/testdata/sf0.001")):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 2, plan
+
+
 def test_stream_equals_batch_and_resumes(spark, tmp_path):
     paths = [str(tmp_path / p) for p in ("in", "out", "state")]
     spec = ["lowercase", "strip_mentions"]
@@ -163,7 +209,7 @@ def test_tokenizer_round_trip(spark, tmp_path):
     train_tokenizer(df, "t", spec, str(tmp_path / "v"))
     v = load_vocab(spark, str(tmp_path / "v"))
     assert v.kind == "bpe" and v.params["unk_token"] == "[UNK]"
-    got = {r.i: (r.ids, r.type_ids) for r in encode_texts(df, "t", spec, v, ["i"]).collect()}
+    got = {r.i: (r.ids, r.type_ids) for r in encode_texts(df, "t", spec, v).collect()}
     t = tk.Tokenizer(tk.models.BPE(unk_token="[UNK]"))
     t.pre_tokenizer = tk.pre_tokenizers.Whitespace()
     t.train_from_iterator(texts, tk.trainers.BpeTrainer(
@@ -195,8 +241,6 @@ def test_sequence_pairs_equal_library(spark):
 
 def test_offsets_equal_library(spark, strings):
     tk = pytest.importorskip("tokenizers")
-    from corpusmill.catalog.vocabularies import byte_level_tokens
-
     texts = [s for s in strings if s.isascii()][:300] + ["  two  blanks ", " a b", "x  "]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
     pre = tk.pre_tokenizers.ByteLevel(add_prefix_space=False)
@@ -206,12 +250,28 @@ def test_offsets_equal_library(spark, strings):
     for prefix in (True, False):
         t.post_processor = tk.processors.ByteLevel(trim_offsets=True, add_prefix_space=prefix)
         got = {}
-        for r in post_byte_level(byte_level_tokens(df, "i"), add_prefix_space=prefix).orderBy("i", "position").collect():
+        spec = TokenizerSpec(post_processor="byte_level", post_params={"add_prefix_space": prefix})
+        for r in token_offsets(df, "text", spec, ["i"]).orderBy("i", "position").collect():
             got.setdefault(r.i, []).append((r.start, r.end))
         for i, text in enumerate(texts):
             assert got.get(i, []) == t.encode(text).offsets, (prefix, text)
 
 
+def test_names_of_special_tokens_and_padding_are_parameters(spark):
+    special = ["<unk>", "<s>", "</s>", "<pad>"]
+    df = spark.createDataFrame([(1, "a b"), (1, "a"), (2, "b")], "i int, t string")
+    for padding, widths in (({"longest": True}, [4, 4, 4]), ({"batch": "i"}, [3, 4, 4]), ({"length": 6}, [6, 6, 6]), (None, [3, 3, 4])):
+        spec = TokenizerSpec("word_level", {"vocab_size": 9, "special_tokens": special}, post_processor="roberta", padding=padding,
+                             cls_token="<s>", sep_token="</s>", pad_token="<pad>")
+        rows = encode_texts(df, "t", spec, train_tokenizer(df, "t", spec)).collect()
+        assert sorted(len(r.ids) for r in rows) == widths and all(r.ids[0] == 1 and 2 in r.ids for r in rows)
+        assert padding is None or all(sum(r.attention_mask) == len([x for x in r.ids if x != 3]) for r in rows)
+    with pytest.raises(ValueError, match="padding"):
+        TokenizerSpec(padding={"width": 3})
+    with pytest.raises(ValueError, match="options"):
+        TokenizerSpec(post_params={"trim": True})
+
+
 def test_padding(spark):
     df = spark.createDataFrame([(1, [7]), (1, [7, 8, 9]), (2, [5]), (2, [])], "b int, ids array<int>").coalesce(1)
     assert [r.ids for r in pad_batch(df, "ids", 0).collect()] == [[7, 0, 0], [7, 8, 9], [5, 0, 0], [0, 0, 0]]
