@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,13 @@ RECALL = 0.999
 DEPTH = 3
 SMALL = 200
 BLOCK = 1024
+# Sizes of the pieces in which matrices are multiplied and reduced.
+COLUMNS = 4096
+ROWS = 256
+# A set goes on only if it met others in at least so many first-level buckets: a pair at the threshold meets in one
+# with probability 0.67 a run, so that twelve runs leave it below two in 4 of 100,000 cases, while texts that share
+# a line meet by chance once.
+LEAST_MEETINGS = 2
 
 _RUN = 0x2545F4914F6CDD1D
 _MASK = (1 << 64) - 1
@@ -91,34 +99,43 @@ def _sketches(docs: DataFrame, key: str, text: str, runs: int, threshold: float)
                 tokens, bounds = shingle_sets(part.column(1))
                 sizes = np.diff(bounds)
                 owner = np.repeat(np.arange(len(sizes)), sizes)
-                ends = np.concatenate([np.zeros(1, np.uint64), np.cumsum(tokens)]), np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(tokens))])
                 found = [choose(tokens, owner, sizes, np.full(len(sizes), (r + 1) * _RUN & _MASK, np.uint64), threshold) for r in range(runs)]
                 who, bucket = owner[np.concatenate([f[0] for f in found])], np.concatenate([f[1] for f in found])
                 order = np.lexsort((bucket, who))
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.searchsorted(who[order], np.arange(len(sizes) + 1)).astype(np.int32)), pa.array(bucket[order].view(np.int64))
                 )
-                signs = [pa.array((e[bounds[1:]] - e[bounds[:-1]]).view(np.int64)) for e in ends]
+                signs = [pa.array(sign) for sign in _signs(tokens, bounds)]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes.astype(np.int64)), *signs, lists], names=["doc_id", "n", "a", "b", "buckets"])
 
     rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(run, "doc_id bigint, n bigint, a bigint, b bigint, buckets array<bigint>")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
-    """(doc_id, tokens): the shingle set as 64-bit numbers in one binary value."""
+def _sets(rows: DataFrame) -> DataFrame:
+    """(node, copies, tokens) from rows (text, node, copies): the shingle set as 64-bit numbers in one binary value.
+
+    Rows whose text has another sign than the node are left out: several texts can share an id.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                tokens, bounds = shingle_sets(part.column(1))
-                yield pa.RecordBatch.from_arrays([part.column(0), binary_rows(tokens, bounds).cast(pa.binary())], names=["doc_id", "tokens"])
+                tokens, bounds = shingle_sets(part.column(0))
+                found = pa.RecordBatch.from_arrays([part.column(1), part.column(2), binary_rows(tokens, bounds).cast(pa.binary())], names=["node", "copies", "tokens"])
+                yield found.filter(pa.array(_signs(tokens, bounds)[0] == np.asarray(part.column(1))))
+
+    return rows.select("text", "node", "copies").mapInArrow(run, "node bigint, copies bigint, tokens binary")
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, tokens binary")
+
+def _signs(tokens: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+    """Two sums over each set that tell sets apart."""
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(t)]) for t in (tokens, mix(tokens))]
+    return [(total[bounds[1:]] - total[bounds[:-1]]).view(np.int64) for total in sums]
 
 
 def _children(rows: DataFrame, threshold: float) -> DataFrame:
-    """(bucket, doc_id) of the next level for rows (bucket, doc_id, tokens)."""
+    """(bucket, node) of the next level for rows (bucket, node, tokens)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -128,34 +145,43 @@ def _children(rows: DataFrame, threshold: float) -> DataFrame:
                 sizes = np.array([len(s) for s in sets])
                 at, child = choose(np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes), sizes, np.asarray(part.column(0)).view(np.uint64), threshold)
                 owner = np.searchsorted(np.cumsum(sizes), at, side="right")
-                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), part.column(1).take(pa.array(owner))], names=["bucket", "doc_id"])
+                yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), part.column(1).take(pa.array(owner))], names=["bucket", "node"])
 
-    return rows.select("bucket", "doc_id", "tokens").mapInArrow(run, "bucket bigint, doc_id bigint").distinct()
+    return rows.select("bucket", "node", "tokens").mapInArrow(run, "bucket bigint, node bigint").distinct()
 
 
 def _with_size(rows: DataFrame) -> DataFrame:
-    """(bucket, doc_id, size) without the buckets of one set."""
+    """(bucket, node, size) without the buckets of one set."""
     sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
     return rows.join(sizes, "bucket")
 
 
-def linked(sets: list[np.ndarray], threshold: tuple[int, int]) -> np.ndarray:
-    """A matrix: which two of the sets have at least the threshold's similarity; none with itself."""
-    over, under = threshold
-    sizes = np.array([len(s) for s in sets])
-    _, token, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    shared = often[token] > 1
-    owner, token = owner[shared], (np.cumsum(often > 1) - 1)[token[shared]]
-    common = np.zeros((len(sets), len(sets)), np.float32)
-    for low in range(0, int((often > 1).sum()), 4096):
-        here = (token >= low) & (token < low + 4096)
-        has = np.zeros((len(sets), 4096), np.float32)
-        has[owner[here], token[here] - low] = 1
-        common += has @ has.T
-    answer = common * (over + under) >= over * (sizes[:, None] + sizes[None, :])
-    np.fill_diagonal(answer, False)
-    return answer
+def in_common(n: int, owner: np.ndarray, column: np.ndarray, n_columns: int, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """How many columns each row in `one` has in common with each in `other`, as products of 0/1 matrices."""
+    common = np.zeros((len(one), len(other)), np.float32)
+    sides = []
+    for rows in (one, other):
+        place = np.full(n, -1)
+        place[rows] = np.arange(len(rows))
+        here = place[owner] >= 0
+        sides.append((len(rows), place[owner[here]], column[here]))
+    for low in range(0, n_columns, COLUMNS):
+        parts = []
+        for size, row, at in sides:
+            inside = (at >= low) & (at < low + COLUMNS)
+            has = np.zeros((size, min(COLUMNS, n_columns - low)), np.float32)
+            has[row[inside], at[inside] - low] = 1
+            parts.append(has)
+        common += parts[0] @ parts[1].T
+    return common
+
+
+def shared_only(values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """(row, column, columns): the entries that occur in several rows, numbered."""
+    owner = np.repeat(np.arange(len(values)), [len(v) for v in values])
+    _, place, often = np.unique(np.concatenate(values), return_inverse=True, return_counts=True)
+    several = often[place] > 1
+    return owner[several], (np.cumsum(often > 1) - 1)[place[several]], int((often > 1).sum())
 
 
 def compare(
@@ -164,47 +190,50 @@ def compare(
     """(links, root) of each text of a bucket or of two of its blocks; links are counted for pairs that meet in no smaller bucket.
 
     `sides` tells which block a text is of. With two blocks only pairs across are compared, as the others
-    are compared elsewhere. The root is the smallest id of the text's component in the comparison.
+    are compared elsewhere. The root is the smallest id of the text's component in the comparison. Matrices
+    have one row and one column per text of a block, so a comparison holds a few megabytes.
     """
-    pairs = linked(sets, threshold)
-    if sides.min() != sides.max():
-        pairs &= sides[:, None] != sides[None, :]
-    flat = np.concatenate(buckets)
-    owner = np.repeat(np.arange(len(ids)), [len(b) for b in buckets])
-    smaller = flat < bucket
-    names, place, often = np.unique(flat[smaller], return_inverse=True, return_counts=True)
-    counted = pairs.copy()
-    several = np.flatnonzero(often > 1)
-    for low in range(0, len(several), 4096):
-        column = np.full(len(names), -1)
-        column[several[low:low + 4096]] = np.arange(len(several[low:low + 4096]))
-        use = column[place] >= 0
-        has = np.zeros((len(ids), 4096), np.float32)
-        has[owner[smaller][use], column[place][use]] = 1
-        counted &= (has @ has.T) == 0
-    root = ids.copy()
+    n, (over, under) = len(ids), threshold
+    across = bool(sides.min() != sides.max())
+    one, other = (np.flatnonzero(sides == sides.min()), np.flatnonzero(sides != sides.min())) if across else (np.arange(n), np.arange(n))
+    sizes = np.array([len(s) for s in sets], np.float32)
+    pairs = in_common(n, *shared_only(sets), one, other)
+    pairs *= over + under
+    pairs = pairs >= over * (sizes[one][:, None] + sizes[other][None, :])
+    if not across:
+        np.fill_diagonal(pairs, False)
+    counted = pairs & (in_common(n, *shared_only([b[b < bucket] for b in buckets]), one, other) == 0)
+    links, root = np.zeros(n), ids.copy()
+    most = np.iinfo(np.int64).max
+    views = [(one, other, pairs, counted)] + [(other, one, pairs.T, counted.T)] * across
+    for rows, columns, _, count in views:
+        for low in range(0, len(rows), ROWS):
+            links[rows[low:low + ROWS]] += count[low:low + ROWS].astype(float) @ weights[columns]
     while True:
-        least = np.where(pairs, root[None, :], np.iinfo(np.int64).max).min(axis=1)
-        nearer = np.minimum(root, least)
+        nearer = root.copy()
+        for rows, columns, pair, _ in views:
+            for low in range(0, len(rows), ROWS):
+                part = rows[low:low + ROWS]
+                nearer[part] = np.minimum(nearer[part], np.where(pair[low:low + ROWS], root[columns][None, :], most).min(axis=1, initial=most))
         if (nearer == root).all():
-            return (counted * weights[None, :]).sum(axis=1), root
+            return links.astype(np.int64), root
         root = nearer
 
 
 def _compare_all(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """(doc_id, links, root) from rows (bucket, low, high, side, doc_id, copies, buckets, tokens) that stand together by comparison."""
+    """(node, links, root) from rows (bucket, low, high, side, node, copies, buckets, tokens) that stand together by comparison."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[dict] = []
 
         def finish() -> pa.RecordBatch:
-            ids = np.array([r["doc_id"] for r in waiting])
+            ids = np.array([r["node"] for r in waiting])
             links, root = compare(
                 ids, np.array([r["copies"] for r in waiting]), np.array([r["side"] for r in waiting]), [np.frombuffer(r["tokens"], np.uint64) for r in waiting],
                 [np.array(r["buckets"]) for r in waiting], waiting[0]["bucket"], threshold,
             )
             some = (links > 0) | (root != ids)
-            return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], names=["doc_id", "links", "root"])
+            return pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(links[some].astype(np.int64)), pa.array(root[some])], names=["node", "links", "root"])
 
         for batch in batches:
             for low in range(0, batch.num_rows, 256):
@@ -216,7 +245,7 @@ def _compare_all(rows: DataFrame, threshold: tuple[int, int]) -> DataFrame:
         if waiting:
             yield finish()
 
-    return rows.mapInArrow(run, "doc_id bigint, links bigint, root bigint")
+    return rows.mapInArrow(run, "node bigint, links bigint, root bigint")
 
 
 def jaccard_classes(
@@ -233,54 +262,49 @@ def jaccard_classes(
     share = threshold[0] / threshold[1]
     named = docs.where(F.col(key).isNotNull())
     sketches = materialize(_sketches(named, key, text, runs_needed(share, recall, depth), share), "sketches")
-    full = sketches.where("n > 0")
+    # One row per distinct set; the first of its two signs names it from here on.
     kinds = materialize(
-        full.groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("buckets").alias("buckets")), "kinds"
+        sketches.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("buckets").alias("buckets")), "kinds"
     )
 
-    rows = materialize(_with_size(kinds.select(F.explode("buckets").alias("bucket"), F.col("rep").alias("doc_id")).distinct()), "level")
-    meeting = rows.select("doc_id").distinct()
+    met = _with_size(kinds.select(F.explode("buckets").alias("bucket"), F.col("a").alias("node"))).drop("size")
+    often = met.groupBy("node").agg(F.count("*").alias("times")).where(F.col("times") >= LEAST_MEETINGS).select("node")
+    rows = materialize(_with_size(met.join(often, "node")), "level")
+    wanted = kinds.select(F.col("a").alias("node"), F.col("rep").alias("doc_id"), "copies").join(rows.select("node").distinct(), "node", "left_semi")
     texts = named.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
-    # Sets of the texts that met any other, one row each; a repeated id may stand for several texts.
-    wanted = kinds.select(F.col("rep").alias("doc_id"), "n", "copies").join(meeting, "doc_id", "left_semi")
-    sets = materialize(
-        _sets(texts.join(meeting, "doc_id", "left_semi")).withColumn("n", (F.octet_length("tokens") / 8).cast("bigint")).distinct()
-        .join(wanted, ["doc_id", "n"]).groupBy("doc_id").agg(F.max("copies").alias("copies"), F.min("tokens").alias("tokens")), "sets",
-    )
+    sets = materialize(_sets(texts.join(wanted, "doc_id").distinct()), "sets")
 
     leaves = [rows.where(F.col("size") <= small)]
     large = rows.where(F.col("size") > small)
     for level in range(2, depth + 1):
         if large.isEmpty():
             break
-        rows = materialize(_with_size(_children(large.join(sets, "doc_id"), share)), "level")
+        rows = materialize(_with_size(_children(large.join(sets, "node"), share)), "level")
         leaves.append(rows if level == depth else rows.where(F.col("size") <= small))
         large = rows.where(F.col("size") > small)
-    leaf = leaves[0]
-    for more in leaves[1:]:
-        leaf = leaf.union(more)
+    leaf = reduce(DataFrame.union, [part.select("bucket", "node") for part in leaves])
 
     # Of buckets with the same members one is enough.
-    signed = leaf.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("doc_id", F.lit(1))).alias("s"), F.bit_xor(F.xxhash64("doc_id", F.lit(3))).alias("t"))
-    kept = signed.groupBy("size", "s", "t").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
-    members = materialize(leaf.select("bucket", "doc_id").join(kept, "bucket"), "members")
-    of_doc = members.groupBy("doc_id").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
+    members_of = leaf.groupBy("bucket").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("s"), F.bit_xor(F.xxhash64("node", F.lit(3))).alias("t"))
+    kept = members_of.groupBy("size", "s", "t").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
+    members = materialize(leaf.join(kept, "bucket"), "members")
+    of_node = members.groupBy("node").agg(F.sort_array(F.collect_list("bucket")).alias("buckets"))
 
-    blocks = F.ceil(F.col("size") / block).cast("int")
-    own = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.col("blocks")).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(5)), F.col("blocks")).cast("int")
     placed = (
-        members.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.col("own").alias("side"), "doc_id")
-    )
-    payload = placed.join(of_doc, "doc_id").join(sets, "doc_id")
-    together = payload.select("bucket", "low", "high", "side", "doc_id", "copies", "buckets", "tokens").repartition("bucket", "low", "high")
-    found = materialize(_compare_all(together.sortWithinPartitions("bucket", "low", "high", "doc_id"), threshold), "links")
-
-    links = found.groupBy("doc_id").agg(F.sum("links").alias("links")).select(F.col("doc_id").alias("_rep"), "links")
-    named_class = components(found.select("doc_id", "root"), "doc_id", "root").select(F.col("node").alias("_rep"), "component")
-    classes = kinds.join(links.join(named_class, "_rep", "full"), F.col("rep") == F.col("_rep"), "left").select(
-        "n", "a", "b", F.coalesce("component", "rep").alias("class_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+        members.withColumn("blocks", F.ceil(F.col("size") / block).cast("int")).withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select("bucket", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.col("own").alias("side"), "node")
     )
+    payload = placed.join(of_node, "node").join(sets, "node")
+    together = payload.select("bucket", "low", "high", "side", "node", "copies", "buckets", "tokens").repartition("bucket", "low", "high")
+    found = materialize(_compare_all(together.sortWithinPartitions("bucket", "low", "high", "node"), threshold), "links")
+
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    linked_nodes = links.join(components(found.select("node", "root"), "node", "root"), "node", "full").withColumnRenamed("node", "a")
+    grouped = kinds.select("n", "a", "b", "rep", "copies").join(linked_nodes, "a", "left").withColumn("group", F.coalesce("component", "a"))
+    first = grouped.groupBy("group").agg(F.min("rep").alias("class_id"))
+    classes = grouped.join(first, "group").select("n", "a", "b", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return sketches.select("doc_id", "n", "a", "b").join(classes, ["n", "a", "b"], "left").select(
         "doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links")
     )
