@@ -22,9 +22,9 @@ from pyspark.sql import functions as F
 from corpusmill.llm.words import binary_rows, mix, prefix_sums, slices, span_hash, text_bytes
 
 # Pieces and token pairs kept in a task's memory; beyond it they are worked out again.
-MEMORY = 300_000
+MEMORY = 100_000
 # Texts encoded together: the more, the more beginnings their pieces share.
-PIECE_BYTES = 1 << 22
+PIECE_BYTES = 1 << 21
 LONG_PIECE = 64
 FILTER_BITS = 22
 NEVER = 1 << 60
@@ -325,6 +325,22 @@ class TextEncoder:
         return [b"".join(map(packed, pieces)) for pieces in split]
 
 
+class TextDecoder:
+    """The bytes that ids stand for, for many texts at once."""
+
+    def __init__(self, bytes_of: list[bytes]) -> None:
+        self.table = np.frombuffer(b"".join(bytes_of), np.uint8)
+        self.bounds = np.concatenate([[0], np.cumsum([len(n) for n in bytes_of], dtype=np.int64)])
+
+    def decode(self, column: pa.Array) -> pa.Array:
+        data, offsets = text_bytes(column.cast(pa.large_binary()))
+        ids = np.frombuffer(data.tobytes(), "<u4")
+        sizes = self.bounds[ids + 1] - self.bounds[ids]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        source = np.arange(ends[-1]) + np.repeat(self.bounds[ids] - ends[:-1], sizes)
+        return binary_rows(self.table[source], ends[offsets // 4]).cast(pa.binary())
+
+
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, ids) for each row of `docs`: token ids as little-endian unsigned 32-bit integers in one binary value.
 
@@ -348,24 +364,26 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int], key: str = "doc_id") ->
     shared = encoded.sparkSession.sparkContext.broadcast(Vocabulary(ranks).bytes_of)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = shared.value
-        table = np.frombuffer(b"".join(names), np.uint8)
-        bounds = np.concatenate([[0], np.cumsum([len(n) for n in names], dtype=np.int64)])
+        decoder = TextDecoder(shared.value)
         for batch in batches:
-            for part in slices_of_ids(batch):
-                data, offsets = text_bytes(part.column(1).cast(pa.large_binary()))
-                ids = np.frombuffer(data.tobytes(), "<u4")
-                sizes = bounds[ids + 1] - bounds[ids]
-                ends = np.concatenate([[0], np.cumsum(sizes)])
-                source = np.arange(ends[-1]) + np.repeat(bounds[ids] - ends[:-1], sizes)
-                decoded = binary_rows(table[source], ends[offsets // 4])
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), decoded.cast(pa.binary())], names=[key, "ids", "decoded"])
+            for low in range(0, batch.num_rows, 500):
+                part = batch.slice(low, 500)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), decoder.decode(part.column(1))], names=[key, "ids", "decoded"])
 
     rows = encoded.select(key, "ids")
     return rows.mapInArrow(run, f"`{key}` {rows.schema[0].dataType.simpleString()}, ids binary, decoded binary")
 
 
-def slices_of_ids(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Rows in runs small enough to be decoded at once."""
-    for low in range(0, batch.num_rows, 500):
-        yield batch.slice(low, 500)
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(key, ids, decoded) for each row of `docs`: `encode` and then `decode` of its ids, in one pass over the texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(Vocabulary(ranks))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = TextEncoder(shared.value, pattern), TextDecoder(shared.value.bytes_of)
+        for batch in batches:
+            for part in slices(batch, "_text", PIECE_BYTES):
+                ids = pa.array(encoder.encode(part.column(1).to_pylist()), pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, decoder.decode(ids)], names=[key, "ids", "decoded"])
+
+    rows = docs.select(F.col(key), F.col(text).alias("_text"))
+    return rows.mapInArrow(run, f"`{key}` {rows.schema[0].dataType.simpleString()}, ids binary, decoded binary")

@@ -35,7 +35,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def encode_and_decode(docs: DataFrame) -> DataFrame:
     """doc_id, n_tokens and the digests of the ids and of the decoded bytes."""
     ranks = byte_bpe.load_ranks(public_tokenizers.path(BYTE_RANKS))
-    decoded = byte_bpe.decode(byte_bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    decoded = byte_bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BREAKS = np.zeros(256, bool)
 BREAKS[[0x20, *range(0x09, 0x0E)]] = True
@@ -143,13 +144,13 @@ def ngram_hashes(hashes: np.ndarray, text_of: np.ndarray, n: int, seed: int = 0)
 def slices(batch: pa.RecordBatch, column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """A batch cut into runs of rows with about `most` bytes of text, nulls of that column filled."""
     at = batch.schema.get_field_index(column)
-    texts = string_column(batch.column(at))
-    batch = batch.set_column(at, column, texts)
-    _, offsets = text_bytes(texts)
+    sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0)
+    offsets = np.concatenate([[0], np.cumsum(np.asarray(sizes), dtype=np.int64)])
     low = 0
-    while low < len(texts):
+    while low < batch.num_rows:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + most, side="right")) - 1)
-        yield batch.slice(low, high - low)
+        part = batch.slice(low, high - low)
+        yield part.set_column(at, column, string_column(part.column(at)))
         low = high
 
 
