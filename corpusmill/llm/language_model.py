@@ -1,43 +1,41 @@
 """Scores of texts under an n-gram model kept as a weighted automaton with failure arcs.
 
-Words are counted over all training texts. An n-gram is in the model if it makes up at least a given share of
-all training tokens, which bounds the model by arithmetic (at most 1 / share n-grams of each order) while the
-counts themselves cover everything; longer n-grams are counted only where both their shorter parts are in the
-model. Probabilities are discounted counts; what the discount frees goes to the shorter context.
+Words are counted over all training texts. An n-gram is in the model if it occurs LEAST times, whatever the size of
+the corpus; the model's n-grams, their probabilities and back-off weights are written tables that grow with it.
+Probabilities are discounted counts; what the discount frees goes to the shorter context.
 
 In the automaton a state is a context, an arc a word with its log-probability, and the failure arc of a state
-leads to the next shorter context at the cost of its back-off weight. A text is read once from left to right.
-
-Words too rare for the model leave the automaton in its root, where they have their smoothed share of the
-tokens. Their counts need a join, since there is no bound on how many there are: each text hands over its rare
-words, and the join adds their log-probabilities to the sums of the automaton.
+leads to the next shorter context at the cost of its back-off weight. No task holds the whole automaton: texts
+are dealt to parts, a join of the distinct n-grams of each part with the tables gives the arcs and back-off
+weights that its texts can take, and each text is read along these from left to right, all positions of a part
+at once. Every word has its smoothed share of the tokens, by exact counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.linear import held_out
-from corpusmill.llm.words import Words, find_words, slices
+from corpusmill.llm.words import Words, find_words, mix, slices, string_column
 from corpusmill.session import materialize
 
 ORDER = 3
-# A word with at least this share of the tokens is in the model: at most 5 million words.
-WORD_SHARE = 2e-7
-# Likewise for n-grams of two and more words: at most a million of each order.
-GRAM_SHARE = 1e-6
+# An n-gram of two and more words that occurs so often is in the model, at every size of the corpus.
+LEAST = 2
 DISCOUNT = 0.5
 SMOOTHING = 0.5
 
 END = np.uint64(0xE4D0F7E87)
-START_WORD = -2  # the context before the first word; it is never predicted
-RARE = -1
+START = np.uint64(0x51A27C0FFEE)  # the context before the first word; it is never predicted
+# Texts are read in parts of about this many bytes; a longer text is a part of its own.
+PART_BYTES = 1 << 19
 
 
 class Tally:
@@ -93,244 +91,234 @@ def token_hashes(words: Words) -> np.ndarray:
     return np.concatenate([words.hashes, np.full(words.n_texts, END)])
 
 
+def sequences(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, bounds): START, the words and END of each text."""
+    bounds = words.bounds + 2 * np.arange(words.n_texts + 1)
+    tokens = np.empty(bounds[-1], np.uint64)
+    tokens[np.arange(len(words.start)) + 2 * words.text_of + 1] = words.hashes
+    tokens[bounds[:-1]] = START
+    tokens[bounds[1:] - 1] = END
+    return tokens, bounds
+
+
+def join_keys(before: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """The number of an n-gram from those of the n-grams without its last and without its first word."""
+    with np.errstate(over="ignore"):
+        return mix(before * np.uint64(0xD6E8FEB86659FD93) + suffix)
+
+
+def gram_keys(words: Words, order: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(numbers of the n-grams of 1 to `order` words that end at each position, place of each position in its text, bounds)."""
+    tokens, bounds = sequences(words)
+    place = np.arange(len(tokens)) - np.repeat(bounds[:-1], np.diff(bounds))
+    keys = [tokens]
+    for _ in range(2, order + 1):
+        longer = np.zeros_like(tokens)
+        longer[1:] = join_keys(keys[-1][:-1], keys[-1][1:])
+        keys.append(longer)
+    return keys, place, bounds
+
+
+class GramTally:
+    """Counts of n-grams with their two shorter parts, added up in a task before they are shuffled."""
+
+    LIMIT = 1 << 19
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.size = 0
+
+    def add(self, order: int, gram: np.ndarray, before: np.ndarray, suffix: np.ndarray) -> None:
+        gram, first, n = np.unique(gram, return_index=True, return_counts=True)
+        self.parts.append((gram, before[first], suffix[first], np.full(len(gram), order, np.int8), n))
+        self.size += len(gram)
+
+    def batches(self, last: bool) -> Iterator[pa.RecordBatch]:
+        if not self.size or (self.size < 4 * self.LIMIT and not last):
+            return
+        gram, before, suffix, order, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        sort = np.argsort(gram, kind="stable")
+        first = np.flatnonzero(np.concatenate([[True], np.diff(gram[sort]) != 0]))
+        at, n = sort[first], np.add.reduceat(n[sort], first)
+        if len(at) < self.LIMIT and not last:
+            self.parts, self.size = [(gram[at], before[at], suffix[at], order[at], n)], len(at)
+            return
+        for low in range(0, len(at), 1 << 16):
+            part = at[low:low + (1 << 16)]
+            columns = [order[part], before[part].view(np.int64), suffix[part].view(np.int64), n[low:low + (1 << 16)].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["length", "before", "suffix", "n"])
+        self.parts, self.size = [], 0
+
+
+def count_grams(texts: DataFrame, order: int, least: float) -> DataFrame:
+    """(length, gram, before, suffix, n) of the n-grams of 2 to `order` words that occur at least `least` times."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tally = GramTally()
+        for batch in batches:
+            for part in slices(batch):
+                keys, place, _ = gram_keys(find_words(part.column(0), lower=True), order)
+                for n in range(2, order + 1):
+                    at = np.flatnonzero(place >= n - 1)
+                    tally.add(n, keys[n - 1][at], keys[n - 2][at - 1], keys[n - 2][at])
+                yield from tally.batches(False)
+        yield from tally.batches(True)
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            before, suffix = (np.asarray(batch.column(c)).view(np.uint64) for c in (1, 2))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(join_keys(before, suffix).view(np.int64))], names=["length", "before", "suffix", "n", "gram"])
+
+    schema = "length tinyint, before bigint, suffix bigint, n bigint"
+    counted = texts.select("text").mapInArrow(run, schema).groupBy("length", "before", "suffix").agg(F.sum("n").alias("n"))
+    return counted.where(F.col("n") >= least).mapInArrow(name, f"{schema}, gram bigint")
+
+
 @dataclass
 class Model:
-    """Words in order of their hash with their counts, and n-grams as (index of the shorter n-gram, word) with their counts."""
-
-    tokens: int = 0
-    distinct: int = 0
-    texts: int = 0
-    hashes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    grams: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
-    _slots: np.ndarray | None = None
-    _automaton: Automaton | None = None
+    """Counts of the training texts, and (gram, log_prob, back) of every word and n-gram: an arc, and the way back from it as a context."""
 
-    @property
-    def automaton(self) -> Automaton:
-        """Built once in each Python worker, from the model it was sent."""
-        if self._automaton is None:
-            self._automaton = Automaton(self)
-        return self._automaton
-
-    def index(self) -> None:
-        """A table from the leading bits of a hash to a word, to find most words in one step."""
-        self._bits = max(10, int(len(self.hashes)).bit_length() + 2)
-        self._slots = np.zeros(1 << self._bits, np.int64)
-        if len(self.hashes):
-            self._slots[self.hashes >> np.uint64(64 - self._bits)] = np.arange(len(self.hashes))
-
-    def word_ids(self, hashes: np.ndarray) -> np.ndarray:
-        """The place of each word in the model, RARE where it has none."""
-        if not len(self.hashes):
-            return np.full(len(hashes), RARE)
-        if self._slots is None:
-            self.index()
-        ids = self._slots[hashes >> np.uint64(64 - self._bits)]
-        other = np.flatnonzero(self.hashes[ids] != hashes)
-        place = np.minimum(np.searchsorted(self.hashes, hashes[other]), len(self.hashes) - 1)
-        ids[other] = np.where(self.hashes[place] == hashes[other], place, RARE)
-        return ids
-
-    def sequences(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, bounds): START_WORD, the words and the end of each text."""
-        bounds = words.bounds + 2 * np.arange(words.n_texts + 1)
-        ids = np.empty(bounds[-1], np.int64)
-        ids[np.arange(len(words.start)) + 2 * words.text_of + 1] = self.word_ids(words.hashes)
-        ids[bounds[:-1]] = START_WORD
-        ids[bounds[1:] - 1] = self.word_ids(np.full(words.n_texts, END))
-        return ids, bounds
-
-    def key(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
-        """The number of an n-gram: that of its beginning (a word id plus 2, or the place of a shorter n-gram) and its last word."""
-        return before * (len(self.hashes) + 1) + word
-
-    def gram_ids(self, ids: np.ndarray, order: int) -> np.ndarray:
-        """For each position, the place of the n-gram of `order` words that ends there, -1 where the model has none."""
-        keys, _ = self.grams[order - 2]
-        found = np.full(len(ids), -1)
-        if not len(keys):
-            return found
-        before = ids[:-1] + 2 if order == 2 else self.gram_ids(ids, order - 1)[:-1]
-        possible = 1 + np.flatnonzero((ids[1:] >= 0) & ((ids[:-1] != RARE) if order == 2 else (before >= 0)))
-        wanted = self.key(before[possible - 1], ids[possible])
-        place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-        found[possible] = np.where(keys[place] == wanted, place, -1)
-        return found
-
-    def candidates(self, words: Words, least: float) -> np.ndarray:
-        """Keys of the n-grams one word longer than the model's, where both their shorter parts are in it."""
-        ids, bounds = self.sequences(words)
-        if not self.grams:
-            common = np.concatenate([self.counts >= least, [self.texts >= least, False]])  # by id; -2 and -1 count from the end
-            good = common[ids]
-            at = 1 + np.flatnonzero(good[:-1] & good[1:] & (ids[1:] >= 0))
-            return self.key(ids[at - 1] + 2, ids[at])
-        order = len(self.grams) + 1
-        gram = self.gram_ids(ids, order)
-        at = 1 + np.flatnonzero((gram[:-1] >= 0) & (gram[1:] >= 0))
-        return self.key(gram[at - 1], ids[at])
+    tokens: int
+    distinct: int
+    nodes: DataFrame
 
     @property
     def denominator(self) -> float:
         return self.tokens + SMOOTHING * (self.distinct + 1)
 
 
-def train(texts: DataFrame, order: int = ORDER, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE) -> tuple[Model, DataFrame]:
-    """(model, (gram, n) of all words) learned from the rows (text)."""
+def train(texts: DataFrame, order: int = ORDER, word_share: float = 0.0, gram_share: float = 0.0, least: int = LEAST) -> Model:
+    """The model learned from the rows (text).
+
+    With shares above 0, n-grams must also make up gram_share, and their words word_share, of all tokens.
+    """
     words = materialize(count(texts, token_hashes), "words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), F.coalesce(F.max(F.when(F.col("gram") == int(END), F.col("n"))), F.lit(0)).alias("texts")).first()
-    # At most 1 / share rows reach the share.
-    frequent = words.where(F.col("n") >= total.tokens * word_share).toArrow()
-    hashes, counts = np.asarray(frequent["gram"]).view(np.uint64), np.asarray(frequent["n"])
-    sort = np.argsort(hashes)
-    model = Model(total.tokens, total.distinct, total.texts, hashes[sort], counts[sort])
-    least = total.tokens * gram_share
-    for _ in range(2, order + 1):
-        shared = texts.sparkSession.sparkContext.broadcast(model)
-        found = count(texts, lambda w, shared=shared: shared.value.candidates(w, least)).where(F.col("n") >= max(least, 2)).toArrow()
-        keys, n = np.asarray(found["gram"]), np.asarray(found["n"])
-        sort = np.argsort(keys)
-        model = Model(model.tokens, model.distinct, model.texts, model.hashes, model.counts, [*model.grams, (keys[sort], n[sort])])
-        if not len(keys):
-            break
-    return model, words
+    model = Model(total.tokens, total.distinct, words)
+    grams = materialize(count_grams(texts, order, max(least, total.tokens * gram_share)), "grams")
+    start = words.sparkSession.range(1).select(F.lit(int(START)).alias("gram"), F.lit(total.texts).cast("bigint").alias("n"))
+    shorter = words.withColumn("p", (F.col("n") + SMOOTHING) / F.lit(model.denominator))
+    nodes = shorter.select("gram", F.log10("p").alias("log_prob"))
+    common = shorter.where(F.col("n") >= total.tokens * word_share)
+    contexts, tables = common.select("gram", "n").unionByName(start), []
+    for length in range(2, order + 1):
+        arcs = materialize(
+            grams.where(F.col("length") == length).drop("length")
+            .join(contexts.select(F.col("gram").alias("before"), F.col("n").alias("of")), "before")
+            .join(common.select(F.col("gram").alias("suffix"), F.col("p").alias("q")), "suffix")
+            .select("gram", "before", "n", "of", ((F.col("n") - DISCOUNT) / F.col("of")).alias("p"), "q"), "arcs",
+        )
+        freed = (F.first("of") - F.sum("n") + DISCOUNT * F.count("*")) / F.first("of")
+        back = arcs.groupBy(F.col("before").alias("gram")).agg(F.log10(F.greatest(freed, F.lit(1e-12)) / F.greatest(1 - F.sum("q"), F.lit(1e-12))).alias("back"))
+        # The context before the first word has a way back but no arc leads to it.
+        tables.append(nodes.join(back, "gram", "full" if length == 2 else "left"))
+        nodes = arcs.select("gram", F.log10("p").alias("log_prob"))
+        contexts = common = arcs
+    tables.append(nodes.withColumn("back", F.lit(None).cast("double")))
+    whole = tables[0]
+    for t in tables[1:]:
+        whole = whole.unionByName(t)
+    model.nodes = materialize(whole, "nodes")
+    return model
 
 
 class Automaton:
-    """States are contexts: 0 is the empty one. Arcs: state * width + word -> (log-probability, next state)."""
-
-    def __init__(self, model: Model) -> None:
-        self.width = len(model.hashes) + 1
-        single = np.log10((model.counts + SMOOTHING) / model.denominator)
-        self.single = single.tolist()
-        self.arcs: dict[int, tuple[float, int]] = {}
-        self.fail: list[int] = [0]
-        self.back: list[float] = [0.0]
-        # Contexts by (length, place): words (with START_WORD) and kept n-grams that longer n-grams begin with.
-        state_of: dict[tuple[int, int], int] = {}
-        lower_of: dict[tuple[int, int], tuple[int, int]] = {}
-        rows = []
-        for order, (keys, counts) in enumerate(model.grams, 2):
-            before, word = np.divmod(keys, self.width)
-            rows.append((before.tolist(), word.tolist(), counts.tolist()))
-            for b in sorted(set(before.tolist())):
-                state_of[order - 1, b] = len(self.fail)
-                self.fail.append(0)
-                self.back.append(0.0)
-        place = {(order, int(k)): i for order, (keys, _) in enumerate(model.grams, 2) for i, k in enumerate(keys.tolist())}
-
-        def shorter(order: int, gram: int) -> tuple[int, int]:
-            """The context without its first word, by (length, place); (0, 0) for the empty one."""
-            if order == 1:
-                return 0, 0
-            if (order, gram) not in lower_of:
-                before, word = rows[order - 2][0][gram], rows[order - 2][1][gram]
-                length, inner = shorter(order - 1, before)
-                lower_of[order, gram] = (1, word + 2) if length == 0 else (length + 1, place.get((length + 1, inner * self.width + word), -1))
-            return lower_of[order, gram]
-
-        def state(length: int, gram: int) -> int:
-            while length > 0 and (gram < 0 or (length, gram) not in state_of):
-                length, gram = shorter(length, gram) if gram >= 0 else (0, 0)
-            return state_of.get((length, gram), 0)
-
-        for (length, gram), s in state_of.items():
-            self.fail[s] = state(*shorter(length, gram))
-        self.start = state(1, START_WORD + 2)
-        self.after = [state(1, w + 2) for w in range(len(model.hashes))]
-        for order, (before, word, counts) in enumerate(rows, 2):
-            sums: dict[int, list[float]] = {}
-            for i, (b, w, c) in enumerate(zip(before, word, counts, strict=True)):
-                if order == 2:
-                    of = model.texts if b == 0 else int(model.counts[b - 2])
-                else:
-                    of = rows[order - 3][2][b]
-                p = (c - DISCOUNT) / of
-                s = state_of[order - 1, b]
-                kept = sums.setdefault(s, [0.0, 0.0])
-                kept[0] += p
-                kept[1] += 10 ** self._log_prob(self.fail[s], w)
-                self.arcs[s * self.width + w] = (float(np.log10(p)), state(order, i))
-            for s, (p, q) in sums.items():
-                self.back[s] = float(np.log10(max(1 - p, 1e-12) / max(1 - q, 1e-12)))
-
-    def _log_prob(self, state: int, word: int) -> float:
-        total = 0.0
-        while state:
-            arc = self.arcs.get(state * self.width + word)
-            if arc:
-                return total + arc[0]
-            total += self.back[state]
-            state = self.fail[state]
-        return total + self.single[word]
-
-    def read(self, ids: list[int]) -> float:
-        """Sum of log-probabilities of a text's tokens from the start; a rare token adds only what leads back to the root."""
-        arcs, back, fail, single, after, width = self.arcs, self.back, self.fail, self.single, self.after, self.width
-        state, total = self.start, 0.0
-        for word in ids:
-            if word < 0:
-                while state:
-                    total += back[state]
-                    state = fail[state]
-                continue
-            while True:
-                if not state:
-                    total += single[word]
-                    state = after[word]
-                    break
-                arc = arcs.get(state * width + word)
-                if arc is not None:
-                    total += arc[0]
-                    state = arc[1]
-                    break
-                total += back[state]
-                state = fail[state]
-        return total
-
-
-def _read_texts(rows: DataFrame, model: Model) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, base, score over the model's words, and the rare words with their numbers."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    """The arcs and failure arcs that a part of the texts can take, by the numbers of their n-grams."""
+
+    def __init__(self, grams: np.ndarray, log_prob: np.ndarray, back: np.ndarray, unseen: float) -> None:
+        sort = np.argsort(grams)
+        self.grams, self.log_prob, self.back, self.unseen = grams[sort], log_prob[sort], back[sort], unseen
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(log-probability of the arc to each n-gram, nan without one; cost of the failure arc from it, 0 if it is no context)."""
+        if not len(self.grams):
+            return np.full(len(keys), np.nan), np.zeros(len(keys))
+        place = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
+        same = self.grams[place] == keys
+        return np.where(same, self.log_prob[place], np.nan), np.where(same, np.nan_to_num(self.back[place]), 0.0)
+
+    def read(self, keys: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(log-probability in context, by itself, whether known) of each token; 0 for the start.
+
+        The state before a token is its longest context. As long as this has no arc for the token, the failure
+        arc leads to the next shorter one at its cost; a run of words that is no context costs nothing to leave.
+        """
+        found = [self.find(k) for k in keys]
+        single = np.where(np.isnan(found[0][0]), self.unseen, found[0][0])
+        total, waiting = np.zeros(len(place)), np.flatnonzero(place >= 1)
+        for n in range(len(keys), 1, -1):
+            deep = waiting[place[waiting] >= n - 1]
+            arc = found[n - 1][0][deep]
+            taken = ~np.isnan(arc)
+            total[deep[taken]] += arc[taken]
+            left = deep[~taken]
+            total[left] += found[n - 2][1][left - 1]
+            waiting = np.concatenate([left, waiting[place[waiting] < n - 1]])
+        total[waiting] += single[waiting]
+        return total, np.where(place >= 1, single, 0.0), (place >= 1) & ~np.isnan(found[0][0])
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """part, doc_id, held_out, text: runs of rows with about PART_BYTES of text under one number."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        automaton = model.automaton
-        single = np.array([*automaton.single, 0.0])
+        part, size = TaskContext.get().partitionId() << 33, 0
         for batch in batches:
-            for part in slices(batch):
-                words = find_words(part.column(2), lower=True)
-                ids, bounds = model.sequences(words)
-                flat, limits = ids.tolist(), bounds.tolist()
-                score = [automaton.read(flat[a + 1:b]) for a, b in zip(limits, limits[1:])]
-                text_of = np.repeat(np.arange(words.n_texts), np.diff(bounds))
-                known = (ids >= 0).astype(np.int64)
-                base = np.bincount(text_of, weights=single[np.maximum(ids, RARE)] * known, minlength=words.n_texts)
-                hashes = np.zeros(len(ids), np.uint64)
-                hashes[np.arange(len(words.start)) + 2 * words.text_of + 1] = words.hashes
-                hashes[bounds[1:] - 1] = END
-                rare = np.flatnonzero(ids == RARE)
-                owner, token = text_of[rare], hashes[rare]
-                order = np.lexsort((token, owner))
-                owner, token = owner[order], token[order]
-                first = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])])) if len(token) else np.zeros(0, np.int64)
-                often = np.diff(np.append(first, len(token)))
-                at = pa.array(np.searchsorted(owner[first], np.arange(words.n_texts + 1)).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array((words.counts + 1).astype(np.int64)), pa.array(np.bincount(text_of, weights=known, minlength=words.n_texts).astype(np.int64)),
-                     pa.array(base), pa.array(np.array(score, np.float64)), pa.ListArray.from_arrays(at, pa.array(token[first].view(np.int64))), pa.ListArray.from_arrays(at, pa.array(often.astype(np.int32)))],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "often"],
-                )
+            for rows in slices(batch, most=PART_BYTES):
+                if size + rows.column(2).nbytes > PART_BYTES:
+                    part, size = part + 1, 0
+                size += rows.column(2).nbytes
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(rows.num_rows, part)), rows.column(0), rows.column(1), rows.column(2).cast(pa.string())], names=["part", "doc_id", "held_out", "text"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "held_out", "text").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, rare array<bigint>, often array<int>"
+    return rows.select("doc_id", "held_out", "text").mapInArrow(run, f"part bigint, doc_id {kind}, held_out boolean, text string")
+
+
+def _grams_of(parts: DataFrame, order: int) -> DataFrame:
+    """(part, gram) of the n-grams of each part; a part that is read in two batches may name one twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = np.asarray(batch.column(0))
+            edges = [0, *(1 + np.flatnonzero(np.diff(part))).tolist(), len(part)] if len(part) else []
+            for low, high in zip(edges, edges[1:]):
+                keys, place, _ = gram_keys(find_words(string_column(batch.column(1).slice(low, high - low)), lower=True), order)
+                grams = np.unique(np.concatenate([k[place >= n] for n, k in enumerate(keys)]))
+                for at in range(0, len(grams), 1 << 16):
+                    some = grams[at:at + (1 << 16)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), part[low])), pa.array(some.view(np.int64))], names=["part", "gram"])
+
+    return parts.select("part", "text").mapInArrow(run, "part bigint, gram bigint")
+
+
+def _read_texts(rows: DataFrame, model: Model, order: int) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, base_score, score."""
+    # The number of a part is fixed by being written; it is used only from the written table.
+    parts = materialize(_parts(rows), "parts")
+    arcs = _grams_of(parts, order).join(model.nodes, "gram").select("part", "gram", "log_prob", "back")
+    unseen = float(np.log10(SMOOTHING / model.denominator))
+
+    def run(texts: pa.Table, arcs: pa.Table) -> pa.Table:
+        columns = [arcs.column(c).to_numpy() for c in ("gram", "log_prob", "back")]
+        automaton = Automaton(np.asarray(columns[0], np.int64).view(np.uint64), *(np.asarray(c, np.float64) for c in columns[1:]), unseen)
+        words = find_words(string_column(texts.column("text").combine_chunks()), lower=True)
+        keys, place, bounds = gram_keys(words, order)
+        total, single, known = automaton.read(keys, place)
+        text_of = np.repeat(np.arange(words.n_texts), np.diff(bounds))
+        sums = [np.bincount(text_of, weights=v, minlength=words.n_texts) for v in (known, single, total)]
+        return pa.table({
+            "doc_id": texts.column("doc_id"), "held_out": texts.column("held_out"), "n_tokens": pa.array((words.counts + 1).astype(np.int64)),
+            "n_known": pa.array(sums[0].astype(np.int64)), "base_score": pa.array(sums[1]), "score": pa.array(sums[2]),
+        })
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return parts.groupBy("part").cogroup(arcs.groupBy("part")).applyInArrow(
+        run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
     )
 
 
 def score_texts(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", *, order: int = ORDER, word_share: float = WORD_SHARE, gram_share: float = GRAM_SHARE, remainder: int = 1
+    docs: DataFrame, key: str = "doc_id", text: str = "text", *, order: int = ORDER, word_share: float = 0.0, gram_share: float = 0.0, least: int = LEAST, remainder: int = 1
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of `docs`.
 
@@ -340,19 +328,9 @@ def score_texts(
     rows; other columns are not read.
     """
     rows = docs.select(F.col(key).alias("doc_id"), held_out(key, remainder).alias("held_out"), F.col(text).alias("text"))
-    model, words = train(rows.where("NOT held_out"), order, word_share, gram_share)
-    # The number of a row is fixed by being written; it is used only from the written table.
-    read = materialize(_read_texts(rows, model).withColumn("row", F.monotonically_increasing_id()), "read")
-    rare = read.select("row", F.explode(F.arrays_zip("rare", "often")).alias("w")).select("row", F.col("w.rare").alias("gram"), F.col("w.often").alias("often"))
-    log_prob = F.log10((F.coalesce("n", F.lit(0)) + SMOOTHING) / F.lit(model.denominator))
-    sums = (
-        rare.join(words, "gram", "left").groupBy("row")
-        .agg(F.sum(F.col("often") * log_prob).alias("rare_score"), F.sum(F.when(F.col("n") > 0, F.col("often")).otherwise(0)).alias("rare_known"))
-    )
-    more = F.coalesce("rare_score", F.lit(0.0))
-    return read.join(sums, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"), F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("score") + more).alias("score"),
+    model = train(rows.where("NOT held_out"), order, word_share, gram_share, least)
+    return _read_texts(rows, model, order).select(
+        "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )
 
 

@@ -89,6 +89,23 @@ def test_scores_match_the_definition(spark):
         assert sum(p(w, before) for w in [*found, "never seen"]) == pytest.approx(1.0)
 
 
+def test_ngrams_are_kept_by_count_at_every_size(spark):
+    """Among 2.4 million tokens, n-grams seen twice are in the model as they are among few."""
+    rng = random.Random(4)
+    twice = "quick brown foxes jumped over"
+    rows = [(i, " ".join(["filler"] * 1200)) for i in range(2500)] + [(10_000 + i, twice) for i in range(40)]
+    fold = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
+    keep = [r for r in rows if r[1] != twice] + [r for r in rows if r[1] == twice and not fold[r[0]]][:2] + [r for r in rows if r[1] == twice and fold[r[0]]][:1]
+    rng.shuffle(keep)
+    got = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(keep, "doc_id bigint, text string")).collect()}
+    train = [t for i, t in keep if not fold[i]]
+    total = counts_of(train)[1]
+    assert total > 2_000_000
+    score, _, _ = backoff(gram_counts(train), (2, 0), twice)
+    [held] = [i for i, t in keep if t == twice and fold[i]]
+    assert got[held].score == pytest.approx(score, rel=1e-9) and got[held].score > got[held].base_score + 15
+
+
 def test_odd_and_empty_tables(odd_docs, no_docs):
     rows = lm.score_texts(odd_docs).collect()
     assert len(rows) == odd_docs.count() and all(math.isfinite(r.score) and r.score < 0 for r in rows)
