@@ -150,6 +150,22 @@ def test_windows_of_fifty_words_match_brute_force(spark):
     assert all(left[i] == t for i, t in rows if i not in covered) and all(sum(s in t for t in left.values()) == 1 for s in shared)
 
 
+@pytest.mark.parametrize("others", [1, 12])
+def test_passages_whose_parts_are_elsewhere_are_paired(spark, others):
+    """C and D share 70 words; earlier and later documents have the first 45 or the last 45 of them."""
+    rng = random.Random(11)
+    rows, must = [], set()
+    for case in range(12):
+        passage = [f"c{case}p{rng.randrange(10**6)}" for _ in range(70)]
+        filler = lambda: [f"f{rng.randrange(10**9)}" for _ in range(30)]
+        parts = [passage[:45], passage[25:]] * others
+        for place, words in enumerate([*parts, passage, passage, *parts]):
+            rows.append((1000 * case + place, " ".join([*filler(), *words, *filler()])))
+        must.add((1000 * case + len(parts) + 1, 30, 100, 1000 * case + len(parts)))
+    found = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {(r.doc_id, r.start, r.end, r.other_id) for r in found.collect()} == must
+
+
 def test_passages_on_odd_and_empty_tables(odd_docs, no_docs):
     found = substring_dedup.repeated_passages(odd_docs)
     assert [(r.doc_id, r.start, r.end, r.other_id, r.other_start, r.other_end, r.edits) for r in found.collect()] == [(6, 0, 70, 5, 80, 150, 0)]
