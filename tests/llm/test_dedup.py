@@ -166,6 +166,33 @@ def test_passages_whose_parts_are_elsewhere_are_paired(spark, others):
     assert {(r.doc_id, r.start, r.end, r.other_id) for r in found.collect()} == must
 
 
+def test_passages_with_a_fifth_of_their_words_replaced_are_paired(spark):
+    rng = random.Random(12)
+    rows = []
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    for case in range(150):
+        passage = filler(60)
+        edited = list(passage)
+        for i in rng.sample(range(60), 12):
+            edited[i] = f"e{rng.randrange(10**9)}"
+        rows += [(2 * case, " ".join(filler(40) + passage + filler(40))), (2 * case + 1, " ".join(filler(40) + edited + filler(40)))]
+    pairs = {tuple(r) for r in substring_dedup.candidate_pairs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert len(pairs & {(2 * c + 1, 2 * c) for c in range(150)}) >= 0.97 * 150
+
+
+def test_a_short_chain_does_not_end_the_search():
+    """One run of 19 words outscores a passage of many short runs."""
+    rng = random.Random(13)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    passage, run = filler(55), filler(19)
+    edited = list(passage)
+    for i in range(5, 55, 6):
+        edited[i] = f"e{rng.randrange(10**9)}"
+    a, b = numbers(" ".join(run + filler(40) + edited)), numbers(" ".join(passage + filler(40) + run))
+    [p] = substring_dedup.passages(a, b)
+    assert (p.start, p.end, p.other_start, p.other_end, p.edits) == (59, 112, 0, 53, 8)
+
+
 def test_passages_on_odd_and_empty_tables(odd_docs, no_docs):
     found = substring_dedup.repeated_passages(odd_docs)
     assert [(r.doc_id, r.start, r.end, r.other_id, r.other_start, r.other_end, r.edits) for r in found.collect()] == [(6, 0, 70, 5, 80, 150, 0)]
