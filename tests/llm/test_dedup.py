@@ -193,6 +193,20 @@ def test_a_short_chain_does_not_end_the_search():
     assert (p.start, p.end, p.other_start, p.other_end, p.edits) == (59, 112, 0, 53, 8)
 
 
+@pytest.mark.parametrize("times", [2, 3, 100])
+def test_a_passage_is_found_each_time_a_text_has_it(times):
+    rng = random.Random(14)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    passage = filler(60)
+    text, want = filler(20) + passage[:30], []
+    for _ in range(times):
+        text += filler(20)
+        want.append((len(text), len(text) + 60, 25, 85))
+        text += passage
+    found = substring_dedup.passages(numbers(" ".join(text)), numbers(" ".join(filler(25) + passage + filler(15))))
+    assert sorted((p.start, p.end, p.other_start, p.other_end) for p in found) == want
+
+
 def test_passages_on_odd_and_empty_tables(odd_docs, no_docs):
     found = substring_dedup.repeated_passages(odd_docs)
     assert [(r.doc_id, r.start, r.end, r.other_id, r.other_start, r.other_end, r.edits) for r in found.collect()] == [(6, 0, 70, 5, 80, 150, 0)]
