@@ -39,9 +39,8 @@ BLOCK = 1024
 # Sizes of the pieces in which matrices are multiplied and reduced.
 COLUMNS = 4096
 ROWS = 256
-# A set goes on only if it met others in at least so many first-level buckets: a pair at the threshold meets in one
-# with probability 0.67 a run, so that twelve runs leave it below two in 4 of 100,000 cases, while texts that share
-# a line meet by chance once.
+# A set goes on only if it met others in at least so many first-level buckets, which the number of runs allows for;
+# texts that share a line meet by chance once.
 LEAST_MEETINGS = 2
 
 _RUN = 0x2545F4914F6CDD1D
@@ -61,6 +60,30 @@ def runs_needed(threshold: float, recall: float, depth: int) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - survives))
 
 
+def runs_for_all_sizes(threshold: float, recall: float, depth: int, least_meetings: int = LEAST_MEETINGS) -> int:
+    """Runs after which any pair at the threshold was together at that depth, and met at least `least_meetings` times, with probability `recall`.
+
+    For sets of equal size the mean of runs_needed is above 1; if one set is part of the other, it is 1, which is the
+    least: `threshold` of the larger set is shared, and the larger set's choice is the narrower. The meetings of all
+    runs that lead on to the depth and those that do not are then independent Poisson numbers.
+    """
+    leads_on = 1.0
+    for _ in range(depth - 1):
+        leads_on = 1 - math.exp(-leads_on)
+
+    def poisson(n: int, mean: float) -> float:
+        return math.exp(-mean) * mean**n / math.factorial(n)
+
+    def lost(runs: int) -> float:
+        on, off = runs * leads_on, runs * (1 - leads_on)
+        return poisson(0, on) + sum(poisson(i, on) * poisson(j, off) for i in range(1, least_meetings) for j in range(least_meetings - i))
+
+    runs = runs_needed(threshold, recall, depth)
+    while lost(runs) > 1 - recall:
+        runs += 1
+    return runs
+
+
 def shingle_sets(texts: pa.Array, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, bounds): the distinct shingles of each text, sorted; a text of fewer than n words has one, without words none."""
     words = find_words(texts)
@@ -261,7 +284,7 @@ def jaccard_classes(
     """
     share = threshold[0] / threshold[1]
     named = docs.where(F.col(key).isNotNull())
-    sketches = materialize(_sketches(named, key, text, runs_needed(share, recall, depth), share), "sketches")
+    sketches = materialize(_sketches(named, key, text, runs_for_all_sizes(share, recall, depth), share), "sketches")
     # One row per distinct set; the first of its two signs names it from here on.
     kinds = materialize(
         sketches.where("n > 0").groupBy("n", "a", "b").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"), F.min("buckets").alias("buckets")), "kinds"

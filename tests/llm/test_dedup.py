@@ -76,6 +76,32 @@ def test_the_number_of_runs_reaches_the_recall():
     assert 0.6 < hits / 600 < 0.75
 
 
+@pytest.mark.parametrize("recall, depth", [(0.999, 3), (0.9, 2), (0.6, 1)])
+def test_the_runs_reach_the_recall_for_truncated_copies(recall, depth):
+    """A set and four fifths of it: drawn shingle by shingle, they must lead on to the depth once and meet twice."""
+    runs = jaccard_join.runs_for_all_sizes(0.8, recall, depth)
+    rng = np.random.default_rng(1)
+    found, trials = 0, 40_000
+    level = rng.poisson(1.0, (trials, runs))
+    meetings = level.sum(axis=1)
+    for _ in range(depth - 1):
+        level = rng.poisson(level.astype(float))
+    found = ((level.sum(axis=1) > 0) & (meetings >= jaccard_join.LEAST_MEETINGS)).mean()
+    assert found > recall - 3 * (recall * (1 - recall) / trials) ** 0.5
+
+
+def test_truncated_copies_are_found_by_default(spark):
+    """All buckets are split to the full depth; of 2,000 pairs at the threshold, two are lost on average."""
+    rng = random.Random(15)
+    rows = []
+    for case in range(2000):
+        words = prose(rng, 104, 10**6).split()
+        rows += [(2 * case, " ".join(words)), (2 * case + 1, " ".join(words[:84]))]
+    got = jaccard_join.jaccard_classes(spark.createDataFrame(rows, "doc_id bigint, text string"), small=1)
+    lost = got.where("doc_id % 2 = 1 AND class_id = doc_id").count()
+    assert lost <= 8, lost
+
+
 def test_jaccard_on_odd_and_empty_tables(odd_docs, no_docs):
     rows = jaccard_join.jaccard_classes(odd_docs).collect()
     assert sorted(map(tuple, rows)) == brute_classes([(r.doc_id, r.text) for r in odd_docs.collect() if r.doc_id is not None])
