@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import byte_bpe, jaccard_join, language_model, mixing, quality_model, quality_rules, substring_dedup, token_counts, toxicity, vantage
+from corpusmill.llm import byte_bpe, jaccard_join, language_model, mixing, quality_model, quality_rules, substring_dedup, token_counts, toxicity, url_filter, vantage
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -79,11 +79,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.filter_urls(pages, url_filter.rule_entries(spark, url_filter.RULES).unionByName(url_filter.unwanted_hosts(pages)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_quality_rules, op3_token_counts, op4_byte_bpe, op5_substring_dedup, op6_mixing, op7_jaccard_join,
-        op8_nearest_neighbours, op9_language_model, op10_toxicity,
+        op8_nearest_neighbours, op9_language_model, op10_toxicity, op13_url_filter,
     )
 }
 
@@ -129,4 +134,19 @@ ORACLES = {
         )
         SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op13_url_filter": rf"""
+        WITH parts AS (
+            SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
+                regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages
+        ), ruled AS (
+            SELECT *, ends_with('.' || host, '.com') AS com, ends_with('.' || host, '.net') AS net, starts_with(path, '/en/') AS en FROM parts
+        )
+        SELECT page_id, host, path, rule, CASE
+            WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN regexp_matches(host, '(^|[.-])({"|".join(url_filter.UNWANTED)})(-[^.]*)?\.') THEN 'block' ELSE 'allow' END AS verdict
+        FROM (SELECT *, CASE
+            WHEN en AND ends_with('.' || host, '.www.example.com') THEN 'www.example.com/en/' WHEN en AND ends_with('.' || host, '.example.com') THEN 'example.com/en/'
+            WHEN com AND starts_with(path, '/') THEN 'com/' WHEN net AND starts_with(path, '/es/') THEN 'net/es/' WHEN net AND starts_with(path, '/fr/') THEN 'net/fr/' END AS rule
+            FROM ruled)
+    """,
 }

@@ -15,7 +15,7 @@ def test_query(spark, name):
     assert rows and name in entry.queries()
     if name in queries.ORACLES:
         con = duckdb.connect()
-        for table in ("documents", "embeddings"):
+        for table in ("documents", "embeddings", "pages", "conversations"):
             con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
         result = con.execute(queries.ORACLES[name])
         names = [d[0] for d in result.description]
