@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import byte_bpe, jaccard_join, language_model, mixing, quality_model, quality_rules, substring_dedup, token_counts, toxicity, url_filter, vantage
+from corpusmill.llm import byte_bpe, jaccard_join, language_model, mixing, periodic_runs, quality_model, quality_rules, substring_dedup, token_counts, toxicity, url_filter, vantage
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -79,6 +79,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(_table(spark, sf_dir, "documents"))
+
+
 def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, url_filter.rule_entries(spark, url_filter.RULES).unionByName(url_filter.unwanted_hosts(pages)))
@@ -88,7 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_quality_rules, op3_token_counts, op4_byte_bpe, op5_substring_dedup, op6_mixing, op7_jaccard_join,
-        op8_nearest_neighbours, op9_language_model, op10_toxicity, op13_url_filter,
+        op8_nearest_neighbours, op9_language_model, op10_toxicity, op12_periodic_runs, op13_url_filter,
     )
 }
 
