@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.llm import byte_bpe, jaccard_join, language_model, mixing, periodic_runs, quality_model, quality_rules, substring_dedup, token_counts, toxicity, url_filter, vantage
+from corpusmill.llm import byte_bpe, conversation_repair, jaccard_join, language_model, mixing, periodic_runs, quality_model, quality_rules, substring_dedup, token_counts, toxicity, url_filter, vantage
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -79,6 +79,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_conversations(conversation_repair.damage(_table(spark, sf_dir, "conversations")))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_digests(_table(spark, sf_dir, "documents"))
 
@@ -92,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_quality_rules, op3_token_counts, op4_byte_bpe, op5_substring_dedup, op6_mixing, op7_jaccard_join,
-        op8_nearest_neighbours, op9_language_model, op10_toxicity, op12_periodic_runs, op13_url_filter,
+        op8_nearest_neighbours, op9_language_model, op10_toxicity, op11_conversation_repair, op12_periodic_runs, op13_url_filter,
     )
 }
 
@@ -138,6 +142,62 @@ ORACLES = {
         )
         SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= 5
     """,
+    "op11_conversation_repair": r"""
+        WITH RECURSIVE numbered AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS conv,
+                list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda x: ascii(x)::BIGINT) AS spot
+            FROM conversations
+        ), spots AS (
+            SELECT *, xor(list_reduce(spot, lambda crc, b: list_reduce(range(8), lambda x, i: xor(x >> 1, (x & 1) * 3988292384), xor(crc, b)), 4294967295), 4294967295) % 20 AS kind
+            FROM numbered
+        ), damaged AS (
+            SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN kind = 3 THEN [1, 2] ELSE [1] END) AS copy
+            FROM spots WHERE kind <> 0
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text) AS pos, substr(role, 1, 1) AS initial FROM damaged
+        ), judged AS (
+            SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 THEN 'duplicate'
+                WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+                pos > 1 AND lag(initial) OVER (PARTITION BY conv ORDER BY pos) || initial NOT IN ('su', 'ua', 'au') AS odd
+            FROM placed
+        ), facts AS (
+            SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+                count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (odd) AS illegal, count(*) AS n
+            FROM judged GROUP BY conv
+        ), steps AS (
+            -- the cheapest edits from the four states of the grammar (nothing yet, after system, user, assistant), row by row from the end
+            SELECT conv, n AS pos, {'c': 0::BIGINT, 'a': ''} AS s0, {'c': 6::BIGINT, 'a': 'II'} AS s1, {'c': 3::BIGINT, 'a': 'I'} AS s2, {'c': 0::BIGINT, 'a': ''} AS s3 FROM facts
+            UNION ALL
+            SELECT conv, pos - 1,
+                list_min([o0, {'c': o2.c + 3, 'a': 'I' || o2.a}, {'c': o3.c + 6, 'a': 'II' || o3.a}]), list_min([o1, {'c': o2.c + 3, 'a': 'I' || o2.a}, {'c': o3.c + 6, 'a': 'II' || o3.a}]),
+                list_min([o2, {'c': o3.c + 3, 'a': 'I' || o3.a}]), list_min([o3, {'c': o2.c + 3, 'a': 'I' || o2.a}])
+            FROM (SELECT conv, pos,
+                    list_min([{'c': s0.c + 4, 'a': 'D' || s0.a}, {'c': s1.c + more + if(initial = 's', 0, 999), 'a': 'K' || s1.a},
+                        {'c': s2.c + more + if(initial = 'u', 0, 999), 'a': 'K' || s2.a}, {'c': s2.c + more + 3, 'a': 'R' || s2.a}]) AS o0,
+                    list_min([{'c': s1.c + 4, 'a': 'D' || s1.a}, {'c': s2.c + more + if(initial = 'u', 0, 999), 'a': 'K' || s2.a}, {'c': s2.c + more + 3, 'a': 'R' || s2.a}]) AS o1,
+                    list_min([{'c': s2.c + 4, 'a': 'D' || s2.a}, {'c': s3.c + more + if(initial = 'a', 0, 999), 'a': 'K' || s3.a}, {'c': s3.c + more + 3, 'a': 'R' || s3.a}]) AS o2,
+                    list_min([{'c': s3.c + 4, 'a': 'D' || s3.a}, {'c': s2.c + more + if(initial = 'u', 0, 999), 'a': 'K' || s2.a}, {'c': s2.c + more + 3, 'a': 'R' || s2.a}]) AS o3
+                FROM (SELECT s.*, initial, CASE WHEN fault IN ('blank', 'duplicate') THEN 999 WHEN fault = 'truncated' THEN 3 ELSE 0 END AS more
+                    FROM steps s JOIN judged j ON s.conv = j.conv AND s.pos = j.pos WHERE s.pos > 0))
+        ), audits AS (
+            SELECT conv, s0.c AS cost, s0.a AS audit FROM steps WHERE pos = 0
+        ), letters AS (
+            SELECT conv, audit, unnest(range(1, length(audit) + 1)) AS i FROM audits
+        ), edits AS (
+            SELECT conv, i, audit[i] AS edit, i - length(replace(audit[1:i], 'I', '')) AS inserted FROM letters
+        ), turns AS (
+            SELECT e.conv, i, edit, role, text, row_number() OVER (PARTITION BY e.conv ORDER BY i) - 1 AS place,
+                coalesce(first_value(edit = 'K' AND initial = 's') OVER (PARTITION BY e.conv ORDER BY i), false) AS led
+            FROM edits e LEFT JOIN judged j ON e.conv = j.conv AND j.pos = i - inserted AND edit <> 'I' WHERE edit <> 'D'
+        ), repaired AS (
+            SELECT conv, string_agg(CASE WHEN edit = 'K' THEN role WHEN (place - led::INT) % 2 = 0 THEN 'user' ELSE 'assistant' END || ':' || coalesce(text, ''), chr(10) ORDER BY i) AS lines
+            FROM turns GROUP BY conv
+        )
+        SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate, coalesce(truncated, 0)::BIGINT AS truncated,
+            coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost, coalesce(audit, '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT conv_id, conv FROM numbered) LEFT JOIN facts USING (conv) LEFT JOIN audits USING (conv) LEFT JOIN repaired USING (conv)
+    """,
     "op13_url_filter": rf"""
         WITH parts AS (
             SELECT page_id, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
