@@ -47,8 +47,30 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+# Spark drops the shuffle files of an execution when it ends, if this is set.
+_DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: reliable, and it cuts the lineage."""
-    path = shared_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write `df` to the shared folder and read it back: reliable, and it cuts the lineage.
+
+    The written table stands for all that led to it, so the shuffle files of this execution go as it ends.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    before = spark.conf.get(_DROP_SHUFFLES, None)
+    if before is not None:
+        spark.conf.set(_DROP_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(_DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(table: DataFrame) -> None:
+    """Empty a table that `materialize` wrote and nothing reads any more, so that long jobs do not fill the shared folder."""
+    folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+    for folder in folders:
+        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
