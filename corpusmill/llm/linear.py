@@ -7,9 +7,9 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from corpusmill.llm.words import binary_rows, slices
 
@@ -55,6 +55,8 @@ class Model:
     bias: float
     weights: np.ndarray
     binary: bool
+    # Pairs of counterfactual forms that the training compared.
+    n_pairs: int = 0
 
 
 def held_out(key: str, remainder: int = 0):
@@ -62,13 +64,17 @@ def held_out(key: str, remainder: int = 0):
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % FOLDS == remainder, F.lit(False))
 
 
-def training_texts(docs: DataFrame, labels: DataFrame, label: str, sample_rows: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, label, text) of at most `sample_rows` labelled documents outside the held-out fold.
+def training_texts(
+    docs: DataFrame, labels: DataFrame, label: str, sample_rows: int, key: str = "doc_id", text: str = "text", without: tuple[int, ...] = (0,)
+) -> DataFrame:
+    """(doc_id, label, text) of at most `sample_rows` labelled documents outside the held-out folds `without`.
 
     The sample is the documents with the smallest seeded hashes, so it is the same on each run. A document
     with several labels has the largest; of several texts with one id, the first in order counts.
     """
-    usable = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull() & ~held_out(key))
+    usable = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    for remainder in without:
+        usable = usable.where(~held_out(key, remainder))
     chosen = (
         usable.groupBy(F.col(key).alias("_id")).agg(F.max(label).cast("int").alias("_label"))
         .orderBy(F.xxhash64("_id", F.lit(17)), "_id").limit(sample_rows)
@@ -111,13 +117,19 @@ class FollowTheLeader:
         self.bias_n = n + gradient**2
 
 
+Row = tuple[np.ndarray, np.ndarray]
+
+
 def learn(
-    rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, twins: dict[int, list[tuple[np.ndarray, np.ndarray]]] | None = None, *,
+    rows: list[Row], labels: np.ndarray, changes: dict[int, list[Row]] | None = None, *,
     epochs: int, alpha: float, beta: float = 1.0, l1: float, l2: float = 1.0, penalty: float = 0.0, seed: int = 0,
 ) -> FollowTheLeader:
-    """Logistic loss over the rows, plus `penalty` times the squared change of the raw score for each twin of a row."""
+    """Logistic loss over the rows, plus `penalty` times the squared raw score of each change that belongs to a row.
+
+    A change is the difference of the features of two counterfactual forms, so its raw score is the gap between theirs.
+    """
     leader = FollowTheLeader(alpha, beta, l1, l2)
-    twins = twins or {}
+    changes = changes or {}
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         for i in order.permutation(len(rows)):
@@ -127,60 +139,88 @@ def learn(
             error = 1.0 / (1.0 + np.exp(-np.clip(raw, -35, 35))) - labels[i]
             leader.update(ids, weights, error * values)
             leader.update_bias(error)
-            for twin_ids, twin_values in twins.get(i, ()):
-                both = np.union1d(ids, twin_ids)
-                change = np.zeros(len(both))
-                change[np.searchsorted(both, ids)] += values
-                change[np.searchsorted(both, twin_ids)] -= twin_values
-                both, change = both[change != 0], change[change != 0]
-                weights = leader.weights(both)
-                leader.update(both, weights, 2 * penalty * float(weights @ change) * change)
+            for ids, change in changes.get(i, ()):
+                weights = leader.weights(ids)
+                leader.update(ids, weights, 2 * penalty * float(weights @ change) * change)
     return leader
 
 
-def train(texts: DataFrame, features: FeatureFn, binary: bool, twin_texts: Callable[[int, str], list[str]] | None = None, **settings) -> Model:
-    """A model of (doc_id, label, text); `twin_texts` gives the counterfactual forms of a text.
+def difference(one: Row, other: Row) -> Row:
+    """The features in which two rows differ, and by how much."""
+    ids = np.union1d(one[0], other[0])
+    change = np.zeros(len(ids), np.float32)
+    change[np.searchsorted(ids, one[0])] += one[1]
+    change[np.searchsorted(ids, other[0])] -= other[1]
+    return ids[change != 0].astype(np.int32), change[change != 0]
+
+
+def _binary_lists(column: pa.ChunkedArray, kind: type) -> list[np.ndarray]:
+    """Each value of a binary column as an array over the column's own memory."""
+    whole = column.combine_chunks()
+    whole = whole.cast(pa.large_binary()) if isinstance(whole, pa.Array) else pa.concat_arrays(whole.chunks).cast(pa.large_binary())
+    _, offsets, data = whole.buffers()
+    edges = np.frombuffer(offsets, np.int64)[whole.offset:whole.offset + len(whole) + 1].tolist()
+    size = np.dtype(kind).itemsize
+    return [np.frombuffer(data, kind, (b - a) // size, a) if b > a else np.zeros(0, kind) for a, b in zip(edges, edges[1:])]
+
+
+def train(texts: DataFrame, features: FeatureFn, binary: bool, counterfactuals: Callable[[object, str], list[tuple[str | None, str]]] | None = None, **settings) -> Model:
+    """A model of (doc_id, label, text); `counterfactuals` gives pairs of forms of a text, where None is the text itself.
 
     Features are worked out where the texts are; one task then runs the updates over the bounded sample and
-    hands over nothing but the weights.
+    hands over nothing but the weights. That task holds sparse rows: 8 bytes for each distinct feature of a text, of
+    which there are 2**BITS at most however long the text is, and the few features in which the forms of a pair differ.
     """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                texts = part.column(2)
-                owner = np.arange(part.num_rows)
-                if twin_texts is not None:
-                    made = [twin_texts(i, t) for i, t in zip(part.column(0).to_pylist(), texts.to_pylist(), strict=True)]
-                    owner = np.concatenate([owner, np.repeat(owner, [len(m) for m in made])])
-                    texts = pa.concat_arrays([texts, pa.array([t for m in made for t in m], pa.large_string())])
+                n, texts = part.num_rows, part.column(2)
+                owner, place, sides, forms = list(range(n)), [0] * n, [], []
+                if counterfactuals is not None:
+                    for i, (key, text) in enumerate(zip(part.column(0).to_pylist(), texts.to_pylist(), strict=True)):
+                        for k, pair in enumerate(counterfactuals(key, text), 1):
+                            owner.append(i)
+                            place.append(k)
+                            sides.append([i if form is None else n + len(forms) + sum(f is not None for f in pair[:side]) for side, form in enumerate(pair)])
+                            forms += [f for f in pair if f is not None]
+                    texts = pa.concat_arrays([texts, pa.array(forms, pa.large_string())])
                 f = sparse_rows(*features(texts), len(texts), binary)
+                rows = [f.row(i) for i in range(n)] + [difference(f.row(a), f.row(b)) for a, b in sides]
+                bounds = np.concatenate([[0], np.cumsum([len(ids) for ids, _ in rows])])
+                ids = np.concatenate([np.zeros(0, np.int32), *[r[0] for r in rows]])
+                values = np.concatenate([np.zeros(0, np.float32), *[r[1] for r in rows]])
+                at = pa.array(owner, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), pa.array(np.arange(len(owner)) >= part.num_rows),
-                     binary_rows(f.ids, f.bounds).cast(pa.binary()), binary_rows(f.values, f.bounds).cast(pa.binary())],
-                    names=["doc_id", "label", "twin", "ids", "values"],
+                    [part.column(0).take(at), part.column(1).take(at), pa.array(place, pa.int32()), binary_rows(ids, bounds).cast(pa.binary()), binary_rows(values, bounds).cast(pa.binary())],
+                    names=["doc_id", "label", "place", "ids", "values"],
                 )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["doc_id"], r["twin"], r["ids"]))
-        pairs = [(np.frombuffer(r["ids"], np.int32), np.frombuffer(r["values"], np.float32)) for r in found]
-        own = [k for k, r in enumerate(found) if not r["twin"]]
-        place = {found[k]["doc_id"]: i for i, k in enumerate(own)}
-        twins: dict[int, list] = {}
-        for r, pair in zip(found, pairs, strict=True):
-            if r["twin"]:
-                twins.setdefault(place[r["doc_id"]], []).append(pair)
-        leader = learn([pairs[k] for k in own], np.array([found[k]["label"] for k in own], float), twins, **settings)
+        parts = list(batches)
+        if not parts:
+            return
+        table = pa.Table.from_batches(parts)
+        order = np.asarray(pc.sort_indices(table.select(["doc_id", "place"]), sort_keys=[("doc_id", "ascending"), ("place", "ascending")]))
+        all_ids, all_values = _binary_lists(table.column("ids"), np.int32), _binary_lists(table.column("values"), np.float32)
+        places, found = table.column("place").to_numpy()[order], table.column("label").to_numpy()[order]
+        rows, changes = [], {}
+        for at, place in zip(order.tolist(), places.tolist(), strict=True):
+            if place:
+                changes.setdefault(len(rows) - 1, []).append((all_ids[at], all_values[at]))
+            else:
+                rows.append((all_ids[at], all_values[at]))
+        leader = learn(rows, found[places == 0].astype(float), changes, **settings)
         weights = leader.weights().astype(np.float32)
         ids = np.flatnonzero(weights).astype(np.int32)
-        yield pa.RecordBatch.from_pydict({"bias": [leader.bias], "ids": [ids.tobytes()], "values": [weights[ids].tobytes()]})
+        yield pa.RecordBatch.from_pydict({"bias": [leader.bias], "ids": [ids.tobytes()], "values": [weights[ids].tobytes()], "n_pairs": [len(order) - len(rows)]})
 
-    schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label int, twin boolean, ids binary, values binary"
+    schema = f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, label int, place int, ids binary, values binary"
     sparse = texts.select("doc_id", "label", "text").mapInArrow(gather, schema)
-    learned = sparse.repartition(1).mapInArrow(fit, "bias double, ids binary, values binary").collect()
+    learned = sparse.repartition(1).mapInArrow(fit, "bias double, ids binary, values binary, n_pairs bigint").collect()
     model = Model(0.0, np.zeros(1 << BITS, np.float32), binary)
     for row in learned:  # one, or none if there is nothing to learn from
-        model.bias = row.bias
+        model.bias, model.n_pairs = row.bias, row.n_pairs
         model.weights[np.frombuffer(row.ids, np.int32)] = np.frombuffer(row["values"], np.float32)
     return model
 
@@ -192,18 +232,20 @@ def raw_scores(texts: pa.Array, features: FeatureFn, model: Model) -> np.ndarray
     return np.bincount(text_of, weights=model.weights[f.ids] * f.values, minlength=len(texts)) + model.bias
 
 
-def with_score(docs: DataFrame, features: FeatureFn, model: Model, text: str = "text", name: str = "score") -> DataFrame:
-    """`docs` with the probability of label 1 for each row. Null and empty texts get the score of the bias alone."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def scorer(spark: SparkSession, features: FeatureFn, model: Model) -> Callable[[Column], Column]:
+    """The probability of label 1 as a function of a text column. Nothing but the text goes to Python.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "_text"):
-                raw = raw_scores(part.column(part.num_columns - 1), features, shared.value)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(1.0 / (1.0 + np.exp(-raw)))], names=[*part.schema.names[:-1], name])
+    Null and empty texts get the score of the bias alone.
+    """
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        whole = pa.RecordBatch.from_arrays([texts], names=["text"])
+        raw = [raw_scores(part.column(0), features, shared.value) for part in slices(whole)]
+        return pa.array(1.0 / (1.0 + np.exp(-np.concatenate([np.zeros(0), *raw]))))
 
-    rows = docs.select("*", F.col(text).alias("_text"))
-    return rows.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return scored
 
 
 def score(docs: DataFrame, features: FeatureFn, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:

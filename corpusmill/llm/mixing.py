@@ -18,6 +18,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.llm.names import fresh
 from corpusmill.session import materialize
 
 # The flow runs on the driver over one row per membership pattern; more than this many is refused.
@@ -124,11 +125,17 @@ def mix_sources(
     size: words of the text, 0 for null; taken: size times the copies in the mix, at most `copies`. Reruns
     agree: the draw depends on the key. Rows with one key and one pattern are taken or left together. Null
     keys and sources are keys and sources of their own; an empty table gives no rows. All columns of `docs` stay.
+
+    Where the share of a pattern ends is found among the documents of one of 16**_BUCKET_DIGITS buckets of its draw, so
+    a pattern with a third of all rows sorts that fraction of them in one task.
     """
     spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
-    drawn = docs.select("*", F.array_sort(sources).alias("_mix_pattern"), draw_of(key, seed).alias("_mix_draw"))
-    rows = materialize(drawn.select(F.col(key).alias("_mix_key"), size.alias("size"), "_mix_pattern", "_mix_draw"), "mix-sizes")
+    own_pattern, own_draw, own_size, own_all, own_edge, own_last = fresh(docs, "_mix_pattern", "_mix_draw", "_mix_size", "_mix_all", "_mix_edge", "_mix_last")
+    drawn = docs.select("*", F.array_sort(sources).alias(own_pattern), draw_of(key, seed).alias(own_draw))
+    rows = materialize(
+        drawn.select(F.col(key).alias("_mix_key"), size.alias("size"), F.col(own_pattern).alias("_mix_pattern"), F.col(own_draw).alias("_mix_draw")), "mix-sizes"
+    )
 
     found = rows.groupBy("_mix_pattern").agg(F.sum("size").alias("size")).limit(MOST_PATTERNS + 1).collect()
     if len(found) > MOST_PATTERNS:
@@ -169,9 +176,10 @@ def mix_sources(
     # As many rows as patterns, which is at most MOST_PATTERNS.
     cuts = materialize(shares.join(first_of_edge, "_mix_pattern", "left").join(last, "_mix_pattern", "left"), "mix-cuts")
 
-    own = F.struct("_mix_draw", F.col(key).alias("_mix_key"))
-    goes_in = (F.col("_mix_draw") < F.col("_mix_edge")) | (own <= F.col("_mix_last"))
-    n_copies = F.col("_mix_all") + F.coalesce(goes_in, F.lit(False)).cast("bigint")
-    joined = drawn.withColumn("_mix_size", size).join(F.broadcast(cuts), "_mix_pattern")
-    added = [F.col("_mix_size").alias(size_name), (n_copies * F.col("_mix_size")).alias(taken_name)]
+    cuts = cuts.select(F.col("_mix_pattern").alias(own_pattern), F.col("_mix_all").alias(own_all), F.col("_mix_edge").alias(own_edge), F.col("_mix_last").alias(own_last))
+    own = F.struct(F.col(own_draw).alias("_mix_draw"), F.col(key).alias("_mix_key"))
+    goes_in = (F.col(own_draw) < F.col(own_edge)) | (own <= F.col(own_last))
+    n_copies = F.col(own_all) + F.coalesce(goes_in, F.lit(False)).cast("bigint")
+    joined = drawn.withColumn(own_size, size).join(F.broadcast(cuts), own_pattern)
+    added = [F.col(own_size).alias(size_name), (n_copies * F.col(own_size)).alias(taken_name)]
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], *added), sizes, wanted

@@ -64,10 +64,41 @@ def test_updates_follow_the_closed_form():
 
 def test_swapped_mentions_keep_their_case_of_language():
     swap = toxicity.Swapper([["people", "women", "men", "jews"], ["gens", "femmes", "hommes"]])
-    other, neutral = swap(5, "Women and men, les femmes; womenfolk")
-    assert neutral == "people and people, les gens; womenfolk"
+    (own, other), (own_again, neutral) = swap(5, "Women and men, les femmes; womenfolk")
+    assert own is own_again is None and neutral == "people and people, les gens; womenfolk"
     assert other.split()[0] in ("men", "jews") and "hommes" in other and "womenfolk" in other
-    assert swap(5, "nothing here") == []
+
+
+def test_texts_without_terms_are_given_a_mention():
+    swap = toxicity.Swapper([["people", "women", "men"]])
+    seen = set()
+    for key in range(40):
+        ((neutral, group),) = swap(key, "one\ntwo  three")
+        term = (set(group.split()) - set("one two three".split())).pop()
+        assert term in ("women", "men") and neutral == group.replace(term, "people") and group.replace(f" {term}", "") == "one\ntwo  three"
+        assert swap(key, "one\ntwo  three") == [(neutral, group)]
+        seen.add(group)
+    assert len(seen) > 3 and swap(5, " \n") == [] and toxicity.Swapper([])(5, "women") == []
+
+
+def test_differences_hold_what_only_one_form_has():
+    ids, change = linear.difference((np.array([1, 4, 9]), np.array([1, 1, 1.0])), (np.array([2, 4, 9]), np.array([1, 1, 0.5])))
+    assert ids.tolist() == [1, 2, 9] and change.tolist() == [1, -1, 0.5]
+
+
+def test_pairs_act_on_the_given_tables(spark):
+    """Groups are mentioned nowhere in them; their scores still differ less, and no more neutral mentions are rejected."""
+    folder = FOLDER.replace("0.001", "0.01")
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    clean = [r.text for r in docs.join(labels.where("toxic = 0"), "doc_id").orderBy("doc_id").limit(60).collect()]
+    row = toxicity.IDENTITY_TERMS[0]
+    gap, wrong = {}, {}
+    for penalty in (0.0, toxicity.PENALTY):
+        model = toxicity.train_toxicity(docs, labels, penalty=penalty)
+        raw = np.array([linear.raw_scores(pa.array([f"{t} {term}" for t in clean], pa.large_string()), toxicity.features, model) for term in row])
+        gap[penalty], wrong[penalty] = np.abs(raw[1:] - raw[0]).mean(), (raw > 0).mean()
+        assert model.n_pairs > 0
+    assert gap[toxicity.PENALTY] <= gap[0.0] and wrong[toxicity.PENALTY] <= wrong[0.0]
 
 
 def test_neutral_mentions_are_scored_up_less_with_the_penalty(spark):

@@ -44,3 +44,19 @@ def test_odd_and_empty_tables(spark, odd_docs, no_docs, labels, tmp_path):
             assert docs.columns == columns
         rows = corpus_pipeline.encode_texts(spark, docs, str(tmp_path)).collect()
         assert len(rows) >= least
+
+
+def test_stages_mind_no_column_names(spark, tmp_path):
+    """Extra columns called as the stages call their own for a while, in whatever case, stay as they are."""
+    names = ["_text", "_toxic", "_copy", "_cut", "_CUT_id", "_size", "_taken", "_time", "_mix_pattern", "_mix_draw", "_mix_size", "_mix_all", "_mix_last", "class_id", "seed", "label", "ids"]
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").limit(60)
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, corpus_pipeline.F.lit(k))
+    spark.read.parquet(f"{FOLDER}/labels.parquet").write.parquet(str(tmp_path / "labels.parquet"))
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == columns
+    rows = docs.collect()
+    assert rows and all([r[n] for n in names] == list(range(len(names))) for r in rows)
+    assert corpus_pipeline.encode_texts(spark, docs, str(tmp_path)).count() == len(rows)
