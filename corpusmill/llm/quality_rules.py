@@ -3,9 +3,19 @@
 Every text is measured once (words, symbols, repeated lines and windows, capitals). The measures are ratios
 in whole numbers, so that their distribution fits a histogram with relative bucket width (the sketch): a
 bucket is the leading bits of the value. Such sketches merge by adding counts, in any order and with the same
-result, which a sum per (language, source, measure, bucket) does on the map side first. Quantiles of a group
-give its threshold. A group of few rows borrows from its language and from the whole corpus: their sketches
-are merged in with a weight, which is how a small source is judged by its like rather than by itself.
+result, which a sum per (language, source, measure, bucket) does on the map side first.
+
+A group is judged by its own sketch with those of its language and of the whole corpus merged in: the first counts as
+OF_LANG rows, the second as OF_ALL, whatever their own size, so they decide in a small group and fade as it grows. From
+the merged sketch come the median, the quantile TAIL (and 1 - TAIL for low values), and the least step that a text can
+make in the measure: that of one more symbol, line or window in a text of the group's median size, known from sketches
+of the sizes. A limit lies REACH times beyond the tail: REACH times the distance of tail and median, plus REACH such
+steps. So it follows the group in all three, there is no fixed cutoff, and up to a tenth of a group may be junk without
+moving its limits much. A group most of whose texts are full of symbols keeps them: that is usual there.
+
+Defined results: null languages and sources are groups of their own; null and empty texts have no words, are in no sketch and
+fail the base rules; texts of any length are measured whole; a value at the limit is within it; repeated rows are
+judged each; an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -14,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.words import BREAKS, Words, find_words, ngram_hashes, per_text, slices
@@ -100,21 +110,28 @@ def measure(docs: DataFrame, *keys: str, text: str = "text") -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-# measure: (numerator, factor, denominator, smallest step that counts as unusual, is low unusual too)
+# measure: (numerator, factor, denominator, what one more event adds to the numerator, is low unusual too)
 MEASURES = {
-    "word_length": ("word_chars", 100, "n_words", 400, True),
-    "symbols": ("n_symbols", 1000, "n_words", 100, False),
-    "duplicate_lines": ("n_dup_lines", 1000, "n_lines", 400, False),
-    "repeats": ("n_repeat_words", 1000, "n_words", 400, False),
-    "capitals": ("n_capitals", 1000, "word_chars", 400, False),
+    "word_length": ("word_chars", 100, "n_words", 1, True),
+    "symbols": ("n_symbols", 1000, "n_words", 1, False),
+    "duplicate_lines": ("n_dup_lines", 1000, "n_lines", 1, False),
+    "repeats": ("n_repeat_words", 1000, "n_words", WINDOW, False),
+    "capitals": ("n_capitals", 1000, "word_chars", 1, False),
 }
-# A limit lies this many half-widths (median to quartile) and one step away from the median.
-REACH = 8
-# A group of fewer rows is judged by its language's sketch, a language of fewer rows by the corpus'.
-LEAST_ROWS = 50
+SIZES = ["n_words", "n_lines", "word_chars"]
+# Per cent of the rows; and how far beyond the tail a limit lies.
+TAIL = 90
+REACH = 4
+# As how many rows the sketches of the language and of all texts count.
+OF_LANG = 100
+OF_ALL = 50
+# Counts are whole numbers of this part of a row, so that merged sketches do not depend on the order of sums.
+_PARTS = 1 << 20
 
 
 def value_of(name: str) -> Column:
+    if name in SIZES:
+        return F.col(name)
     numerator, factor, denominator, _, _ = MEASURES[name]
     return F.floor(F.col(numerator) * factor / F.greatest(F.col(denominator), F.lit(1))).cast("bigint")
 
@@ -127,37 +144,57 @@ def bucket_of(value: Column) -> Column:
 
 def sketch(stats: DataFrame, *by: str) -> DataFrame:
     """(by..., measure, bucket, n): the mergeable histograms of texts with at least one word."""
-    values = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), bucket_of(value_of(m)).alias("bucket")) for m in MEASURES]))
+    values = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), bucket_of(value_of(m)).alias("bucket")) for m in [*MEASURES, *SIZES]]))
     return stats.where("n_words > 0").select(*by, values).groupBy(*by, "measure", "bucket").agg(F.count("*").alias("n"))
 
 
-def quartiles(sketches: DataFrame, *by: str) -> DataFrame:
-    """(by..., measure, total, q1, q2, q3): quartiles of merged sketches."""
-    key = Window.partitionBy(*by, "measure")
+def cells(sketches: DataFrame, *by: str, name: str) -> DataFrame:
+    """(by..., measure, name): merged sketches as lists of (bucket, n), which hold at most 32 buckets for each bit of a value."""
     merged = sketches.groupBy(*by, "measure", "bucket").agg(F.sum("n").alias("n"))
-    summed = merged.withColumn("below", F.sum("n").over(key.orderBy("bucket"))).withColumn("total", F.sum("n").over(key))
-    at = [F.min(F.when(F.col("below") * 4 >= F.col("total") * i, F.col("bucket"))).alias(f"q{i}") for i in (1, 2, 3)]
-    return summed.groupBy(*by, "measure").agg(F.max("total").alias("total"), *at)
+    return merged.groupBy(*by, "measure").agg(F.collect_list(F.struct("bucket", "n")).alias(name))
+
+
+def _scaled(listed: Column, rows: int | None) -> Column:
+    """The counts of a sketch in parts of a row, as if it held so many rows; its own number with None."""
+    if rows is None:
+        return F.transform(listed, lambda c: F.struct(c["bucket"].alias("bucket"), (c["n"] * _PARTS).alias("n")))
+    total = F.aggregate(listed, F.lit(0).cast("bigint"), lambda t, c: t + c["n"]).cast("decimal(38,0)")
+    share = lambda c: F.floor(c["n"].cast("decimal(18,0)") * F.lit(rows * _PARTS).cast("decimal(12,0)") / total).cast("bigint")
+    return F.transform(listed, lambda c: F.struct(c["bucket"].alias("bucket"), share(c).alias("n")))
+
+
+def _quantile(merged: Column, total: Column, percent: int) -> Column:
+    """The least bucket below or in which that share of the merged, sorted cells lies."""
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("bigint").alias("at"))
+
+    def add(state: Column, cell: Column) -> Column:
+        seen = state["seen"] + cell["n"]
+        here = state["at"].isNull() & (seen * 100 >= total * percent)
+        return F.struct(seen.alias("seen"), F.when(here, cell["bucket"]).otherwise(state["at"]).alias("at"))
+
+    return F.aggregate(merged, start, add, lambda state: state["at"])
 
 
 def limits(sketches: DataFrame) -> DataFrame:
     """(lang, source, <measure>_low, <measure>_high): what is usual in each group."""
-    own = quartiles(sketches, "lang", "source")
-    of_lang = quartiles(sketches, "lang").select(F.col("lang").alias("_lang"), F.col("measure").alias("_m"), F.struct("total", "q1", "q2", "q3").alias("_of_lang"))
-    of_all = quartiles(sketches).select(F.col("measure").alias("_a"), F.struct("total", "q1", "q2", "q3").alias("_of_all"))
-    chosen = (
-        own.join(of_lang, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("measure") == F.col("_m")))
-        .join(of_all, F.col("measure") == F.col("_a"))
-        .withColumn("q", F.when(F.col("total") >= LEAST_ROWS, F.struct("total", "q1", "q2", "q3"))
-                    .when(F.col("_of_lang.total") >= LEAST_ROWS, F.col("_of_lang")).otherwise(F.col("_of_all")))
-    )
-    pick = lambda m, c: F.max(F.when(F.col("measure") == m, c))
+    own = cells(sketches, "lang", "source", name="own")
+    of_lang = cells(sketches, "lang", name="of_lang").withColumnsRenamed({"lang": "_lang", "measure": "_m"})
+    of_all = cells(sketches, name="of_all").withColumnRenamed("measure", "_a")
+    joined = own.join(of_lang, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("measure") == F.col("_m"))).join(of_all, F.col("measure") == F.col("_a"))
+    merged = F.array_sort(F.concat(_scaled(F.col("own"), None), _scaled(F.col("of_lang"), OF_LANG), _scaled(F.col("of_all"), OF_ALL)))
+    summed = joined.select("lang", "source", "measure", merged.alias("merged"))
+    summed = summed.withColumn("total", F.aggregate("merged", F.lit(0).cast("bigint"), lambda t, c: t + c["n"]))
+    at = {f"q{p}": _quantile(F.col("merged"), F.col("total"), p) for p in (100 - TAIL, 50, TAIL)}
+    quantiles = F.struct(*[c.alias(n) for n, c in at.items()])
+    known = summed.groupBy("lang", "source").agg(F.map_from_entries(F.collect_list(F.struct("measure", quantiles))).alias("q"))
     columns = []
-    for m, (_, _, _, step, two_sided) in MEASURES.items():
-        columns.append(pick(m, F.col("q.q2") + (F.col("q.q3") - F.col("q.q2")) * REACH + step).alias(f"{m}_high"))
-        low = F.col("q.q2") - (F.col("q.q2") - F.col("q.q1")) * REACH - step if two_sided else F.lit(-1).cast("bigint")
-        columns.append(pick(m, low).alias(f"{m}_low"))
-    return chosen.groupBy("lang", "source").agg(*columns)
+    for m, (_, factor, denominator, event, two_sided) in MEASURES.items():
+        q = F.col("q")[m]
+        step = F.floor(F.lit(REACH * factor * event) / F.greatest(F.col("q")[denominator]["q50"], F.lit(1))).cast("bigint")
+        columns.append((q[f"q{TAIL}"] + (q[f"q{TAIL}"] - q["q50"]) * REACH + step).alias(f"{m}_high"))
+        low = q[f"q{100 - TAIL}"] - (q["q50"] - q[f"q{100 - TAIL}"]) * REACH - step if two_sided else F.lit(-1).cast("bigint")
+        columns.append(low.alias(f"{m}_low"))
+    return known.select("lang", "source", *columns)
 
 
 def apply_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", key: str = "doc_id") -> DataFrame:

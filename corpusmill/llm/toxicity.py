@@ -27,7 +27,7 @@ from corpusmill.llm.words import find_words, mix, ngram_hashes
 SAMPLE_ROWS = 12_000
 THRESHOLD = 0.5
 PENALTY = 1.0
-_SETTINGS = {"epochs": 5, "alpha": 1.0, "l1": 4.0}
+_SETTINGS = {"epochs": 5, "alpha": 1.0, "l1": 12.0}
 # Words are also known by their first bytes, as insults come with endings.
 PREFIXES = (4, 5, 6)
 

@@ -3,7 +3,12 @@
 Vectors are scaled to length one, so that a larger cosine is a smaller distance and the triangle inequality
 holds. A node of a tree has a vantage point and keeps, for each half of the other points, the range of their
 distances to it; a half is passed over if no point in that range can be nearer than the worst of the nearest
-found so far. The pruning factor multiplies that lower bound: 1 is exact, more prunes more and may miss some.
+found so far. The pruning factor multiplies that lower bound: 1 is exact, more prunes more and may miss some. Distances
+only decide what is looked at; the order of what is found is that of the exact cosines of the original vectors, then of the ids, so
+ties are complete: a half that could hold a point as near as the last one found is visited.
+
+How much is passed over depends on the vectors. Where they form groups, most of a shard is; where they are spread evenly over many
+dimensions, as random ones are, the nearest is hardly nearer than the rest, no bound can tell them apart, and factor 1 compares nearly all.
 
 Shards are dealt by a hash of the id and hold a bounded number of vectors; queries come in blocks. Every block
 meets every shard in a task of its own, and the best of all shards are merged per query.
@@ -11,6 +16,7 @@ meets every shard in a task of its own, and the best of all shards are merged pe
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
@@ -53,11 +59,17 @@ class VantageTree:
         halves = [(float(away[part[0]]), float(away[part[-1]]), self._grow(rest[part])) for part in (order[:middle], order[middle:])]
         return Node(vantage, halves)
 
-    def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray]:
-        """(rows, distances) of the k nearest points of each query, -1 and infinity where there are fewer."""
+    def search(self, queries: np.ndarray, k: int, factor: float = 1.0, score: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, distances) of the k nearest points of each query, -1 and infinity where there are fewer.
+
+        `score` of numbers of queries and of points decides the order (larger first), by default the cosine; equal scores
+        go to the smaller row. It must agree with the distances but for rounding.
+        """
         self._q, self._factor = queries, factor
+        self._score_of = score or (lambda asked, rows: np.einsum("ij,ij->i", queries[asked], self.points[rows]))
         self._rows = np.full((len(queries), k), -1)
         self._far = np.full((len(queries), k), np.inf)
+        self._score = np.full((len(queries), k), -np.inf)
         self.n_compared = 0
         self._visit(self.root, np.arange(len(queries)))
         return self._rows, self._far
@@ -65,11 +77,22 @@ class VantageTree:
     def _offer(self, asked: np.ndarray, rows: np.ndarray, away: np.ndarray) -> None:
         self.n_compared += away.size
         k = self._rows.shape[1]
-        all_far = np.concatenate([self._far[asked], away], axis=1)
-        all_rows = np.concatenate([self._rows[asked], np.broadcast_to(rows, away.shape)], axis=1)
-        best = np.argpartition(all_far, k - 1, axis=1)[:, :k]
-        self._far[asked] = np.take_along_axis(all_far, best, axis=1)
-        self._rows[asked] = np.take_along_axis(all_rows, best, axis=1)
+        limit = self._far[asked].max(axis=1)
+        if away.shape[1] > k:
+            limit = np.minimum(limit, np.partition(away, k - 1, axis=1)[:, k - 1])
+        q, r = np.nonzero(away <= limit[:, None] + SLACK)
+        if not len(q):
+            return
+        hit = np.unique(q)
+        new = rows[r]
+        place = np.concatenate([np.repeat(np.arange(len(hit)), k), np.searchsorted(hit, q)])
+        all_rows = np.concatenate([self._rows[asked[hit]].ravel(), new])
+        all_far = np.concatenate([self._far[asked[hit]].ravel(), away[q, r]])
+        all_scores = np.concatenate([self._score[asked[hit]].ravel(), self._score_of(asked[q], new)])
+        order = np.lexsort((all_rows, -all_scores, place))
+        begin = np.searchsorted(place[order], np.arange(len(hit)))
+        best = order[begin[:, None] + np.arange(k)]
+        self._rows[asked[hit]], self._far[asked[hit]], self._score[asked[hit]] = all_rows[best], all_far[best], all_scores[best]
 
     def _visit(self, node: Node | np.ndarray, asked: np.ndarray) -> None:
         if not len(asked):
@@ -104,20 +127,37 @@ def exact_cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total(a * b) / (np.sqrt(total(a * a)) * np.sqrt(total(b * b)))
 
 
+def directions(vectors: np.ndarray) -> np.ndarray:
+    """Vectors divided by a power of two, which leaves their cosines as they are to the last bit, so that multiples of that kind are equal.
+
+    A vector that does not come back from it unchanged, as its components are too far apart, stays as it is.
+    """
+    _, power = np.frexp(np.abs(vectors).max(axis=1, initial=0.0))
+    scaled = np.ldexp(vectors, -power[:, None])
+    safe = (np.ldexp(scaled, power[:, None]) == vectors).all(axis=1)
+    return np.where(safe[:, None], scaled, vectors)
+
+
 def nearest_in_shard(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, ...]:
     """(query id, id, score) of the k best of the shard for each query, the query's own id left out.
 
-    Equal vectors are one point of the tree with its k + 1 smallest ids, which is all that a query can need.
+    Vectors of one direction are one point of the tree with its k + 1 smallest ids, which is all that a query can need; of
+    points with equal scores those with the smaller least ids are found.
     """
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
-    _, first, group = np.unique(vectors, axis=0, return_index=True, return_inverse=True)
-    group = group.ravel()
+    _, first, group = np.unique(directions(vectors), axis=0, return_index=True, return_inverse=True)
+    # Points in the order of their least ids, so that ties of points go the way of their ids.
+    by_first = np.argsort(first)
+    rank = np.empty_like(by_first)
+    rank[by_first] = np.arange(len(by_first))
+    first, group = first[by_first], rank[group.ravel()]
     by_group = np.argsort(group, kind="stable")
     size = np.bincount(group)
     offset = np.cumsum(size) - size
     unit = vectors[first] / np.linalg.norm(vectors[first], axis=1)[:, None]
-    points, _ = VantageTree(unit).search(queries / np.linalg.norm(queries, axis=1)[:, None], min(2 * k + 2, len(first)), factor)
+    score_of = lambda asked, rows: exact_cosine(queries[asked], vectors[first[rows]])
+    points, _ = VantageTree(unit).search(queries / np.linalg.norm(queries, axis=1)[:, None], min(k + 1, len(first)), factor, score_of)
     asked, point = np.nonzero(points >= 0)
     point = points[asked, point]
     members = np.minimum(size[point], k + 1)
@@ -148,8 +188,8 @@ def nearest(
 
     `is_query` is a condition on `id_column`. Vectors that are null, zero or hold null or non-finite
     components take no part, nor do null ids. Of several vectors under one id the first in order counts.
-    Vectors of different lengths never meet. Ties go to the smaller id. With fewer than k others, all are
-    returned; an empty table gives no rows; other columns are not read.
+    Vectors of different lengths never meet. Ties go to the smaller id, also among vectors that differ. With fewer than k others, all are
+    returned; an empty table gives no rows; other columns are not read. Ids are whole numbers: text ids raise.
     """
     rows = vectors.select(F.col(id_column).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v"))
     clean = materialize(rows.where(F.col("id").isNotNull() & usable(F.col("v"))).groupBy("id").agg(F.min("v").alias("v")), "vectors")

@@ -100,6 +100,29 @@ def test_factor_one_is_exact_over_shards_and_blocks(spark):
     assert sorted(map(tuple, got.collect())) == brute_nearest(rows)
 
 
+def test_ties_of_different_vectors_go_to_the_smaller_ids(spark):
+    """Multiples by powers of two have equal cosines and are one direction; vectors in mirror image have equal cosines and are not."""
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=8).astype(np.float32)
+    rows = [(i, (base * np.float32(2.0 ** (i % 11 - 5))).tolist()) for i in range(50)]
+    rows += [(200 + i, (rng.normal(size=8)).astype(np.float32).tolist()) for i in range(60)]
+    rows += [(300 + 50 * i, [1.0, 0, 0, 0, 0, 0, 0, 0]) for i in range(3)]
+    # all of these are equally near to the three above
+    rows += [(500 + i, [3.0, *[4.0 * s if j == i % 7 else 0.0 for j in range(7)]]) for i, s in enumerate(rng.permutation([1.0, -1.0] * 40).tolist())]
+    rng.shuffle(rows)
+    rows = [(int(i), list(map(float, v))) for i, v in rows]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    for shard_rows in (1000, 40):
+        got = vantage.nearest(frame, F.col("vec_id") % 50 == 0, shard_rows=shard_rows)
+        assert sorted(map(tuple, got.collect())) == brute_nearest(rows)
+
+
+def test_directions_are_exact():
+    vectors = np.array([[3.0, 1.0], [6.0, 2.0], [0.75, 0.25], [9.0, 3.0], [1e300, 1e-300], [2e300, 2e-300], [0.0, 0.0]])
+    found = vantage.directions(vectors)
+    assert (found[0] == found[1]).all() and (found[0] == found[2]).all() and (found[0] != found[3]).any() and (found[4] == vectors[4]).all()
+
+
 def test_recall_and_work_under_a_larger_factor():
     rows = clustered(6000, 2)
     points = np.array([v for _, v in rows], float)

@@ -46,16 +46,105 @@ def test_merged_sketches_are_the_sketch_of_all(spark):
     assert sorted(by_source.collect()) == sorted(rules.sketch(stats, "lang").collect())
 
 
-def test_limits_adapt_to_the_group(spark):
-    """A source full of symbols is usual in itself; the same text is unusual elsewhere."""
+def bucket(v):
+    extra = max(v.bit_length() - 6, 0) if v else 0
+    return v >> extra << extra
+
+
+def brute_limits(stats):
+    """{group: {measure: (low, high)}} from {(lang, source): [statistics of its texts]} by plain lists of cells."""
+    names = [*rules.MEASURES, *rules.SIZES]
+
+    def value(s, m):
+        if m in rules.SIZES:
+            return s[m]
+        numerator, factor, denominator, _, _ = rules.MEASURES[m]
+        return s[numerator] * factor // max(s[denominator], 1)
+
+    def hist(rows, m):
+        return Counter(bucket(value(s, m)) for s in rows if s["n_words"] > 0)
+
+    found = {}
+    for (lang, source), rows in stats.items():
+        if not any(s["n_words"] for s in rows):
+            continue
+        q = {}
+        for m in names:
+            merged = Counter()
+            for other, weight in ((rows, None), ([s for (x, _), r in stats.items() if x == lang for s in r], 100), ([s for r in stats.values() for s in r], 50)):
+                h = hist(other, m)
+                total = sum(h.values())
+                for b, n in h.items():
+                    merged[b] += (n << 20) if weight is None else n * (weight << 20) // total
+            total = sum(merged.values())
+            for p in (10, 50, 90):
+                seen = 0
+                for b in sorted(merged):
+                    seen += merged[b]
+                    if seen * 100 >= total * p:
+                        q[m, p] = b
+                        break
+        found[lang, source] = {}
+        for m, (_, factor, denominator, event, two_sided) in rules.MEASURES.items():
+            step = 4 * factor * event // max(q[denominator, 50], 1)
+            low = q[m, 10] - 4 * (q[m, 50] - q[m, 10]) - step if two_sided else -1
+            found[lang, source][m] = low, q[m, 90] + 4 * (q[m, 90] - q[m, 50]) + step
+    return found, value
+
+
+def test_verdicts_match_brute_force(spark):
+    rng = random.Random(8)
+    marks = ["", "", "", "#", "*", "<|>"]
+    rows = []
+    for i in range(700):
+        lang, source = rng.choice(["en", "en", "en", "de", None]), rng.choice(["a", "a", "b", "c", None])
+        lines = [" ".join(w + rng.choice(marks if source == "b" else marks[:4]) for w in prose(rng, rng.randint(1, 30)).split()) for _ in range(rng.randint(1, 8))]
+        lines += rng.choices(lines, k=rng.choice([0, 0, 0, 1, 3]))
+        text = "\n".join(lines).upper() if rng.random() < 0.03 else "\n".join(lines)
+        rows.append((i, lang, source, rng.choice([text] * 30 + [None, "", " \n"])))
+    found = rules.apply_rules(spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string")).collect()
+    own = {i: dict(zip(rules.STATS, brute(t or ""), strict=True)) for i, _, _, t in rows}
+    groups = {}
+    for i, lang, source, _ in rows:
+        groups.setdefault((lang, source), []).append(own[i])
+    allowed, value = brute_limits(groups)
+    verdicts = Counter()
+    for r in found:
+        s = own[r.doc_id]
+        base = s["n_words"] < 50 or 100 * s["n_repeat_words"] > 50 * s["n_words"]
+        bounds = allowed.get((r.lang, r.source), {})
+        broken = [m for m, (low, high) in bounds.items() if not low <= value(s, m) <= high]
+        assert (r.base_failed, r.broken, r.kept) == (base, broken, not base and not broken)
+        verdicts[r.kept, bool(broken)] += 1
+    assert len(found) == 700 and verdicts[True, False] > 300 and sum(n for (kept, broken), n in verdicts.items() if broken) > 5
+
+
+def test_groups_whose_quartiles_are_all_zero_have_limits_of_their_own(spark):
+    """Longer texts make smaller steps, and a fatter tail reaches further."""
+    rng = random.Random(6)
+    text = lambda n, k: prose(rng, n) + " #" * k
+    rows = [(i, "en", "short", text(60, 0)) for i in range(900)] + [(1000 + i, "en", "long", text(600, 0)) for i in range(900)]
+    rows += [(2000 + i, "en", "tail", text(60, 6 if i % 8 == 0 else 0)) for i in range(900)]
+    stats = rules.measure(spark.createDataFrame(rows, "doc_id int, lang string, source string, text string"), "lang", "source")
+    high = {r.source: r.symbols_high for r in rules.limits(rules.sketch(stats, "lang", "source")).collect()}
+    assert 0 < high["long"] < high["short"] < high["tail"]
+
+
+def test_the_borrowed_sketches_fade(spark):
+    """A source full of symbols is judged like its language while it is small, and by itself when it is large."""
     rng = random.Random(2)
     marked = lambda: " ".join(w + "#" for w in prose(rng, 80).split())
-    rows = [(i, "en", "code", marked()) for i in range(60)] + [(100 + i, "en", "news", prose(rng, 80)) for i in range(60)]
-    rows += [(200, "en", "news", marked()), (201, "en", "news", prose(rng, 40)), (202, "en", "news", "a b c " * 30), (203, "xx", "tiny", prose(rng, 70))]
-    judged = {r.doc_id: r for r in rules.apply_rules(spark.createDataFrame(rows, "doc_id bigint, lang string, source string, text string")).collect()}
-    assert all(judged[i].kept for i in [*range(60), *range(100, 160), 203])
-    assert judged[200].broken == ["symbols"] and not judged[200].base_failed and not judged[200].kept
-    assert judged[201].base_failed and judged[202].base_failed and not judged[201].kept and not judged[202].kept
+    rows = [(i, "en", "news", prose(rng, 80)) for i in range(400)]
+    rows += [(1000 + i, "en", "few", marked()) for i in range(5)] + [(2000 + i, "en", "many", marked()) for i in range(400)]
+    rows += [(3000, "en", "news", marked()), (3001, "en", "news", prose(rng, 40)), (3002, "en", "news", "a b c " * 30), (3003, "xx", "tiny", prose(rng, 70))]
+    few = [r for r in rows if r[2] != "many"]
+    judge = lambda given: {r.doc_id: r for r in rules.apply_rules(spark.createDataFrame(given, "doc_id bigint, lang string, source string, text string")).collect()}
+    judged = judge(few)
+    assert not any(judged[i].kept for i in range(1000, 1005)) and all(judged[i].kept for i in [*range(400), 3003])
+    assert "symbols" in judged[3000].broken and not judged[3000].base_failed and not judged[3000].kept
+    assert judged[3001].base_failed and judged[3002].base_failed and not judged[3001].kept and not judged[3002].kept
+    judged = judge(rows)
+    assert all(judged[i].kept for i in range(2000, 2400))
 
 
 def test_odd_and_empty_tables(odd_docs, no_docs):
