@@ -1,4 +1,5 @@
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -233,6 +234,62 @@ def test_a_passage_is_found_each_time_a_text_has_it(times):
     assert sorted((p.start, p.end, p.other_start, p.other_end) for p in found) == want
 
 
+@pytest.mark.parametrize("holders", [0, 3, 5, 10, 50])
+@pytest.mark.parametrize("edits", [0.0, 0.1, 0.2])
+def test_fuzzy_passages_of_common_phrases_are_found(spark, holders, edits):
+    """Two documents share six phrases of 12 words in a row, a word of their own between them; each phrase is in others before and behind them.
+
+    `edits` is the share of the passage's words in which the two differ, those between the phrases included.
+    """
+    rng = random.Random(15)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    rows, cases = [], 20
+    for case in range(cases):
+        phrases = [filler(12) for _ in range(6)]
+        both = []
+        for side in (0, 1):
+            words = filler(25)
+            replaced = set(rng.sample(range(72), max(0, round(edits * 77) - 5))) if side else set()
+            for j, p in enumerate(phrases):
+                words += [f"e{rng.randrange(10**9)}" if 12 * j + i in replaced else w for i, w in enumerate(p)] + filler(1)
+            both.append(" ".join(words + filler(25)))
+        place = 10_000 * case
+        for k in range(holders):
+            for j, p in enumerate(phrases):
+                rows += [(place + 10 * k + j, " ".join(filler(30) + p + filler(30))), (place + 5000 + 10 * k + j, " ".join(filler(30) + p + filler(30)))]
+        rows += [(place + 4000, both[0]), (place + 4001, both[1])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    pairs = {tuple(r) for r in substring_dedup.candidate_pairs(docs).collect()}
+    assert len(pairs & {(10_000 * c + 4001, 10_000 * c + 4000) for c in range(cases)}) >= 0.9 * cases
+    if edits == 0:
+        found = {(r.doc_id, r.other_id) for r in substring_dedup.repeated_passages(docs).collect()}
+        assert len(found & {(10_000 * c + 4001, 10_000 * c + 4000) for c in range(cases)}) == cases
+
+
+def test_a_passage_of_very_many_documents_costs_its_size(spark):
+    """Each is paired with few others, and all but the first lose it."""
+    rng = random.Random(16)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    passage = filler(70)
+    docs = spark.createDataFrame([(i, " ".join(filler(40) + passage + filler(40))) for i in range(1500)], "doc_id bigint, text string").repartition(5)
+    assert substring_dedup.candidate_pairs(docs).count() < 5 * 1500
+    left = substring_dedup.cut_passages(docs, substring_dedup.repeated_passages(docs)).collect()
+    assert sum(" ".join(passage[5:65]) in r.text for r in left) == 1 and len(left) == 1500
+
+
+def test_very_long_repetitive_texts_end(spark):
+    rng = np.random.default_rng(17)
+    few = rng.integers(0, 11, (2, 50_000)).astype(np.uint64)
+    log = np.tile(rng.integers(0, 1000, 100), 500).astype(np.uint64)
+    shared = rng.integers(10**6, 10**9, 80).astype(np.uint64)
+    for a, b in ((few[0], few[1]), (np.concatenate([log, shared]), np.concatenate([shared, log])), (np.concatenate([few[0], shared]), np.concatenate([shared, few[1]]))):
+        began = time.time()
+        found = substring_dedup.passages(a, b)
+        assert time.time() - began < 60
+        if len(a) > 50_000:
+            assert any(p.start <= 50_000 and p.end == 50_080 and p.other_start == 0 for p in found)
+
+
 def test_passages_on_odd_and_empty_tables(odd_docs, no_docs):
     found = substring_dedup.repeated_passages(odd_docs)
     assert [(r.doc_id, r.start, r.end, r.other_id, r.other_start, r.other_end, r.edits) for r in found.collect()] == [(6, 0, 70, 5, 80, 150, 0)]
