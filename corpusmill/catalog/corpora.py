@@ -186,16 +186,20 @@ def _(spark, sf):
 
 @query("corrected_corpus")
 def _(spark, sf):
-    """The whole configured chain with spelling at its end, declared by name, over one source and its own frequencies."""
+    """The whole configured chain with spelling at its end, declared by name, over all sources with the frequencies of one."""
     folder = shared_folder(spark, "frequencies")
     turns = texts(spark, sf, "conversations").select(words_of(F.lower("text")).alias("ws"))
     counts = token_counts(turns, F.col("ws"))
-    counts.where("cnt > 1").select(F.concat_ws(" ", "word", F.col("cnt").cast("string"))).write.text(f"{folder}/words")
+    counts.select(F.concat_ws(" ", "word", F.col("cnt").cast("string"))).write.text(f"{folder}/words")
     beside = F.zip_with(F.slice("ws", 1, F.greatest(F.size("ws") - 1, F.lit(0))), F.slice("ws", 2, F.greatest(F.size("ws"), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    pairs = turns.select(F.explode(beside).alias("pair")).groupBy("pair").agg(F.count("*").alias("cnt")).where("cnt > 1")
+    pairs = turns.select(F.explode(beside).alias("pair")).groupBy("pair").agg(F.count("*").alias("cnt"))
     pairs.select(F.concat_ws(" ", "pair", F.col("cnt").cast("string"))).write.text(f"{folder}/pairs")
     return run_spec(spark, {
-        "sources": {"tweets": {"source": "conversation_tweets", "folder": sf}},
+        "sources": {
+            "posts": {"source": "document_posts", "dev_ratio": 0.3, "folder": sf},
+            "comments": {"source": "document_comments", "dev_ratio": 0.03, "folder": sf},
+            "tweets": {"source": "conversation_tweets", "folder": sf},
+        },
         "cleaners": [*FULL, ["spell_correct", {"dictionary": f"{folder}/words", "bigrams": f"{folder}/pairs"}]],
     })
 

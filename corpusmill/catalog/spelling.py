@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from corpusmill.catalog.common import Group, table, texts, words
+from corpusmill.catalog.common import Group, texts, words
 from corpusmill.functions.cleaners import words_of
 from corpusmill.operators import spelling as S
 from corpusmill.operators.words import token_counts
@@ -16,30 +16,31 @@ query = GROUP.query
 
 # The checking engine measures distances in bytes, so letters beyond ASCII are written as one hyphen each.
 PLAIN = r"regexp_replace(lower(text), '[^\x00-\x7F]', '-', 'g')"
-DICTIONARY = f"""(SELECT term, count(*)::BIGINT AS cnt FROM (SELECT unnest({words(PLAIN)}) AS term FROM conversations)
-    GROUP BY term HAVING count(*) >= 2)"""
-TOKENS = f"(SELECT DISTINCT unnest({words(PLAIN)}) AS token FROM benchmark)"
+DICTIONARY = f"""(SELECT term, count(*)::BIGINT AS cnt FROM (SELECT unnest({words(PLAIN)}) AS term FROM conversations) GROUP BY term)"""
+TOKENS = f"(SELECT unnest({words(PLAIN)}) AS token FROM documents UNION SELECT unnest({words(PLAIN)}) FROM conversations)"
 
 
 def plain(text):
     return F.regexp_replace(F.lower(text), r"[^\x00-\x7F]", "-")
 
 
-def dictionary(spark, sf, source="conversations", threshold=2, text=plain):
+def dictionary(spark, sf, source="conversations", threshold=1, text=plain):
     counts = token_counts(texts(spark, sf, source), words_of(text(F.col("text"))))
     return materialize(S.build_dictionary(counts, threshold), "dictionary")
 
 
 def tokens(spark, sf):
-    return table(spark, sf, "benchmark").select(F.explode(words_of(plain(F.col("text")))).alias("token")).distinct()
+    """The distinct words of the documents and the conversations."""
+    parts = [texts(spark, sf, name).select(F.explode(words_of(plain(F.col("text")))).alias("token")) for name in ("documents", "conversations")]
+    return parts[0].unionByName(parts[1]).distinct()
 
 
 def bigrams(spark, sf):
-    """Neighbouring words of the conversations that occur more than once."""
+    """Neighbouring words of the conversations."""
     listed = texts(spark, sf, "conversations").select(words_of(F.lower("text")).alias("ws"))
     shifted = F.zip_with(F.concat(F.array(F.lit(None).cast("string")), F.col("ws")), "ws", lambda a, b: F.struct(a.alias("left"), b.alias("right")))
     pairs = listed.select(F.explode(shifted).alias("p")).select("p.left", "p.right").dropna()
-    return materialize(pairs.groupBy("left", "right").agg(F.count("*").alias("cnt")).where("cnt > 1"), "bigrams")
+    return materialize(pairs.groupBy("left", "right").agg(F.count("*").alias("cnt")), "bigrams")
 
 
 @query("build_dictionary", f"""
@@ -60,11 +61,18 @@ def _(spark, sf):
 
 
 # The engine's distance allows edits between swapped letters. Where its plain distance is above 2, a pair
-# counts only if it has a swap with at most one more edit on either side of it.
+# counts only if it has a swap with at most one more edit on either side of it. Pairs come from common
+# variants: the first seven letters without up to two of them.
+VARIANTS = """(SELECT DISTINCT {w}, v FROM (
+    SELECT {w}, unnest(list_concat([p], list_transform(range(1, length(p) + 1), lambda i: substr(p, 1, i - 1) || substr(p, i + 1)),
+        flatten(list_transform(range(1, length(p) + 1), lambda i: list_transform(range(i, length(p)),
+            lambda j: substr(p, 1, i - 1) || substr(p, i + 1, j - i) || substr(p, j + 2)))))) AS v
+    FROM (SELECT {w}, substr({w}, 1, 7) AS p FROM {source})))"""
 CANDIDATES = f"""
     (SELECT token, term, cnt, least(d, 2)::INT AS distance FROM (
-        SELECT token, term, cnt, damerau_levenshtein(token, term) AS d FROM {TOKENS}, {DICTIONARY}
-        WHERE abs(length(token) - length(term)) <= 2)
+        SELECT token, term, cnt, damerau_levenshtein(token, term) AS d
+        FROM (SELECT DISTINCT token, term FROM {VARIANTS.format(w='token', source=TOKENS)} JOIN {VARIANTS.format(w='term', source=DICTIONARY)} USING (v)
+            WHERE abs(length(token) - length(term)) <= 2) JOIN {DICTIONARY} USING (term))
     WHERE d <= 2 AND (levenshtein(token, term) <= 2 OR len(list_filter(
         range(1, length(token)), lambda i: len(list_filter(range(i - 1, i + 2), lambda j: j >= 1
             AND substr(token, i, 1) = substr(term, j + 1, 1) AND substr(token, i + 1, 1) = substr(term, j, 1)
@@ -86,11 +94,11 @@ def _(spark, sf):
 
 @query("spell_compound")
 def _(spark, sf):
-    items = table(spark, sf, "benchmark").select("item_id", "text")
-    return S.spell_compound(items, "text", ["item_id"], dictionary(spark, sf, text=F.lower), bigrams(spark, sf)).select("item_id", "corrected")
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
+    return S.spell_compound(docs, "text", ["doc_id"], dictionary(spark, sf, text=F.lower), bigrams(spark, sf)).select("doc_id", "corrected")
 
 
 @query("spell_correct")
 def _(spark, sf):
-    items = table(spark, sf, "benchmark").select("item_id", "text")
-    return spell_correct(items, "text", dictionary(spark, sf, text=F.lower), bigrams(spark, sf))
+    docs = texts(spark, sf, "documents").select("doc_id", "text")
+    return spell_correct(docs, "text", dictionary(spark, sf, text=F.lower), bigrams(spark, sf))

@@ -6,12 +6,15 @@ looked up per text: the distinct words of the corpus are resolved once and joine
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.operators.edit_walk import Trie, walk
 from corpusmill.operators.hotkeys import lookup_join
 from corpusmill.session import materialize
 
@@ -82,35 +85,113 @@ def edit_distance(a: Column, b: Column, at_most: int) -> Column:
     return F.when(plain < 0, at_most + 1).otherwise(F.least(exact, F.lit(at_most + 1)))
 
 
+# Terms of a range of the dictionary, which one task holds as a trie; words that are walked at once; words of a block.
+RANGE_TERMS = 200_000
+WORDS_AT_ONCE = 2_000
+BLOCK_WORDS = 100_000
+LEAST_BLOCK_WORDS = 5_000
+
+
+def _ranges(dictionary: DataFrame, max_distance: int, range_terms: int) -> tuple[DataFrame, DataFrame]:
+    """(the dictionary as one row for each range with its terms and counts, the ranges that words of a length must see).
+
+    Terms go by length: short lengths share a range, one with more terms than a range holds is split by the start of the
+    term. A word sees all ranges with lengths within the distance of its own, so no pair is lost.
+    """
+    sized = dictionary.where("term IS NOT NULL").select("term", "cnt", F.length("term").alias("size"))
+    sizes = sized.groupBy("size").agg(F.count("*").alias("n"))
+    # One row for each length that occurs.
+    shorter = F.coalesce(F.sum("n").over(Window.orderBy("size").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sizes = materialize(sizes.select("size", F.floor(shorter / range_terms).alias("band"), F.ceil(F.col("n") / range_terms).alias("parts")), "sizes")
+    part = F.pmod(F.xxhash64(F.substring("term", 1, 3)), F.col("parts"))
+    dealt = sized.join(F.broadcast(sizes), "size").groupBy("band", part.alias("part"))
+    packed = dealt.agg(F.array_sort(F.collect_list(F.struct("term", "cnt"))).alias("terms"))
+    near = F.explode(F.sequence(F.greatest(F.col("size") - max_distance, F.lit(0)), F.col("size") + max_distance)).alias("size")
+    seen = sizes.select(near, "band", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"))
+    return packed, seen.distinct()
+
+
+def _walk_ranges(tokens: DataFrame, dictionary: DataFrame, max_distance: int, best: bool, range_terms: int) -> DataFrame:
+    """(token, term, cnt, distance): all terms within the distance, or with `best` the first of each range."""
+    spark = tokens.sparkSession
+    asked = materialize(tokens.select("token").where("token IS NOT NULL").distinct(), "asked")
+    packed, seen = _ranges(dictionary, max_distance, range_terms)
+    n = asked.count()
+    blocks = max(-(-n // BLOCK_WORDS), min(2 * spark.sparkContext.defaultParallelism, n // LEAST_BLOCK_WORDS), 1)
+    # Words with a common start share the top of the walk, so they share a block, but for starts of very many words.
+    start = F.substring("token", 1, 2)
+    starts = asked.groupBy(start.alias("start")).agg(F.ceil(F.count("*") * blocks / F.lit(max(n, 1))).alias("shares"))
+    placed = asked.join(starts, start == F.col("start")).withColumn(
+        "block", F.pmod(F.xxhash64("start", F.pmod(F.xxhash64("token"), F.col("shares"))), F.lit(blocks)).cast("int")
+    )
+    words = placed.join(F.broadcast(seen), F.length("token") == F.col("size")).select("block", "band", "part", "token", F.lit(None).cast(packed.schema["terms"].dataType).alias("terms"))
+    every = packed.select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "band", "part", F.lit(None).cast("string").alias("token"), "terms")
+    place = ["block", "band", "part"]
+    stream = every.unionByName(words).repartition(*place).sortWithinPartitions(*place, F.col("token").asc_nulls_first())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, terms, counts = None, None, None
+        waiting: list[str] = []
+
+        def found() -> Iterator[pa.RecordBatch]:
+            tokens = pa.array(waiting, pa.string())
+            parts = [x for x in walk(waiting, trie, max_distance) if len(x[0])]
+            word, term, distance = (np.concatenate(x) for x in zip(*parts)) if parts else [np.zeros(0, np.int64)] * 3
+            if best:
+                # Terms are in order, so their numbers settle what distance and count leave open.
+                order = np.lexsort((term, -counts[term], distance, word))
+                first = np.ones(len(order), bool)
+                first[1:] = word[order][1:] != word[order][:-1]
+                word, term, distance = (x[order][first] for x in (word, term, distance))
+            for low in range(0, len(word), 1 << 16):
+                w, t, d = (x[low:low + (1 << 16)] for x in (word, term, distance))
+                yield pa.RecordBatch.from_arrays([tokens.take(pa.array(w)), terms.take(pa.array(t)), pa.array(counts[t]), pa.array(d.astype(np.int32))], names=["token", "term", "cnt", "distance"])
+            waiting.clear()
+
+        for batch in batches:
+            packed, asked = batch.column(4), batch.column(3).to_pylist()
+            for at, token in enumerate(asked):
+                if token is None:
+                    if waiting:
+                        yield from found()
+                    held = packed[at].values
+                    terms, counts = held.field("term"), held.field("cnt").to_numpy(zero_copy_only=False)
+                    trie = Trie(terms.to_pylist())
+                    continue
+                waiting.append(token)
+                if len(waiting) == WORDS_AT_ONCE:
+                    yield from found()
+        if waiting:
+            yield from found()
+
+    return stream.mapInArrow(run, "token string, term string, cnt bigint, distance int")
+
+
 def spell_candidates(
-    tokens: DataFrame, dictionary: DataFrame, max_distance: int = MAX_DISTANCE, prefix_length: int = PREFIX_LENGTH
+    tokens: DataFrame, dictionary: DataFrame, max_distance: int = MAX_DISTANCE, prefix_length: int = PREFIX_LENGTH, range_terms: int = RANGE_TERMS
 ) -> DataFrame:
-    """(token, term, cnt, distance): all terms within the distance of each distinct token."""
-    # The length of the term is part of the key, so that only pairs of fitting lengths are formed. A key that
-    # many words share nevertheless is split by adaptive execution, as the join needs none of it together.
-    size = F.length("token")
-    lengths = F.sequence(F.greatest(size - max_distance, F.lit(0)), size + max_distance)
-    asked = tokens.select("token", F.explode(delete_variants(F.col("token"), max_distance, prefix_length)).alias("variant"))
-    asked = asked.withColumn("size", F.explode(lengths))
-    index = delete_index(dictionary, max_distance, prefix_length).withColumn("size", F.length("term"))
-    near = F.levenshtein(F.col("token"), F.col("term"), 2 * max_distance) >= 0
-    pairs = asked.join(index, ["variant", "size"]).where(near).select("token", "term", "cnt").distinct()
-    measured = pairs.withColumn("distance", edit_distance(F.col("token"), F.col("term"), max_distance))
-    return measured.where(F.col("distance") <= max_distance)
+    """(token, term, cnt, distance): all terms within the distance of each distinct token.
+
+    The dictionary is dealt into ranges and the tokens into blocks; each block walks the ranges that can hold a term for
+    one of its words (see `edit_walk`). No word is spelled out into variants, so none of them is shared by
+    very many words. `prefix_length` sizes the index of variants only. Null tokens and terms have no candidates.
+    """
+    return _walk_ranges(tokens, dictionary, max_distance, False, range_terms)
 
 
 def spell_best(
-    tokens: DataFrame, dictionary: DataFrame, max_distance: int = MAX_DISTANCE, prefix_length: int = PREFIX_LENGTH
+    tokens: DataFrame, dictionary: DataFrame, max_distance: int = MAX_DISTANCE, prefix_length: int = PREFIX_LENGTH, range_terms: int = RANGE_TERMS
 ) -> DataFrame:
     """(token, term, cnt, distance): the nearest term, then the most frequent, then the first by name.
 
     A token that is a term itself needs no candidates.
     """
+    tokens = tokens.select("token")
     exact = tokens.join(dictionary, tokens["token"] == dictionary["term"]).select("token", "term", "cnt", F.lit(0).alias("distance"))
     left = tokens.join(dictionary, tokens["token"] == dictionary["term"], "left_anti")
     order = F.struct("distance", -F.col("cnt"), "term")
     best = (
-        spell_candidates(left, dictionary, max_distance, prefix_length)
+        _walk_ranges(left, dictionary, max_distance, True, range_terms)
         .groupBy("token").agg(F.min_by(F.struct("term", "cnt", "distance"), order).alias("b")).select("token", "b.*")
     )
     return exact.unionByName(best)

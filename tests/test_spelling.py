@@ -2,9 +2,12 @@ import random
 import sys
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusmill.operators import spelling as S
+from corpusmill.operators.edit_walk import Trie, walk
 
 N = S.CORPUS_WORDS
 
@@ -113,6 +116,35 @@ def test_candidates_and_best_equal_brute_force(spark):
     assert best == {w: b for w, b in brute.items() if b}
 
 
+def test_ranges_and_blocks_lose_no_pair(spark, monkeypatch):
+    """Small ranges and blocks, a length with more terms than a range, words beyond all lengths, and nulls."""
+    monkeypatch.setattr(S, "LEAST_BLOCK_WORDS", 40)
+    monkeypatch.setattr(S, "BLOCK_WORDS", 60)
+    monkeypatch.setattr(S, "WORDS_AT_ONCE", 17)
+    rng = random.Random(9)
+    made = sorted({"".join(rng.choice("abé") for _ in range(rng.choice([1, 2, 3, 4, 4, 4, 4, 6]))) for _ in range(400)} | {"a" * 30, "b" * 3000, ""})
+    terms = {w: rng.randint(1, 4) for w in made[::2] + ["a" * 29, "b" * 2999 + "a"]}
+    tokens = spark.createDataFrame([(w, 1) for w in [*made, *made[:9], None]], "token string, cnt int")
+    dictionary = spark.createDataFrame([*terms.items(), (None, 3)], "term string, cnt bigint")
+    wanted = {(w, t, S.alignment_distance(w, t)) for w in made for t in terms if abs(len(w) - len(t)) <= 2 and (len(w) < 100 or len(t) > 100)}
+    wanted = {x for x in wanted if x[2] <= 2}
+    for range_terms in (5, 30, 10_000):
+        rows = S.spell_candidates(tokens, dictionary, range_terms=range_terms).collect()
+        assert len(rows) == len(wanted) and {(r.token, r.term, r.distance) for r in rows} == wanted
+        best = {r.token: (r.distance, -r.cnt, r.term) for r in S.spell_best(tokens.distinct(), dictionary, range_terms=range_terms).collect()}
+        assert best == {w: min((d, -terms[t], t) for x, t, d in wanted if x == w) for w in {x[0] for x in wanted}}
+    assert S.spell_candidates(tokens.limit(0), dictionary).collect() == S.spell_candidates(tokens, dictionary.limit(0)).collect() == []
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.sets(st.text("abé\U0001f600", max_size=6), max_size=20), st.sets(st.text("abé\U0001f600", max_size=6), max_size=20), st.integers(0, 3))
+def test_the_walk_finds_all_pairs_within_the_distance(words, terms, most):
+    words, terms = sorted(words), sorted(terms)
+    found = [(words[w], terms[t], d) for x in walk(words, Trie(terms), most) for w, t, d in zip(*(c.tolist() for c in x))]
+    wanted = [(w, t, S.alignment_distance(w, t)) for w in words for t in terms]
+    assert sorted(found) == sorted(x for x in wanted if x[2] <= most)
+
+
 def test_compound_equals_brute_force(spark, tables):
     rng = random.Random(5)
     fixed = [
