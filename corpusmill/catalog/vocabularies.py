@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusmill.catalog.common import Group, listed, numbers, texts
 from corpusmill.catalog.tables import WHITESPACE, WORD_COUNTS, document_words
 from corpusmill.functions.pretokenizers import pretok_whitespace
-from corpusmill.operators.encode import encode, encode_by_join
+from corpusmill.operators.encode import encode, encode_by_join, encode_with_dropout
 from corpusmill.operators.postprocess import pad_batch, post_bert, post_roberta, special_tokens
 from corpusmill.operators.unigram import train_unigram
 from corpusmill.operators.vocab import Vocabulary, pair_counts, train_bpe, train_word_level, train_wordpiece
@@ -107,8 +107,7 @@ def _(spark, sf):
         LEFT JOIN {WORD_LEVEL} v ON v.token = t.word GROUP BY ALL) USING (doc_id)
 """)
 def _(spark, sf):
-    docs = texts(spark, sf, "documents").select("doc_id", pretok_whitespace(F.col("text")).alias("tokens"))
-    return encode(docs, "tokens", word_level(spark, sf)).select("doc_id", numbers(F.col("ids")).alias("ids"))
+    return encode(document_tokens(spark, sf), "tokens", word_level(spark, sf)).select("doc_id", numbers(F.col("ids")).alias("ids"))
 
 
 @query("encode_word_level_by_join", f"SELECT conv_id, turn, array_to_string(ids, ' ') AS ids FROM {IDS}")
@@ -117,11 +116,15 @@ def _(spark, sf):
     return joined.select("conv_id", "turn", numbers(F.col("ids")).alias("ids"))
 
 
+def document_tokens(spark, sf):
+    return texts(spark, sf, "documents").select("doc_id", pretok_whitespace(F.col("text")).alias("tokens"))
+
+
 def _encoding(name, train):
     @query(name)
     def run(spark, sf):
-        out = encode(turns(spark, sf), "tokens", train(document_words(spark, sf)))
-        return out.select("conv_id", "turn", numbers(F.col("ids")).alias("ids"))
+        out = encode(document_tokens(spark, sf), "tokens", train(document_words(spark, sf)))
+        return out.select("doc_id", numbers(F.col("ids")).alias("ids"))
 
 
 _encoding("encode_bpe", lambda counts: train_bpe(counts, vocab_size=600))
@@ -129,6 +132,12 @@ _encoding("encode_wordpiece", lambda counts: train_wordpiece(counts, vocab_size=
 _encoding("encode_unigram", lambda counts: train_unigram(counts, vocab_size=600, seed_size=2000))
 
 
+@query("encode_bpe_dropout")
+def _(spark, sf):
+    v = train_bpe(document_words(spark, sf), vocab_size=600)
+    return encode_with_dropout(document_tokens(spark, sf), "tokens", v, ["doc_id"], 0.1).select("doc_id", numbers(F.col("ids")).alias("ids"))
+
+
 @query("train_tokenizer")
 def _(spark, sf):
     spec = TokenizerSpec("bpe", {"vocab_size": 500}, post_processor="bert")

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.operators.hotkeys import lookup_join
-from corpusmill.operators.segment import SEGMENTERS
+from corpusmill.operators.segment import SEGMENTERS, byte_pairs, draws_of, reader
 from corpusmill.operators.vocab import Vocabulary
 from corpusmill.session import materialize
 
@@ -74,6 +74,37 @@ def encode(df: DataFrame, tokens: str, v: Vocabulary, **options) -> DataFrame:
     return df.withColumn("ids", _encode_in_tasks(df, v.kind, found, constants)(F.col(tokens)))
 
 
+def encode_with_dropout(df: DataFrame, tokens: str, v: Vocabulary, key: list[str], dropout: float, seed: int = 0, **options) -> DataFrame:
+    """`encode` for byte pairs where each merge that is next is passed over with probability `dropout` until another was made.
+
+    Draws are hashes of the seed, the columns `key` and the place of a word, so partitions, retries and reruns change
+    nothing, and rows with one key and equal words are cut up alike. With 0 it is `encode`, with 1 there are no merges.
+    """
+    if v.kind != "bpe":
+        raise ValueError("only byte pairs have merges to pass over")
+    if not 0.0 <= dropout <= 1.0:
+        raise ValueError("dropout is a probability")
+    constants = _constants(v, options)
+    found = _entries(v).limit(BROADCAST_ROWS + 1).collect()
+    if len(found) > BROADCAST_ROWS:
+        raise ValueError(f"a vocabulary of more than {BROADCAST_ROWS} rows is not sent to every task")
+    shared = df.sparkSession.sparkContext.broadcast(_lookups(found))
+
+    @F.arrow_udf("array<int>")
+    def ids_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        pieces, ranks = shared.value
+        for names, rows in batches:
+            out = []
+            for name, words in zip(names.to_pylist(), rows.to_pylist(), strict=True):
+                out.append(None if words is None else [
+                    i for place, word in enumerate(words)
+                    for i in byte_pairs(word, pieces, ranks, **constants, dropout=dropout, draws=draws_of(seed, name, place))
+                ])
+            yield pa.array(out, pa.list_(pa.int32()))
+
+    return df.withColumn("ids", ids_of(F.to_json(F.struct(*key)), F.col(tokens)))
+
+
 def encode_by_join(df: DataFrame, tokens: str, v: Vocabulary, key: list[str], **options) -> DataFrame:
     """The same for a vocabulary of any size: the distinct words are cut up once by joins with it and joined back.
 
@@ -84,15 +115,14 @@ def encode_by_join(df: DataFrame, tokens: str, v: Vocabulary, key: list[str], **
 
 def _encode_in_tasks(df: DataFrame, kind: str, entries: list, constants: dict):
     shared = df.sparkSession.sparkContext.broadcast(_lookups(entries))
-    segment = SEGMENTERS[kind]
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        pieces, ranks = shared.value
+        segment = reader(kind, *shared.value, **constants)
         for rows in batches:
             flat = rows.flatten().dictionary_encode()
             # Each distinct word of a batch is cut up once; the rest is index arithmetic.
-            cut = [segment(w, pieces, ranks, **constants) for w in flat.dictionary.to_pylist()]
+            cut = [segment(w) for w in flat.dictionary.to_pylist()]
             sizes = np.array([len(c) for c in cut], dtype=np.int64)
             values = np.fromiter((i for c in cut for i in c), dtype=np.int32, count=int(sizes.sum()))
             of = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)

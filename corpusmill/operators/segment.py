@@ -6,7 +6,9 @@ of ids, with `unk_id` for what the vocabulary cannot express (nothing if `unk_id
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Callable, Iterator
+from hashlib import blake2b
 from heapq import heapify, heappop, heappush
 from math import inf
 from typing import Any
@@ -25,9 +27,9 @@ def whole_word(word: str, pieces: Pieces, ranks: Ranks, unk_id: int | None, **_:
 
 def byte_pairs(
     word: str, pieces: Pieces, ranks: Ranks, unk_id: int | None, fuse_unk: bool = False,
-    continuing_subword_prefix: str = "", end_of_word_suffix: str = "", **_: Any,
+    continuing_subword_prefix: str = "", end_of_word_suffix: str = "", dropout: float = 0.0, draws: Iterator[float] | None = None, **_: Any,
 ) -> list[int]:
-    """Apply the merges by rank, leftmost first."""
+    """Apply the merges by rank, leftmost first. With `draws` the next merge is passed over with probability `dropout`."""
     prefix = continuing_subword_prefix
     symbols: list[str | None] = []
     for i, c in enumerate(word):
@@ -41,8 +43,16 @@ def byte_pairs(
     queue = [(ranks[p], i, *p) for i, p in enumerate(zip(symbols, symbols[1:])) if p in ranks]
     heapify(queue)
     gone = [False] * len(symbols)
+    passed: list[tuple] = []
     while queue:
+        if draws is not None and next(draws) < dropout:
+            passed.append(heappop(queue))
+            continue
         _rank, i, left, right = heappop(queue)
+        # What was passed over has another chance after each merge that is looked at.
+        for merge in passed:
+            heappush(queue, merge)
+        passed.clear()
         j = after[i]
         if gone[i] or j < 0 or symbols[i] != left or symbols[j] != right:
             continue
@@ -56,6 +66,16 @@ def byte_pairs(
     return [unk_id if s is None else pieces[s][0] for s, g in zip(symbols, gone) if not g]
 
 
+def draws_of(seed: int, key: str, place: int) -> Iterator[float]:
+    """Numbers from 0 to 1 that depend on nothing but a seed, the key of a row and the place of a word in it."""
+    turn = 0
+    while True:
+        block = blake2b(f"{seed}:{place}:{turn}:{key}".encode(), digest_size=64).digest()
+        for at in range(0, 64, 8):
+            yield int.from_bytes(block[at:at + 8], "big") / 2.0**64
+        turn += 1
+
+
 def word_pieces(
     word: str, pieces: Pieces, ranks: Ranks, unk_id: int | None, longest: int = 0,
     continuing_subword_prefix: str = "##", max_input_chars_per_word: int = 100, **_: Any,
@@ -115,9 +135,176 @@ def most_probable(
     return ids
 
 
+class Matcher:
+    """All pieces that end at each character of a word, longest first, in one pass.
+
+    A state is the longest end of what was read that begins a piece; its failure link leads to the next shorter one, its
+    output link to the next shorter one that is a piece.
+    """
+
+    def __init__(self, pieces: Pieces) -> None:
+        self.next: list[dict[str, int]] = [{}]
+        self.piece: list[tuple[int, int, float] | None] = [None]
+        for text, (number, score) in pieces.items():
+            at = 0
+            for c in text:
+                if c not in self.next[at]:
+                    self.next[at][c] = len(self.next)
+                    self.next.append({})
+                    self.piece.append(None)
+                at = self.next[at][c]
+            if text:
+                self.piece[at] = (len(text), number, score)
+        self.fail, self.output = [0] * len(self.next), [0] * len(self.next)
+        waiting = deque(self.next[0].values())
+        while waiting:
+            at = waiting.popleft()
+            for c, child in self.next[at].items():
+                back = self.fail[at]
+                while back and c not in self.next[back]:
+                    back = self.fail[back]
+                self.fail[child] = self.next[back].get(c, 0)
+                waiting.append(child)
+            shorter = self.fail[at]
+            self.output[at] = shorter if self.piece[shorter] else self.output[shorter]
+
+    def best_path(self, word: str, unk_score: float) -> list[tuple[int, int, int | None]]:
+        """The most probable cut of a word as (start, end, number of the piece or null)."""
+        best: list[tuple[float, int, int | None]] = [(0.0, 0, None)]
+        at = 0
+        for end, c in enumerate(word, 1):
+            while at and c not in self.next[at]:
+                at = self.fail[at]
+            at = self.next[at].get(c, 0)
+            found, single = (-inf, -1, None), False
+            state = at if self.piece[at] else self.output[at]
+            while state:
+                size, number, score = self.piece[state]
+                single = size == 1
+                if best[end - size][0] + score > found[0]:
+                    found = (best[end - size][0] + score, end - size, number)
+                state = self.output[state]
+            if not single and best[end - 1][0] + unk_score > found[0]:
+                found = (best[end - 1][0] + unk_score, end - 1, None)
+            best.append(found)
+        cuts, end = [], len(word)
+        while end > 0:
+            _, start, number = best[end]
+            cuts.append((start, end, number))
+            end = start
+        return cuts[::-1]
+
+
+def unigram_reader(pieces: Pieces, ranks: Ranks, unk_id: int | None, lowest: float = 0.0, **_: Any) -> Callable[[str], list[int]]:
+    """`most_probable` for many words."""
+    matcher = Matcher(pieces)
+
+    def read(word: str) -> list[int]:
+        ids: list[int] = []
+        unknown_before = False
+        for _start, _end, number in matcher.best_path(word, lowest - UNK_PENALTY):
+            if number is not None:
+                ids.append(number)
+            elif unk_id is not None and not unknown_before:
+                ids.append(unk_id)
+            unknown_before = number is None
+        return ids
+
+    return read
+
+
+class LongestMatch:
+    """Longest match again and again, in one pass over a word.
+
+    A trie holds the pieces for the start of a word, another those that continue one. Where a state cannot go on, its failure
+    link names the pieces that are then certain, and the state that the characters behind them lead to.
+    """
+
+    START, GO_ON = 0, 1
+
+    def __init__(self, pieces: Pieces, prefix: str) -> None:
+        self.next: list[dict[str, int]] = [{}, {}]
+        piece: dict[int, int] = {}
+        for text, (number, _) in pieces.items():
+            for root, part in ((self.START, text), (self.GO_ON, text[len(prefix):] if text.startswith(prefix) else "")):
+                at = root
+                for c in part:
+                    if c not in self.next[at]:
+                        self.next[at][c] = len(self.next)
+                        self.next.append({})
+                    at = self.next[at][c]
+                if part:
+                    piece[at] = number
+        self.fail: list[int | None] = [None] * len(self.next)
+        # The pieces of a failure as a linked list from the last to the first.
+        self.certain: list[tuple | None] = [None] * len(self.next)
+        waiting = deque([self.START, self.GO_ON])
+        while waiting:
+            at = waiting.popleft()
+            for c, child in self.next[at].items():
+                waiting.append(child)
+                if child in piece:
+                    self.fail[child], self.certain[child] = self.GO_ON, (None, [piece[child]])
+                    continue
+                back, certain = self.fail[at], self.certain[at]
+                while back is not None and c not in self.next[back]:
+                    certain, back = (certain, self._list(self.certain[back])), self.fail[back]
+                if back is not None:
+                    self.fail[child], self.certain[child] = self.next[back][c], certain
+
+    @staticmethod
+    def _list(certain: tuple | None) -> list[int]:
+        parts = []
+        while certain is not None:
+            certain, own = certain
+            parts.append(own)
+        return [n for own in reversed(parts) for n in own]
+
+    def read(self, word: str) -> list[int] | None:
+        """The numbers of the pieces, null if the match gets stuck."""
+        at, ids = self.START, []
+        for c in word:
+            while c not in self.next[at]:
+                back = self.fail[at]
+                if back is None:
+                    return None
+                ids += self._list(self.certain[at])
+                at = back
+            at = self.next[at][c]
+        while word and at != self.GO_ON:
+            back = self.fail[at]
+            if back is None:
+                return None
+            ids += self._list(self.certain[at])
+            at = back
+        return ids
+
+
+def wordpiece_reader(
+    pieces: Pieces, ranks: Ranks, unk_id: int | None, continuing_subword_prefix: str = "##", max_input_chars_per_word: int = 100, **_: Any
+) -> Callable[[str], list[int]]:
+    """`word_pieces` for many words."""
+    matcher, unknown = LongestMatch(pieces, continuing_subword_prefix), [] if unk_id is None else [unk_id]
+
+    def read(word: str) -> list[int]:
+        ids = None if len(word) > max_input_chars_per_word else matcher.read(word)
+        return unknown if ids is None else ids
+
+    return read
+
+
 SEGMENTERS: dict[str, Callable[..., list[int]]] = {
     "word_level": whole_word,
     "bpe": byte_pairs,
     "wordpiece": word_pieces,
     "unigram": most_probable,
 }
+
+# For tasks that cut up many words with one vocabulary: what is worked out of it once, as a function of a word.
+READERS: dict[str, Callable[..., Callable[[str], list[int]]]] = {"unigram": unigram_reader, "wordpiece": wordpiece_reader}
+
+
+def reader(kind: str, pieces: Pieces, ranks: Ranks, **constants: Any) -> Callable[[str], list[int]]:
+    if kind in READERS:
+        return READERS[kind](pieces, ranks, **constants)
+    return lambda word: SEGMENTERS[kind](word, pieces, ranks, **constants)

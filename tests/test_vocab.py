@@ -1,9 +1,13 @@
 import random
+import time
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from corpusmill.functions.pretokenizers import pretok_whitespace
+from corpusmill.operators import segment
 from corpusmill.operators import vocab as V
 from corpusmill.operators.words import SPECIAL_TOKENS, token_counts
 
@@ -165,3 +169,60 @@ def test_unigram_learning(spark):
         special_tokens=SPECIAL_TOKENS, vocab_size=300, unk_token="[UNK]", show_progress=False))
     theirs = set(t.get_vocab())
     assert len(theirs & set(tokens)) > 0.6 * len(theirs), len(theirs & set(tokens))
+
+
+WORDS = st.text("ab#é\U0001f600", max_size=12)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.text("ab#é", min_size=1, max_size=5), max_size=25), st.lists(WORDS, max_size=8), st.sampled_from(["##", "a", ""]))
+def test_one_pass_is_the_longest_match_again_and_again(texts, words, prefix):
+    pieces = {t: (i, None) for i, t in enumerate(sorted(texts))}
+    read = segment.reader("wordpiece", pieces, {}, unk_id=99, continuing_subword_prefix=prefix, max_input_chars_per_word=10)
+    for w in words:
+        assert read(w) == segment.word_pieces(w, pieces, {}, 99, longest=5, continuing_subword_prefix=prefix, max_input_chars_per_word=10)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.dictionaries(st.text("ab#é", min_size=1, max_size=5), st.sampled_from([-1.0, -2.5, -3.0, -4.0, -7.5]), max_size=25), st.lists(WORDS, max_size=8), st.sampled_from([None, 99]))
+def test_one_pass_finds_the_most_probable_cut(scores, words, unk_id):
+    pieces = {t: (i, s) for i, (t, s) in enumerate(sorted(scores.items()))}
+    lowest = min(scores.values(), default=0.0)
+    read = segment.reader("unigram", pieces, {}, unk_id=unk_id, lowest=lowest)
+    for w in words:
+        assert read(w) == segment.most_probable(w, pieces, {}, unk_id, longest=5, lowest=lowest)
+
+
+def test_long_words_are_read_in_linear_time():
+    pieces = {t: (i, -1.0) for i, t in enumerate(["a", "##a", "##" + "a" * 400 + "b", "a" * 300])}
+    read = segment.reader("wordpiece", pieces, {}, unk_id=None, max_input_chars_per_word=10**6)
+    began = time.time()
+    assert len(read("a" * 100_000)) == 1 + 100_000 - 300
+    plain = {f"{'a' * n}": (n, -float(n)) for n in (1, 2, 300)}
+    assert segment.reader("unigram", plain, {}, unk_id=None)("a" * 100_000)
+    assert time.time() - began < 20
+
+
+def test_dropout(spark):
+    """0 is the plain encoding, 1 leaves single characters, between them fewer merges the higher it is; reruns and partitions agree."""
+    from corpusmill.operators.encode import encode, encode_with_dropout
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(40).select("doc_id", pretok_whitespace(F.col("text")).alias("tokens"))
+    odd = spark.createDataFrame([(-1, []), (-2, None), (None, ["the", "☃"])], docs.schema)
+    docs = docs.unionByName(odd)
+    v = V.train_bpe(token_counts(docs, F.col("tokens")), vocab_size=300)
+    ids = lambda df: {r.doc_id: r.ids for r in df.select("doc_id", "ids").collect()}
+    plain = ids(encode(docs, "tokens", v))
+    found = {p: ids(encode_with_dropout(docs, "tokens", v, ["doc_id"], p)) for p in (0.0, 0.1, 0.5, 1.0)}
+    assert found[0.0] == plain and plain[-2] is None
+    assert found[0.1] == ids(encode_with_dropout(docs.repartition(7, "tokens"), "tokens", v, ["doc_id"], 0.1)) != ids(encode_with_dropout(docs, "tokens", v, ["doc_id"], 0.1, seed=1))
+    size = {p: sum(len(i or []) for i in x.values()) for p, x in found.items()}
+    characters = docs.select(F.sum(F.length(F.array_join("tokens", "")))).first()[0]
+    assert size[0.0] < size[0.1] < size[0.5] < size[1.0] == characters
+    with pytest.raises(ValueError):
+        encode_with_dropout(docs, "tokens", v, ["doc_id"], 1.5)
+
+
+def test_draws_pass_over_the_right_share():
+    numbers = [x for key in range(50) for _, x in zip(range(200), segment.draws_of(3, str(key), key))]
+    assert abs(sum(x < 0.1 for x in numbers) / len(numbers) - 0.1) < 0.01 and len(set(numbers)) == len(numbers)
