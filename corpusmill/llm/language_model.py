@@ -150,7 +150,7 @@ class GramTally:
         self.parts, self.size = [], 0
 
 
-def count_grams(texts: DataFrame, order: int, least: float) -> DataFrame:
+def count_grams(texts: DataFrame, order: int, least: int) -> DataFrame:
     """(length, gram, before, suffix, n) of the n-grams of 2 to `order` words that occur at least `least` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,19 +187,16 @@ class Model:
         return self.tokens + SMOOTHING * (self.distinct + 1)
 
 
-def train(texts: DataFrame, order: int = ORDER, word_share: float = 0.0, gram_share: float = 0.0, least: int = LEAST) -> Model:
-    """The model learned from the rows (text).
-
-    With shares above 0, n-grams must also make up gram_share, and their words word_share, of all tokens.
-    """
+def train(texts: DataFrame, order: int = ORDER, least: int = LEAST) -> Model:
+    """The model learned from the rows (text)."""
     words = materialize(count(texts, token_hashes), "words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), F.coalesce(F.max(F.when(F.col("gram") == int(END), F.col("n"))), F.lit(0)).alias("texts")).first()
     model = Model(total.tokens, total.distinct, words)
-    grams = materialize(count_grams(texts, order, max(least, total.tokens * gram_share)), "grams")
+    grams = materialize(count_grams(texts, order, least), "grams")
     start = words.sparkSession.range(1).select(F.lit(int(START)).alias("gram"), F.lit(total.texts).cast("bigint").alias("n"))
     shorter = words.withColumn("p", (F.col("n") + SMOOTHING) / F.lit(model.denominator))
     nodes = shorter.select("gram", F.log10("p").alias("log_prob"))
-    common = shorter.where(F.col("n") >= total.tokens * word_share)
+    common = shorter
     contexts, tables = common.select("gram", "n").unionByName(start), []
     for length in range(2, order + 1):
         arcs = materialize(
@@ -318,17 +315,17 @@ def _read_texts(rows: DataFrame, model: Model, order: int) -> DataFrame:
 
 
 def score_texts(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", *, order: int = ORDER, word_share: float = 0.0, gram_share: float = 0.0, least: int = LEAST, remainder: int = 1
+    docs: DataFrame, key: str = "doc_id", text: str = "text", *, order: int = ORDER, least: int = LEAST, remainder: int = 1
 ) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row of `docs`.
 
     The model learns from the rows outside the fold `remainder`. A-Z are lower-cased; the end of a text is a
     token. base_score takes each token by itself, score in its context. Null and empty texts are their end
-    alone; rows without id are learned from; repeated rows count and are scored each; an empty table gives no
-    rows; other columns are not read.
+    alone; rows without id are learned from; repeated rows count and are scored each; texts of any length are read whole, each
+    in one part; an empty table gives no rows; other columns are not read.
     """
     rows = docs.select(F.col(key).alias("doc_id"), held_out(key, remainder).alias("held_out"), F.col(text).alias("text"))
-    model = train(rows.where("NOT held_out"), order, word_share, gram_share, least)
+    model = train(rows.where("NOT held_out"), order, least)
     return _read_texts(rows, model, order).select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("bigint").alias("train_tokens"), "base_score", "score"
     )

@@ -70,7 +70,7 @@ def gram_counts(train):
 
 def test_scores_match_the_definition(spark):
     rows = list(enumerate([*texts(150, 1), "", None, "unseen words", "OF THE of The"]))
-    got = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(rows, "doc_id bigint, text string"), word_share=0.002, gram_share=0.004).collect()}
+    got = {r.doc_id: r for r in lm.score_texts(spark.createDataFrame(rows, "doc_id bigint, text string"), least=4).collect()}
     fold = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
     train = [t for i, t in rows if not fold[i]]
     found, total, denominator = counts_of(train)
@@ -80,7 +80,7 @@ def test_scores_match_the_definition(spark):
         tokens = tokens_of(text)
         assert (got[i].held_out, got[i].n_tokens, got[i].n_known, got[i].train_tokens) == (fold[i], len(tokens), sum(found[t] > 0 for t in tokens), total)
         assert got[i].base_score == pytest.approx(sum(math.log10((found[t] + 0.5) / denominator) for t in tokens), rel=1e-9)
-        score, p, _ = backoff(grams, (total * 0.004, total * 0.002), text)
+        score, p, _ = backoff(grams, (4, 0), text)
         assert got[i].score == pytest.approx(score, rel=1e-9)
         better += fold[i] and got[i].score > got[i].base_score
     assert better > 0.8 * sum(fold.values())
