@@ -1,14 +1,20 @@
 """Scores of texts under an n-gram model kept as a weighted automaton with failure arcs.
 
 Words are counted over all training texts. An n-gram is in the model if it occurs LEAST times, whatever the size of
-the corpus; the model's n-grams, their probabilities and back-off weights are written tables that grow with it.
+the corpus; the model's n-grams, their counts and back-off weights are written tables that grow with it.
 Probabilities are discounted counts; what the discount frees goes to the shorter context.
 
 In the automaton a state is a context, an arc a word with its log-probability, and the failure arc of a state
 leads to the next shorter context at the cost of its back-off weight. No task holds the whole automaton: texts
-are dealt to parts, a join of the distinct n-grams of each part with the tables gives the arcs and back-off
-weights that its texts can take, and each text is read along these from left to right, all positions of a part
-at once. Every word has its smoothed share of the tokens, by exact counts.
+are dealt to parts, each part asks for its distinct n-grams and gets the states and arcs that its texts can take, and
+each text is read along these from left to right, all positions of a part at once. The log-probability of an arc
+follows from the counts of its n-gram and of the state it leaves, both of which the part has. Every word has its
+smoothed share of the tokens, by exact counts.
+
+N-grams travel as sorted arrays of numbers, one for each bucket of their hashes; the number of buckets grows with
+the tokens, so that a bucket is about as large in every corpus. Orders are counted one by one in passes over
+ranges of the hash, and parts are scored in slices. The shuffle files of a pass or slice go as it ends, so the
+disk in use is bounded by a share of the corpus. Neither number changes a result.
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.linear import held_out
 from corpusmill.llm.words import Words, find_words, mix, slices, string_column
-from corpusmill.session import materialize
+from corpusmill.session import discard, materialize
 
 ORDER = 3
 # An n-gram of two and more words that occurs so often is in the model, at every size of the corpus.
@@ -35,7 +41,12 @@ SMOOTHING = 0.5
 END = np.uint64(0xE4D0F7E87)
 START = np.uint64(0x51A27C0FFEE)  # the context before the first word; it is never predicted
 # Texts are read in parts of about this many bytes; a longer text is a part of its own.
-PART_BYTES = 1 << 19
+PART_BYTES = 1 << 21
+# Training tokens for each bucket of n-grams.
+BUCKET_TOKENS = 1 << 20
+# The most passes over the n-grams of one order and slices of the parts; a small corpus needs fewer.
+PASSES, SLICES = 2, 8
+SLICE_TOKENS = 1 << 21
 
 
 class Tally:
@@ -119,64 +130,130 @@ def gram_keys(words: Words, order: int) -> tuple[list[np.ndarray], np.ndarray, n
     return keys, place, bounds
 
 
+def pack(values: np.ndarray) -> bytes:
+    return pa.compress(np.ascontiguousarray(values), codec="zstd", asbytes=True)
+
+
+def unpack(blob: bytes, n: int, kind: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(blob, decompressed_size=8 * n, codec="zstd"), kind)
+
+
+def numbers(column: pa.ChunkedArray) -> list[np.ndarray]:
+    """The 64-bit numbers that each row of a binary column holds."""
+    return [np.frombuffer(b, np.uint64) for b in column.to_pylist()]
+
+
+def joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(arrays) if arrays else np.zeros(0, kind)
+
+
+def bucket_runs(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """(order that puts n-grams by bucket, (bucket, low, high) of each run in it); equal buckets keep their order."""
+    bucket = (grams >> np.uint64(32)) % np.uint64(buckets)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    edges = [*np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist(), len(bucket)] if len(bucket) else []
+    return order, [(int(bucket[low]), low, high) for low, high in zip(edges, edges[1:])]
+
+
 class GramTally:
-    """Counts of n-grams with their two shorter parts, added up in a task before they are shuffled."""
+    """Counts of n-grams of one order with their two shorter parts, added up in a task before they are shuffled."""
 
     LIMIT = 1 << 19
 
-    def __init__(self) -> None:
+    def __init__(self, buckets: int) -> None:
+        self.buckets = buckets
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size = 0
 
-    def add(self, order: int, gram: np.ndarray, before: np.ndarray, suffix: np.ndarray) -> None:
+    def add(self, gram: np.ndarray, before: np.ndarray, suffix: np.ndarray) -> None:
         gram, first, n = np.unique(gram, return_index=True, return_counts=True)
-        self.parts.append((gram, before[first], suffix[first], np.full(len(gram), order, np.int8), n))
+        self.parts.append((gram, before[first], suffix[first], n))
         self.size += len(gram)
 
     def batches(self, last: bool) -> Iterator[pa.RecordBatch]:
         if not self.size or (self.size < 4 * self.LIMIT and not last):
             return
-        gram, before, suffix, order, n = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        sort = np.argsort(gram, kind="stable")
-        first = np.flatnonzero(np.concatenate([[True], np.diff(gram[sort]) != 0]))
-        at, n = sort[first], np.add.reduceat(n[sort], first)
-        if len(at) < self.LIMIT and not last:
-            self.parts, self.size = [(gram[at], before[at], suffix[at], order[at], n)], len(at)
+        gram, before, suffix, n = merge_counts(self.parts)
+        if len(gram) < self.LIMIT and not last:
+            self.parts, self.size = [(gram, before, suffix, n)], len(gram)
             return
-        for low in range(0, len(at), 1 << 16):
-            part = at[low:low + (1 << 16)]
-            columns = [order[part], before[part].view(np.int64), suffix[part].view(np.int64), n[low:low + (1 << 16)].astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["length", "before", "suffix", "n"])
+        order, runs = bucket_runs(gram, self.buckets)
+        before, suffix, n = before[order], suffix[order], n[order]
+        for at in range(0, len(runs), 1 << 8):
+            some = runs[at:at + (1 << 8)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([b for b, _, _ in some], pa.int64()), pa.array([before[low:high].tobytes() for _, low, high in some], pa.binary()),
+                pa.array([suffix[low:high].tobytes() for _, low, high in some], pa.binary()), pa.array([pack(n[low:high].astype(np.int64)) for _, low, high in some], pa.binary()),
+            ], names=["bucket", "before", "suffix", "n"])
         self.parts, self.size = [], 0
 
 
-def count_grams(texts: DataFrame, order: int, least: int) -> DataFrame:
-    """(length, gram, before, suffix, n) of the n-grams of 2 to `order` words that occur at least `least` times."""
+def merge_counts(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+    """(gram, before, suffix, n) of each n-gram once, by number."""
+    gram, before, suffix, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(gram, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], np.diff(gram[order]) != 0]))
+    at = order[first]
+    return gram[at], before[at], suffix[at], np.add.reduceat(n[order], first)
+
+
+def count_grams(texts: DataFrame, length: int, least: int, buckets: int, passes: int, turn: int) -> DataFrame:
+    """(gram, before, suffix, n) of the n-grams of `length` words in pass `turn` that occur at least `least` times."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = GramTally()
+        tally = GramTally(buckets)
         for batch in batches:
             for part in slices(batch):
-                keys, place, _ = gram_keys(find_words(part.column(0), lower=True), order)
-                for n in range(2, order + 1):
-                    at = np.flatnonzero(place >= n - 1)
-                    tally.add(n, keys[n - 1][at], keys[n - 2][at - 1], keys[n - 2][at])
+                keys, place, _ = gram_keys(find_words(part.column(0), lower=True), length)
+                at = np.flatnonzero((place >= length - 1) & (keys[-1] % np.uint64(passes) == turn))
+                tally.add(keys[-1][at], keys[-2][at - 1], keys[-2][at])
                 yield from tally.batches(False)
         yield from tally.batches(True)
 
-    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_up(rows: pa.Table) -> pa.Table:
+        before, suffix = numbers(rows.column("before")), numbers(rows.column("suffix"))
+        n = [unpack(b, len(x), np.int64) for b, x in zip(rows.column("n").to_pylist(), before, strict=True)]
+        gram, before, suffix, n = merge_counts([(join_keys(b, s), b, s, c) for b, s, c in zip(before, suffix, n, strict=True)])
+        kept = n >= least
+        return pa.table({"gram": gram[kept].view(np.int64), "before": before[kept].view(np.int64), "suffix": suffix[kept].view(np.int64), "n": n[kept]})
+
+    counted = texts.select("text").mapInArrow(run, "bucket bigint, before binary, suffix binary, n binary")
+    return counted.groupBy("bucket").applyInArrow(add_up, "gram bigint, before bigint, suffix bigint, n bigint")
+
+
+def pack_nodes(nodes: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, grams, n, back): the rows (gram, n, back) as arrays."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def emit() -> Iterator[pa.RecordBatch]:
+            grams, n, back = (np.concatenate(x) for x in zip(*held, strict=True))
+            order, runs = bucket_runs(grams, buckets)
+            grams, n, back = grams[order], n[order], back[order]
+            for at in range(0, len(runs), 1 << 8):
+                some = runs[at:at + (1 << 8)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([b for b, _, _ in some], pa.int64()), pa.array([grams[low:high].tobytes() for _, low, high in some], pa.binary()),
+                    *(pa.array([pack(c[low:high]) for _, low, high in some], pa.binary()) for c in (n, back)),
+                ], names=["bucket", "grams", "n", "back"])
+
         for batch in batches:
-            before, suffix = (np.asarray(batch.column(c)).view(np.uint64) for c in (1, 2))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(join_keys(before, suffix).view(np.int64))], names=["length", "before", "suffix", "n", "gram"])
+            held.append((np.asarray(batch.column(0)).view(np.uint64), np.asarray(batch.column(1)), np.asarray(batch.column(2).fill_null(0.0))))
+            size += batch.num_rows
+            if size >= 1 << 20:
+                yield from emit()
+                held, size = [], 0
+        if size:
+            yield from emit()
 
-    schema = "length tinyint, before bigint, suffix bigint, n bigint"
-    counted = texts.select("text").mapInArrow(run, schema).groupBy("length", "before", "suffix").agg(F.sum("n").alias("n"))
-    return counted.where(F.col("n") >= least).mapInArrow(name, f"{schema}, gram bigint")
+    return nodes.select("gram", "n", "back").mapInArrow(run, "bucket bigint, grams binary, n binary, back binary")
 
 
 @dataclass
 class Model:
-    """Counts of the training texts, and (gram, log_prob, back) of every word and n-gram: an arc, and the way back from it as a context."""
+    """Counts of the training texts, and (bucket, grams, n, back): how often each word and n-gram occurs, and the cost of its failure arc as a context."""
 
     tokens: int
     distinct: int
@@ -186,53 +263,69 @@ class Model:
     def denominator(self) -> float:
         return self.tokens + SMOOTHING * (self.distinct + 1)
 
+    @property
+    def buckets(self) -> int:
+        return 1 + self.tokens // BUCKET_TOKENS
+
+    def share(self, most: int) -> int:
+        """Into how many passes or slices work is dealt."""
+        return min(most, 1 + self.tokens // SLICE_TOKENS)
+
 
 def train(texts: DataFrame, order: int = ORDER, least: int = LEAST) -> Model:
     """The model learned from the rows (text)."""
     words = materialize(count(texts, token_hashes), "words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count("*").alias("distinct"), F.coalesce(F.max(F.when(F.col("gram") == int(END), F.col("n"))), F.lit(0)).alias("texts")).first()
     model = Model(total.tokens, total.distinct, words)
-    grams = materialize(count_grams(texts, order, least), "grams")
+    # The context before the first word has a way back but no arc leads to it.
     start = words.sparkSession.range(1).select(F.lit(int(START)).alias("gram"), F.lit(total.texts).cast("bigint").alias("n"))
-    shorter = words.withColumn("p", (F.col("n") + SMOOTHING) / F.lit(model.denominator))
-    nodes = shorter.select("gram", F.log10("p").alias("log_prob"))
-    common = shorter
-    contexts, tables = common.select("gram", "n").unionByName(start), []
+    contexts, shorter = words.unionByName(start), words.withColumn("p", (F.col("n") + SMOOTHING) / F.lit(model.denominator))
+    nodes, spent = [], [words]
+    freed = F.greatest((F.col("n") - F.col("arcs_n") + DISCOUNT * F.col("arcs")) / F.col("n"), F.lit(1e-12))
     for length in range(2, order + 1):
-        arcs = materialize(
-            grams.where(F.col("length") == length).drop("length")
-            .join(contexts.select(F.col("gram").alias("before"), F.col("n").alias("of")), "before")
-            .join(common.select(F.col("gram").alias("suffix"), F.col("p").alias("q")), "suffix")
-            .select("gram", "before", "n", "of", ((F.col("n") - DISCOUNT) / F.col("of")).alias("p"), "q"), "arcs",
+        passes = model.share(PASSES)
+        tables = [materialize(count_grams(texts, length, least, model.buckets, passes, turn), "grams") for turn in range(passes)]
+        grams = tables[0]
+        for t in tables[1:]:
+            grams = grams.unionByName(t)
+        # An n-gram that occurs `least` times has parts that do, so neither join loses one.
+        arcs = (
+            grams.join(shorter.select(F.col("gram").alias("suffix"), F.col("p").alias("q")), "suffix")
+            .groupBy(F.col("before").alias("gram")).agg(F.sum("n").alias("arcs_n"), F.count("*").alias("arcs"), F.sum("q").alias("arcs_q"))
         )
-        freed = (F.first("of") - F.sum("n") + DISCOUNT * F.count("*")) / F.first("of")
-        back = arcs.groupBy(F.col("before").alias("gram")).agg(F.log10(F.greatest(freed, F.lit(1e-12)) / F.greatest(1 - F.sum("q"), F.lit(1e-12))).alias("back"))
-        # The context before the first word has a way back but no arc leads to it.
-        tables.append(nodes.join(back, "gram", "full" if length == 2 else "left"))
-        nodes = arcs.select("gram", F.log10("p").alias("log_prob"))
-        contexts = common = arcs
-    tables.append(nodes.withColumn("back", F.lit(None).cast("double")))
-    whole = tables[0]
-    for t in tables[1:]:
+        nodes.append(materialize(contexts.join(arcs, "gram", "left").select("gram", "n", F.log10(freed / F.greatest(1 - F.col("arcs_q"), F.lit(1e-12))).alias("back")), "nodes"))
+        if length < order:
+            of = contexts.select(F.col("gram").alias("before"), F.col("n").alias("of"))
+            longer = materialize(grams.join(of, "before").select("gram", "n", ((F.col("n") - DISCOUNT) / F.col("of")).alias("p")), "arcs")
+            for t in [*spent, *tables]:
+                discard(t)
+            contexts, shorter, spent = longer.select("gram", "n"), longer, [longer]
+        else:
+            nodes.append(grams.select("gram", "n", F.lit(None).cast("double").alias("back")))
+            spent += tables
+    whole = nodes[0]
+    for t in nodes[1:]:
         whole = whole.unionByName(t)
-    model.nodes = materialize(whole, "nodes")
+    model.nodes = materialize(pack_nodes(whole, model.buckets), "model")
+    for t in [*spent, *nodes[:-1]]:
+        discard(t)
     return model
 
 
 class Automaton:
-    """The arcs and failure arcs that a part of the texts can take, by the numbers of their n-grams."""
+    """The states that a part of the texts can take, by the numbers of their n-grams: counts, and costs of the failure arcs."""
 
-    def __init__(self, grams: np.ndarray, log_prob: np.ndarray, back: np.ndarray, unseen: float) -> None:
+    def __init__(self, grams: np.ndarray, n: np.ndarray, back: np.ndarray, denominator: float) -> None:
         sort = np.argsort(grams)
-        self.grams, self.log_prob, self.back, self.unseen = grams[sort], log_prob[sort], back[sort], unseen
+        self.grams, self.n, self.back, self.denominator = grams[sort], n[sort], back[sort], denominator
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(log-probability of the arc to each n-gram, nan without one; cost of the failure arc from it, 0 if it is no context)."""
+        """(count of each n-gram, 0 without an arc to it; cost of the failure arc from it, 0 if it is no context)."""
         if not len(self.grams):
-            return np.full(len(keys), np.nan), np.zeros(len(keys))
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys))
         place = np.minimum(np.searchsorted(self.grams, keys), len(self.grams) - 1)
         same = self.grams[place] == keys
-        return np.where(same, self.log_prob[place], np.nan), np.where(same, np.nan_to_num(self.back[place]), 0.0)
+        return np.where(same, self.n[place], 0), np.where(same, self.back[place], 0.0)
 
     def read(self, keys: list[np.ndarray], place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(log-probability in context, by itself, whether known) of each token; 0 for the start.
@@ -241,18 +334,17 @@ class Automaton:
         arc leads to the next shorter one at its cost; a run of words that is no context costs nothing to leave.
         """
         found = [self.find(k) for k in keys]
-        single = np.where(np.isnan(found[0][0]), self.unseen, found[0][0])
+        single = np.log10((found[0][0] + SMOOTHING) / self.denominator)
         total, waiting = np.zeros(len(place)), np.flatnonzero(place >= 1)
         for n in range(len(keys), 1, -1):
             deep = waiting[place[waiting] >= n - 1]
-            arc = found[n - 1][0][deep]
-            taken = ~np.isnan(arc)
-            total[deep[taken]] += arc[taken]
-            left = deep[~taken]
+            seen = found[n - 1][0][deep]
+            taken, left = deep[seen > 0], deep[seen == 0]
+            total[taken] += np.log10((seen[seen > 0] - DISCOUNT) / found[n - 2][0][taken - 1])
             total[left] += found[n - 2][1][left - 1]
             waiting = np.concatenate([left, waiting[place[waiting] < n - 1]])
         total[waiting] += single[waiting]
-        return total, np.where(place >= 1, single, 0.0), (place >= 1) & ~np.isnan(found[0][0])
+        return total, np.where(place >= 1, single, 0.0), (place >= 1) & (found[0][0] > 0)
 
 
 def _parts(rows: DataFrame) -> DataFrame:
@@ -271,8 +363,8 @@ def _parts(rows: DataFrame) -> DataFrame:
     return rows.select("doc_id", "held_out", "text").mapInArrow(run, f"part bigint, doc_id {kind}, held_out boolean, text string")
 
 
-def _grams_of(parts: DataFrame, order: int) -> DataFrame:
-    """(part, gram) of the n-grams of each part; a part that is read in two batches may name one twice."""
+def _asked(parts: DataFrame, order: int, buckets: int) -> DataFrame:
+    """(bucket, part, grams): the n-grams of each part; a part that is read in two batches may ask for one twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,23 +373,41 @@ def _grams_of(parts: DataFrame, order: int) -> DataFrame:
             for low, high in zip(edges, edges[1:]):
                 keys, place, _ = gram_keys(find_words(string_column(batch.column(1).slice(low, high - low)), lower=True), order)
                 grams = np.unique(np.concatenate([k[place >= n] for n, k in enumerate(keys)]))
-                for at in range(0, len(grams), 1 << 16):
-                    some = grams[at:at + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), part[low])), pa.array(some.view(np.int64))], names=["part", "gram"])
-
-    return parts.select("part", "text").mapInArrow(run, "part bigint, gram bigint")
+                to, runs = bucket_runs(grams, buckets)
+                grams = grams[to]
+                for at in range(0, len(runs), 1 << 8):
+                    some = runs[at:at + (1 << 8)]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([b for b, _, _ in some], pa.int64()), pa.array(np.full(len(some), part[low])), pa.array([grams[x:y].tobytes() for _, x, y in some], pa.binary()),
+                    ], names=["bucket", "part", "grams"])
+
+    return parts.select("part", "text").mapInArrow(run, "bucket bigint, part bigint, grams binary")
+
+
+def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """(part, grams, n, back): those of the n-grams that a part asks for that are in the model."""
+    grams = numbers(known.column("grams"))
+    n, back = (joined([unpack(b, len(g), kind) for b, g in zip(known.column(c).to_pylist(), grams, strict=True)], kind) for c, kind in (("n", np.int64), ("back", np.float64)))
+    automaton = Automaton(joined(grams, np.uint64), n, back, 1.0)
+    rows = []
+    for part, keys in zip(asked.column("part").to_pylist(), numbers(asked.column("grams")), strict=True):
+        n, back = automaton.find(keys)
+        has = n > 0
+        if has.any():
+            rows.append((part, keys[has].tobytes(), pack(n[has]), pack(back[has])))
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["part", "grams", "n", "back"])
 
 
 def _read_texts(rows: DataFrame, model: Model, order: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, base_score, score."""
     # The number of a part is fixed by being written; it is used only from the written table.
     parts = materialize(_parts(rows), "parts")
-    arcs = _grams_of(parts, order).join(model.nodes, "gram").select("part", "gram", "log_prob", "back")
-    unseen = float(np.log10(SMOOTHING / model.denominator))
+    denominator = model.denominator
 
-    def run(texts: pa.Table, arcs: pa.Table) -> pa.Table:
-        columns = [arcs.column(c).to_numpy() for c in ("gram", "log_prob", "back")]
-        automaton = Automaton(np.asarray(columns[0], np.int64).view(np.uint64), *(np.asarray(c, np.float64) for c in columns[1:]), unseen)
+    def run(texts: pa.Table, states: pa.Table) -> pa.Table:
+        grams = numbers(states.column("grams"))
+        n, back = (joined([unpack(b, len(g), kind) for b, g in zip(states.column(c).to_pylist(), grams, strict=True)], kind) for c, kind in (("n", np.int64), ("back", np.float64)))
+        automaton = Automaton(joined(grams, np.uint64), n, back, denominator)
         words = find_words(string_column(texts.column("text").combine_chunks()), lower=True)
         keys, place, bounds = gram_keys(words, order)
         total, single, known = automaton.read(keys, place)
@@ -309,9 +419,17 @@ def _read_texts(rows: DataFrame, model: Model, order: int) -> DataFrame:
         })
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return parts.groupBy("part").cogroup(arcs.groupBy("part")).applyInArrow(
-        run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
-    )
+    n_slices, scores = model.share(SLICES), None
+    for s in range(n_slices):
+        mine = parts.where(F.pmod(F.xxhash64("part"), F.lit(n_slices)) == s)
+        states = _asked(mine, order, model.buckets).groupBy("bucket").cogroup(model.nodes.groupBy("bucket")).applyInArrow(_answer, "part bigint, grams binary, n binary, back binary")
+        read = materialize(mine.groupBy("part").cogroup(states.groupBy("part")).applyInArrow(
+            run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
+        ), "scores")
+        scores = read if scores is None else scores.unionByName(read)
+    for t in (parts, model.nodes):
+        discard(t)
+    return scores
 
 
 def score_texts(
