@@ -51,20 +51,26 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 _DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def materialize(df: DataFrame, purpose: str, slices: str | None = None) -> DataFrame:
     """Write `df` to the shared folder and read it back: reliable, and it cuts the lineage.
 
     The written table stands for all that led to it, so the shuffle files of this execution go as it ends.
+    A table that is read slice by slice names the column of its slices, each of which is a folder of its own.
     """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
+    writer = df.write if slices is None else df.write.partitionBy(slices).option("compression", "zstd")
+    known = spark.conf.isModifiable(_DROP_SHUFFLES)
+    # None for a setting that nobody set, which says nothing about whether Spark knows it.
     before = spark.conf.get(_DROP_SHUFFLES, None)
-    if before is not None:
+    if known:
         spark.conf.set(_DROP_SHUFFLES, "true")
     try:
-        df.write.parquet(path)
+        writer.parquet(path)
     finally:
-        if before is not None:
+        if known and before is None:
+            spark.conf.unset(_DROP_SHUFFLES)
+        elif known:
             spark.conf.set(_DROP_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -72,5 +78,7 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 def discard(table: DataFrame) -> None:
     """Empty a table that `materialize` wrote and nothing reads any more, so that long jobs do not fill the shared folder."""
     folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+    empty = table.sparkSession.createDataFrame([], table.schema)
     for folder in folders:
-        table.sparkSession.createDataFrame([], table.schema).write.mode("overwrite").parquet(folder)
+        here = folder.rsplit("/", 1)[1].partition("=")
+        (empty.drop(here[0]) if here[1] else empty).write.mode("overwrite").parquet(folder)
