@@ -13,7 +13,7 @@ smoothed share of the tokens, by exact counts.
 
 N-grams travel as sorted arrays of numbers, one for each bucket of their hashes; the number of buckets grows with
 the tokens, so that a bucket is about as large in every corpus. Orders are counted one by one in passes over
-ranges of the hash, and parts are scored in slices. The shuffle files of a pass or slice go as it ends, so the
+classes of the hash, and parts are scored in slices. The shuffle files of a pass or slice go as it ends, so the
 disk in use is bounded by a share of the corpus. Neither number changes a result.
 """
 
@@ -44,8 +44,8 @@ START = np.uint64(0x51A27C0FFEE)  # the context before the first word; it is nev
 PART_BYTES = 1 << 21
 # Training tokens for each bucket of n-grams.
 BUCKET_TOKENS = 1 << 20
-# The most passes over the n-grams of one order and slices of the parts; a small corpus needs fewer.
-PASSES, SLICES = 2, 8
+# The most slices of the parts; a small corpus needs fewer.
+SLICES = 5
 SLICE_TOKENS = 1 << 21
 
 
@@ -167,8 +167,7 @@ class GramTally:
         self.size = 0
 
     def add(self, gram: np.ndarray, before: np.ndarray, suffix: np.ndarray) -> None:
-        gram, first, n = np.unique(gram, return_index=True, return_counts=True)
-        self.parts.append((gram, before[first], suffix[first], n))
+        self.parts.append((gram, before, suffix, np.ones(len(gram), np.int64)))
         self.size += len(gram)
 
     def batches(self, last: bool) -> Iterator[pa.RecordBatch]:
@@ -184,7 +183,7 @@ class GramTally:
             some = runs[at:at + (1 << 8)]
             yield pa.RecordBatch.from_arrays([
                 pa.array([b for b, _, _ in some], pa.int64()), pa.array([before[low:high].tobytes() for _, low, high in some], pa.binary()),
-                pa.array([suffix[low:high].tobytes() for _, low, high in some], pa.binary()), pa.array([pack(n[low:high].astype(np.int64)) for _, low, high in some], pa.binary()),
+                pa.array([suffix[low:high].tobytes() for _, low, high in some], pa.binary()), pa.array([pack(n[low:high]) for _, low, high in some], pa.binary()),
             ], names=["bucket", "before", "suffix", "n"])
         self.parts, self.size = [], 0
 
@@ -192,10 +191,11 @@ class GramTally:
 def merge_counts(parts: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
     """(gram, before, suffix, n) of each n-gram once, by number."""
     gram, before, suffix, n = (np.concatenate(x) for x in zip(*parts, strict=True))
-    order = np.argsort(gram, kind="stable")
-    first = np.flatnonzero(np.concatenate([[True], np.diff(gram[order]) != 0]))
+    order = np.argsort(gram)
+    gram = gram[order]
+    first = np.flatnonzero(np.concatenate([gram[:1] == gram[:1], gram[1:] != gram[:-1]]))
     at = order[first]
-    return gram[at], before[at], suffix[at], np.add.reduceat(n[order], first)
+    return gram[first], before[at], suffix[at], np.add.reduceat(n[order], first) if len(first) else n
 
 
 def count_grams(texts: DataFrame, length: int, least: int, buckets: int, passes: int, turn: int) -> DataFrame:
@@ -283,7 +283,7 @@ def train(texts: DataFrame, order: int = ORDER, least: int = LEAST) -> Model:
     nodes, spent = [], [words]
     freed = F.greatest((F.col("n") - F.col("arcs_n") + DISCOUNT * F.col("arcs")) / F.col("n"), F.lit(1e-12))
     for length in range(2, order + 1):
-        passes = model.share(PASSES)
+        passes = model.share(length - 1)  # longer n-grams repeat less, so there are more of them
         tables = [materialize(count_grams(texts, length, least, model.buckets, passes, turn), "grams") for turn in range(passes)]
         grams = tables[0]
         for t in tables[1:]:
@@ -400,8 +400,9 @@ def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
 
 def _read_texts(rows: DataFrame, model: Model, order: int) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, base_score, score."""
+    n_slices = model.share(SLICES)
     # The number of a part is fixed by being written; it is used only from the written table.
-    parts = materialize(_parts(rows), "parts")
+    parts = materialize(_parts(rows).withColumn("slice", F.pmod(F.xxhash64("part"), F.lit(n_slices)).cast("int")).sortWithinPartitions("slice", "part"), "parts", "slice")
     denominator = model.denominator
 
     def run(texts: pa.Table, states: pa.Table) -> pa.Table:
@@ -419,9 +420,9 @@ def _read_texts(rows: DataFrame, model: Model, order: int) -> DataFrame:
         })
 
     kind = rows.schema["doc_id"].dataType.simpleString()
-    n_slices, scores = model.share(SLICES), None
+    scores = None
     for s in range(n_slices):
-        mine = parts.where(F.pmod(F.xxhash64("part"), F.lit(n_slices)) == s)
+        mine = parts.where(F.col("slice") == s).drop("slice")
         states = _asked(mine, order, model.buckets).groupBy("bucket").cogroup(model.nodes.groupBy("bucket")).applyInArrow(_answer, "part bigint, grams binary, n binary, back binary")
         read = materialize(mine.groupBy("part").cogroup(states.groupBy("part")).applyInArrow(
             run, f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double"
