@@ -11,7 +11,7 @@ each text is read along these from left to right, all positions of a part at onc
 follows from the counts of its n-gram and of the state it leaves, both of which the part has. Every word has its
 smoothed share of the tokens, by exact counts.
 
-N-grams travel as sorted arrays of numbers, one for each bucket of their hashes; the number of buckets grows with
+N-grams travel as sorted arrays of numbers, one for each bucket, a range of their hashes; the number of buckets grows with
 the tokens, so that a bucket is about as large in every corpus. Orders are counted one by one in passes over
 classes of the hash, and parts are scored in slices. The shuffle files of a pass or slice go as it ends, so the
 disk in use is bounded by a share of the corpus. Neither number changes a result.
@@ -147,13 +147,11 @@ def joined(arrays: list[np.ndarray], kind: type) -> np.ndarray:
     return np.concatenate(arrays) if arrays else np.zeros(0, kind)
 
 
-def bucket_runs(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
-    """(order that puts n-grams by bucket, (bucket, low, high) of each run in it); equal buckets keep their order."""
-    bucket = (grams >> np.uint64(32)) % np.uint64(buckets)
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    edges = [*np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])).tolist(), len(bucket)] if len(bucket) else []
-    return order, [(int(bucket[low]), low, high) for low, high in zip(edges, edges[1:])]
+def bucket_runs(grams: np.ndarray, buckets: int) -> list[tuple[int, int, int]]:
+    """(bucket, low, high) of each run of sorted n-grams; a bucket is a range of their numbers, so no sort is needed."""
+    bucket = ((grams >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    edges = [*np.flatnonzero(np.concatenate([bucket[:1] == bucket[:1], bucket[1:] != bucket[:-1]])).tolist(), len(bucket)]
+    return [(int(bucket[low]), low, high) for low, high in zip(edges, edges[1:])]
 
 
 class GramTally:
@@ -177,8 +175,7 @@ class GramTally:
         if len(gram) < self.LIMIT and not last:
             self.parts, self.size = [(gram, before, suffix, n)], len(gram)
             return
-        order, runs = bucket_runs(gram, self.buckets)
-        before, suffix, n = before[order], suffix[order], n[order]
+        runs = bucket_runs(gram, self.buckets)
         for at in range(0, len(runs), 1 << 8):
             some = runs[at:at + (1 << 8)]
             yield pa.RecordBatch.from_arrays([
@@ -230,8 +227,9 @@ def pack_nodes(nodes: DataFrame, buckets: int) -> DataFrame:
 
         def emit() -> Iterator[pa.RecordBatch]:
             grams, n, back = (np.concatenate(x) for x in zip(*held, strict=True))
-            order, runs = bucket_runs(grams, buckets)
+            order = np.argsort(grams)
             grams, n, back = grams[order], n[order], back[order]
+            runs = bucket_runs(grams, buckets)
             for at in range(0, len(runs), 1 << 8):
                 some = runs[at:at + (1 << 8)]
                 yield pa.RecordBatch.from_arrays([
@@ -373,8 +371,7 @@ def _asked(parts: DataFrame, order: int, buckets: int) -> DataFrame:
             for low, high in zip(edges, edges[1:]):
                 keys, place, _ = gram_keys(find_words(string_column(batch.column(1).slice(low, high - low)), lower=True), order)
                 grams = np.unique(np.concatenate([k[place >= n] for n, k in enumerate(keys)]))
-                to, runs = bucket_runs(grams, buckets)
-                grams = grams[to]
+                runs = bucket_runs(grams, buckets)
                 for at in range(0, len(runs), 1 << 8):
                     some = runs[at:at + (1 << 8)]
                     yield pa.RecordBatch.from_arrays([
