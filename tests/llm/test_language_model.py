@@ -115,3 +115,14 @@ def test_odd_and_empty_tables(odd_docs, no_docs):
     want = sorted((r.doc_id or -1, len(tokens_of(r.text)), round(sum(math.log10((found[t] + 0.5) / denominator) for t in tokens_of(r.text)), 6)) for r in odd_docs.collect())
     assert by_id == want
     assert lm.score_texts(no_docs).collect() == []
+
+
+def test_buckets_passes_and_slices_change_no_score(spark, monkeypatch):
+    docs = spark.createDataFrame([*enumerate(texts(40, 7))] * 2 + [(99, None)], "doc_id bigint, text string")
+    want = sorted(map(tuple, lm.score_texts(docs).collect()))
+    monkeypatch.setattr(lm, "SLICE_TOKENS", 50)
+    monkeypatch.setattr(lm, "BUCKET_TOKENS", 100)
+    monkeypatch.setattr(lm, "PART_BYTES", 2000)
+    got = sorted(map(tuple, lm.score_texts(docs).collect()))
+    assert [g[:5] for g in got] == [w[:5] for w in want] and len(got) == 81
+    assert [g[5:] for g in got] == [pytest.approx(w[5:], rel=1e-12) for w in want]
