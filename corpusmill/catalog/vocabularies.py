@@ -88,7 +88,7 @@ def _(spark, sf):
 
 @query("train_unigram")
 def _(spark, sf):
-    v = train_unigram(document_words(spark, sf), vocab_size=1000, seed_size=4000)
+    v = train_unigram(document_words(spark, sf), vocab_size=1000)
     return v.vocab.select("id", "token", F.round("score", 6).alias("score"))
 
 
@@ -129,7 +129,7 @@ def _encoding(name, train):
 
 _encoding("encode_bpe", lambda counts: train_bpe(counts, vocab_size=600))
 _encoding("encode_wordpiece", lambda counts: train_wordpiece(counts, vocab_size=600))
-_encoding("encode_unigram", lambda counts: train_unigram(counts, vocab_size=600, seed_size=2000))
+_encoding("encode_unigram", lambda counts: train_unigram(counts, vocab_size=600))
 
 
 @query("encode_bpe_dropout")

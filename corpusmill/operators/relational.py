@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from functools import reduce
 
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from corpusmill.functions.charclasses import WS
 from corpusmill.functions.cleaners import DEFAULT_CHAIN, Spec, clean_column
+from corpusmill.session import materialize
 
 REQUIRED_COLUMNS = ["text", "label", "split", "dataset_name"]
 SPLIT_NAMES = ["train", "dev", "test"]
@@ -155,6 +157,25 @@ def head(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def first_rows(df: DataFrame, n: int, *order: str | Column, keep: str | None = None) -> DataFrame:
+    """The first n rows of a complete order, for an n of any size: sorted in ranges, with the cut inside one of them.
+
+    Rows where the column `keep` holds come first in that order and stay, also if they are more than n.
+    """
+    number = f"row_{uuid.uuid4().hex}"
+    ordered = materialize(df.orderBy(*order).withColumn(number, F.monotonically_increasing_id()), "ordered")
+    # The number of a row is that of its range, then 33 bits for its place there.
+    kept = F.count_if(F.col(keep)) if keep else F.lit(0)
+    ranges = ordered.groupBy(F.shiftright(number, 33).alias("range")).agg(F.count("*").alias("n"), kept.alias("kept")).collect()
+    left, bound = max(n, sum(r["kept"] for r in ranges)), 0
+    for r in sorted(ranges, key=lambda r: r["range"]):
+        taken = min(left, r["n"])
+        if taken:
+            bound = (r["range"] << 33) + taken
+        left -= taken
+    return ordered.where(F.col(number) < bound).drop(number)
+
+
 def top_k_vocab(counts: DataFrame, k: int, min_frequency: int = 0) -> DataFrame:
     """The k most frequent words that occur at least `min_frequency` times."""
     return counts.where(F.col("cnt") >= min_frequency).orderBy(F.desc("cnt"), "word").limit(k)

@@ -148,29 +148,6 @@ def test_wordpiece_learning(spark):
     assert set(tokens_of(V.train_wordpiece(counts, vocab_size=1000))) == set(t.get_vocab())
 
 
-def test_unigram_learning(spark):
-    from corpusmill.operators.unigram import train_unigram
-
-    df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    counts = token_counts(df, pretok_whitespace(F.col("text")))
-    v = train_unigram(counts, vocab_size=300, seed_size=3000)
-    rows = v.vocab.orderBy("id").collect()
-    tokens = [r.token for r in rows]
-    assert tokens[:5] == SPECIAL_TOKENS and len(set(tokens)) == len(tokens) <= 300
-    scores = [r.score for r in rows[5:]]
-    assert scores == sorted(scores, reverse=True) and max(scores) < 0
-    chars = {r.ch for r in V.character_counts(counts).collect()}
-    assert chars <= set(tokens)
-    # Most of what the library keeps at this size is kept here too.
-    tk = pytest.importorskip("tokenizers")
-    t = tk.Tokenizer(tk.models.Unigram())
-    t.pre_tokenizer = tk.pre_tokenizers.Whitespace()
-    t.train_from_iterator([r.text for r in df.collect()], tk.trainers.UnigramTrainer(
-        special_tokens=SPECIAL_TOKENS, vocab_size=300, unk_token="[UNK]", show_progress=False))
-    theirs = set(t.get_vocab())
-    assert len(theirs & set(tokens)) > 0.6 * len(theirs), len(theirs & set(tokens))
-
-
 WORDS = st.text("ab#é\U0001f600", max_size=12)
 
 
