@@ -8,8 +8,9 @@ from corpusmill.catalog.common import Group, texts, words
 from corpusmill.functions.cleaners import words_of
 from corpusmill.operators import spelling as S
 from corpusmill.operators.words import token_counts
-from corpusmill.plans.corpus import spell_correct
-from corpusmill.session import materialize
+from corpusmill.plans.corpus import SPELLING, spell_correct
+from corpusmill.session import materialize, shared_folder
+from corpusmill.streaming.clean import run_clean_stream
 
 GROUP = Group()
 query = GROUP.query
@@ -102,3 +103,14 @@ def _(spark, sf):
 def _(spark, sf):
     docs = texts(spark, sf, "documents").select("doc_id", "text")
     return spell_correct(docs, "text", dictionary(spark, sf, text=F.lower), bigrams(spark, sf))
+
+
+@query("clean_stream_spelling")
+def _(spark, sf):
+    arrived = texts(spark, sf, "conversations").select("conv_id", "turn", "text")
+    folder = shared_folder(spark, "stream")
+    arrived.repartition(4, "conv_id").write.parquet(f"{folder}/in")
+    words = {"dictionary": dictionary(spark, sf, text=F.lower), "bigrams": bigrams(spark, sf)}
+    spec = ["lowercase", "strip_urls", (SPELLING, words), "strip_punctuation"]
+    run_clean_stream(spark, f"{folder}/in", arrived.schema, f"{folder}/out", f"{folder}/state", spec)
+    return spark.read.parquet(f"{folder}/out").select("conv_id", "turn", "cleaned_text")

@@ -6,8 +6,8 @@ looked up per text: the distinct words of the corpus are resolved once and joine
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
+from collections.abc import Callable, Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -256,12 +256,16 @@ def _resolve_terms(terms: DataFrame, best: DataFrame, parts_best: DataFrame, big
 def spell_compound(
     df: DataFrame, text: str, key: list[str], dictionary: DataFrame, bigrams: DataFrame,
     max_distance: int = MAX_DISTANCE, prefix_length: int = PREFIX_LENGTH, output: str = "corrected",
+    find: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Adds the corrected text: lower-cased terms, each corrected, merged with its neighbour or split in two.
 
     `key` identifies a row. Terms, neighbour pairs and splits are resolved as distinct values; the texts
-    themselves take part in one count and one join on their neighbour pairs.
+    themselves take part in one count and one join on their neighbour pairs. `find` takes the place of `spell_best`
+    where its answers are kept; it is asked twice, for whole terms and for halves.
     """
+    if find is None:
+        find = partial(spell_best, dictionary=dictionary, max_distance=max_distance, prefix_length=prefix_length)
     # Each term beside the one before it; the shifted list is one longer, so its last pair has no term.
     listed = df.select(*key, terms_of(F.col(text)).alias("_terms"))
     shifted = F.concat(F.array(F.lit("")), F.col("_terms"))
@@ -275,15 +279,14 @@ def spell_compound(
     distinct = materialize(pairs.groupBy("token").agg(F.sum("n").alias("n")), "terms")
     merged = F.concat("prev", "token")
     asked = distinct.select("token").union(pairs.where("prev <> ''").select(merged.alias("token"))).distinct()
-    best = materialize(spell_best(materialize(asked, "asked"), dictionary, max_distance, prefix_length), "best")
+    best = materialize(find(materialize(asked, "asked")), "best")
 
     imperfect = distinct.join(best.where("distance = 0"), "token", "left_anti").where(F.length("token") > 1)
     cut = F.explode(F.sequence(F.lit(1), F.length("token") - 1)).alias("cut")
     both = F.array(F.substr("token", F.lit(1), F.col("cut")), F.substr("token", F.col("cut") + 1))
     halves = imperfect.select("token", cut).select(F.explode(both).alias("token"))
     parts = materialize(halves.groupBy("token").agg(F.count("*").alias("n")), "halves")
-    parts_best = spell_best(parts.select("token"), dictionary, max_distance, prefix_length)
-    parts_best = materialize(parts_best.join(parts, "token"), "parts")
+    parts_best = materialize(find(parts.select("token")).join(parts, "token"), "parts")
     resolved = materialize(_resolve_terms(distinct, best, parts_best, bigrams, max_distance), "resolved")
 
     previous = resolved.select(F.col("token").alias("prev"), "n", F.col("resolved").alias("one"))

@@ -11,6 +11,7 @@ from corpusmill.plans.tokenizer import TokenizerSpec, decode_tokens, encode_text
 from corpusmill.sources.files import load_bigrams, load_dictionary, read_version, scan_csv, write_csv, write_version
 from corpusmill.sources.registry import register_source
 from corpusmill.sources.sinks import load_vocab
+from corpusmill.streaming import clean as stream
 from corpusmill.streaming.clean import run_clean_stream
 
 FLAGS = ["toxic", "severe_toxic", "obscene", "threat", "insult", "identity_hate"]
@@ -185,6 +186,44 @@ def test_stream_equals_batch_and_resumes(spark, tmp_path):
     assert sorted(spark.read.parquet(paths[1]).select("i", "cleaned_text").collect()) == sorted(batch.collect())
 
 
+def test_stream_with_spelling_equals_batch_across_a_restart(spark, tmp_path, monkeypatch):
+    """A batch that fails when all but its commit is done runs again and changes nothing; later batches use its answers."""
+    terms = [("hello", 900), ("world", 800), ("where", 700), ("are", 650), ("you", 600)]
+    dictionary = spark.createDataFrame(terms, "term string, cnt bigint")
+    bigrams = spark.createDataFrame([("hello", "world", 50), ("where", "are", 40)], "left string, right string, cnt bigint")
+    spec = ["lowercase", ("spell_correct", {"dictionary": dictionary, "bigrams": bigrams}), "strip_punctuation"]
+    schema = "i int, text string"
+    first = spark.createDataFrame([(1, "Helo WRLD!"), (2, "whereare yuo"), (3, None), (4, ""), (5, "qqqqqqqq helo")], schema)
+    second = spark.createDataFrame([(6, "helo wrld"), (7, "wher are yoo"), (8, "helo wrld")], schema)
+    paths = [str(tmp_path / p) for p in ("in", "out", "state")]
+    first.coalesce(1).write.parquet(paths[0])
+    real, calls = stream.clean_texts, []
+
+    def failing(batch, chain):
+        done = real(batch, chain)
+        calls.append(done.count())
+        if len(calls) == 1:
+            done.write.mode("overwrite").parquet(f"{paths[1]}/batch=0")
+            raise OSError("lost")
+        return done
+
+    monkeypatch.setattr(stream, "clean_texts", failing)
+    with pytest.raises(Exception, match="lost"):
+        run_clean_stream(spark, paths[0], first.schema, paths[1], paths[2], spec)
+    run_clean_stream(spark, paths[0], first.schema, paths[1], paths[2], spec)
+    second.coalesce(1).write.mode("append").parquet(paths[0])
+    run_clean_stream(spark, paths[0], first.schema, paths[1], paths[2], spec)
+    run_clean_stream(spark, paths[0], first.schema, paths[1], paths[2], spec)
+    assert calls == [5, 5, 3]
+    wanted = {r.i: r.cleaned_text for r in real(first.union(second), spec).collect()}
+    rows = spark.read.parquet(paths[1]).collect()
+    assert len(rows) == 8 and {r.i: r.cleaned_text for r in rows} == wanted
+    assert wanted[1] == wanted[6] == "hello world" and wanted[3] is None and wanted[4] == ""
+    kept = spark.read.option("basePath", f"{paths[2]}-answers").parquet(f"{paths[2]}-answers/step=1").collect()
+    asked = {b: {r.token for r in kept if r.batch == b} for b in (0, 1)}
+    assert {"helo", "qqqqqqqq"} <= asked[0] and not asked[0] & asked[1] and "yoo" in asked[1]
+
+
 def test_map_text(spark):
     df = spark.createDataFrame([("aB",), (None,)], "text string").coalesce(1)
     assert [r[1] for r in map_text(df, F.lower).collect()] == ["ab", None]
