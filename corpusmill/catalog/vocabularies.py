@@ -77,18 +77,18 @@ def _(spark, sf):
 
 @query("train_bpe")
 def _(spark, sf):
-    v = train_bpe(document_words(spark, sf), vocab_size=1000)
+    v = train_bpe(document_words(spark, sf))
     return v.merges
 
 
 @query("train_wordpiece")
 def _(spark, sf):
-    return train_wordpiece(document_words(spark, sf), vocab_size=1000).vocab.select("id", "token", "cnt")
+    return train_wordpiece(document_words(spark, sf)).vocab.select("id", "token", "cnt")
 
 
 @query("train_unigram")
 def _(spark, sf):
-    v = train_unigram(document_words(spark, sf), vocab_size=1000)
+    v = train_unigram(document_words(spark, sf))
     return v.vocab.select("id", "token", F.round("score", 6).alias("score"))
 
 
@@ -127,9 +127,9 @@ def _encoding(name, train):
         return out.select("doc_id", numbers(F.col("ids")).alias("ids"))
 
 
-_encoding("encode_bpe", lambda counts: train_bpe(counts, vocab_size=600))
-_encoding("encode_wordpiece", lambda counts: train_wordpiece(counts, vocab_size=600))
-_encoding("encode_unigram", lambda counts: train_unigram(counts, vocab_size=600))
+_encoding("encode_bpe", train_bpe)
+_encoding("encode_wordpiece", train_wordpiece)
+_encoding("encode_unigram", train_unigram)
 
 
 @query("encode_bpe_dropout")

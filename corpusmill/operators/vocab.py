@@ -284,6 +284,7 @@ def train_bpe(
         while True:
             cut = cut_words(words, [r["pair"] for r in ranked[:n_pairs]])
             distinct = segments(cut)
+            # The segments of one pair are that pair, or runs of one symbol, of which there is one for each length.
             pieces = (distinct if n_pairs == 1 else distinct.limit(SEGMENTS_PER_ROUND + 1)).collect()
             if len(pieces) <= SEGMENTS_PER_ROUND or n_pairs == 1:
                 break

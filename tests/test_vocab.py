@@ -74,6 +74,14 @@ def test_bpe_equals_library_on_documents(spark):
     assert tokens_of(v) == tokens
 
 
+def test_bpe_of_the_default_size_equals_library(spark):
+    """Many merges in a round come in the order of one-by-one merging, also thousands at a time."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    _, merges, tokens = library_bpe([r.text for r in df.collect()], vocab_size=30_000)
+    v = V.train_bpe(token_counts(df, pretok_whitespace(F.col("text"))))
+    assert len(merges) > 20_000 and merges_of(v) == merges and tokens_of(v) == tokens
+
+
 def library_vocabulary(spark, tokenizer, kind, **params):
     import json
 
