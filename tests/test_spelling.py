@@ -145,6 +145,44 @@ def test_the_walk_finds_all_pairs_within_the_distance(words, terms, most):
     assert sorted(found) == sorted(x for x in wanted if x[2] <= most)
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.sets(st.text("abc", max_size=6), max_size=30), st.sets(st.text("abc", max_size=6), max_size=30), st.integers(1, 9))
+def test_the_walk_holds_few_states_at_once_and_finds_the_same(words, terms, states):
+    words, terms = sorted(words), sorted(terms)
+    found = [list(zip(*(c.tolist() for c in x))) for x in walk(words, Trie(terms), 2, states)]
+    whole = [p for x in walk(words, Trie(terms), 2) for p in zip(*(c.tolist() for c in x))]
+    assert sorted(p for part in found for p in part) == sorted(whole)
+    # The pairs of a word come together, so the best of a word can be taken at once.
+    owners = [w for part in found for w in {p[0] for p in part}]
+    assert len(owners) == len(set(owners))
+
+
+def test_distances_decided_without_alignment(spark):
+    rng = random.Random(11)
+    made = [("".join(rng.choice("abé ") for _ in range(rng.randint(0, 7))), "".join(rng.choice("abé ") for _ in range(rng.randint(0, 7)))) for _ in range(4000)]
+    rows = spark.createDataFrame([*made, ("ab\U0001f600", "a\U0001f600b"), (None, "a")], "a string, b string")
+    for most in (1, 2, 3):
+        for r in rows.select("a", "b", S.edit_distance(F.col("a"), F.col("b"), most).alias("d")).collect():
+            if r.a is not None:
+                assert r.d == min(S.alignment_distance(r.a, r.b), most + 1), (r, most)
+
+
+def test_compound_asks_only_what_may_change_an_answer(spark, tables):
+    """Neighbours that are terms are not asked together, a word beside a term is not split where no term ends."""
+    asked = []
+
+    def find(tokens):
+        asked.append({r.token for r in tokens.collect()})
+        return S.spell_best(tokens, tables[0])
+
+    df = spark.createDataFrame([(0, "the cat sat"), (1, "quartr of hed"), (2, "zzzzz yyyyy")], "i int, t string")
+    got = {r.i: r.corrected for r in S.spell_compound(df, "t", ["i"], *tables, find=find).collect()}
+    assert got == {i: brute_compound(t, DICTIONARY, BIGRAMS) for i, t in ((0, "the cat sat"), (1, "quartr of hed"), (2, "zzzzz yyyyy"))}
+    everything = set().union(*asked)
+    assert not everything & {"thecat", "catsat", "quartrof", "ofhed", "quar", "tr"}
+    assert "zzzzzyyyyy" in everything and "zzzz" in everything
+
+
 def test_compound_equals_brute_force(spark, tables):
     rng = random.Random(5)
     fixed = [
