@@ -6,10 +6,9 @@ import unicodedata
 from collections.abc import Callable, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
 from corpusmill.functions.charclasses import UWS
 
@@ -22,11 +21,18 @@ CHINESE = (
     r"\x{2B920}-\x{2CEAF}\x{F900}-\x{FAFF}\x{2F800}-\x{2FA1F}]"
 )
 
+TEXTS_AT_ONCE = 128
+
 
 def _unicode_form(form: str) -> Callable[[Column], Column]:
-    @F.pandas_udf(StringType())
-    def convert(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: unicodedata.normalize(form, t), na_action="ignore")
+    @F.arrow_udf("string")
+    def convert(texts: pa.Array) -> pa.Array:
+        # A batch is bounded by its rows, not by its characters, so only some of its texts are Python strings at once.
+        parts = [pa.array([], pa.string())]
+        for low in range(0, len(texts), TEXTS_AT_ONCE):
+            part = texts.slice(low, TEXTS_AT_ONCE).to_pylist()
+            parts.append(pa.array([None if t is None else unicodedata.normalize(form, t) for t in part], pa.string()))
+        return pa.concat_arrays(parts)
 
     def apply(text: Column) -> Column:
         # ASCII is its own normal form: such texts reach Python as nulls only.
