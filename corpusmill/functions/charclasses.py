@@ -3,6 +3,8 @@
 # Bodies of bracket expressions.
 # White space as str.split() and re's \s see it.
 WS = r"\t-\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+# The same characters one by one, without the space itself.
+BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) != " ")
 # Word characters as re's \w sees them.
 WORD = r"\p{L}\p{N}_"
 # Unicode White_Space (no U+001C..U+001F).

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusmill.functions.charclasses import ASCII_PUNCTUATION, WORD, WS
-from corpusmill.functions.treebank import treebank_tokens
+from corpusmill.functions.charclasses import ASCII_PUNCTUATION, BLANKS, WORD, WS
+from corpusmill.functions.treebank import split_blanks, treebank_tokens
 
 ColumnFn = Callable[[Column], Column]
 
@@ -45,20 +45,18 @@ NOT_ASCII_WORD = r"[^ \x{80}-\x{10FFFF}]*+[^\x00-\x7F][^ ]* ?"
 
 # What is known of the blanks of a text: nothing; only spaces; single spaces and none at the ends.
 RAW, SPACED, TIDY = range(3)
-# Every white space character but the space itself.
-_BLANKS = "".join(chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) != " ")
 
 
 def normalize_blanks(text: Column, state: int = RAW) -> Column:
     """Single blanks between words and none at the ends; `state` saves the work already done."""
     if state == RAW:
-        text = F.translate(text, _BLANKS, " " * len(_BLANKS))
+        text = F.translate(text, BLANKS, " " * len(BLANKS))
     return text if state == TIDY else F.trim(F.regexp_replace(text, " {2,}", " "))
 
 
 def words_of(text: Column) -> Column:
     """The blank-separated words of `text`."""
-    return F.regexp_extract_all(text, F.lit(f"[^{WS}]+"), F.lit(0))
+    return split_blanks(text)
 
 
 def _through_text(text_form: ColumnFn) -> ColumnFn:

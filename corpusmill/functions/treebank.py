@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.functions.charclasses import UWORD, WS
+from corpusmill.functions.charclasses import BLANKS, UWORD, WS
 
 _S = f"[{WS}]"
 _W = f"[{UWORD}]"
@@ -75,7 +75,12 @@ STAGES = [
 ]
 
 
+def split_blanks(text: Column) -> Column:
+    """The runs of other characters than white space; a cut at single blanks is several times as fast as a pattern for the runs."""
+    return F.array_remove(F.split(F.translate(text, BLANKS, " " * len(BLANKS)), " "), "")
+
+
 def treebank_tokens(text: Column) -> Column:
     """Word tokens of `text`, sentence by sentence."""
     spaced = reduce(F.transform, STAGES, F.split(text, SENTENCE_BREAK))
-    return F.regexp_extract_all(F.array_join(spaced, " "), F.lit(f"[^{WS}]+"), F.lit(0))
+    return split_blanks(F.array_join(spaced, " "))

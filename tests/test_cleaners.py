@@ -182,3 +182,10 @@ def test_dispatch_and_registration(spark):
         C.cleaner("nothing")
     with pytest.raises(TypeError):
         C.clean_column(spark.range(1), "id", ["lowercase"])
+
+
+def test_words_are_those_between_blanks(string_frame, strings):
+    every = "".join(chr(c) for c in range(0x3002) if c < 0xD800)
+    assert column_values(string_frame, C.words_of(F.col("t"))) == [t.split() for t in strings]
+    row = string_frame.sparkSession.createDataFrame([(every,), (None,)], "t string").select(C.words_of(F.col("t")).alias("w")).collect()
+    assert [r.w for r in row] == [every.split(), None]

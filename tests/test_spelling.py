@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import spelling as S
 from corpusmill.operators.edit_walk import Trie, walk
+from corpusmill.plans.corpus import spell_correct
 
 N = S.CORPUS_WORDS
 
@@ -204,3 +205,18 @@ def test_compound_equals_brute_force(spark, tables):
     wrong = [(t, got[i], brute_compound(t, DICTIONARY, BIGRAMS)) for i, t in enumerate(texts)]
     wrong = [w for w in wrong if w[1] != w[2]]
     assert not wrong, (len(wrong), wrong[:5])
+
+
+def test_texts_are_worked_out_once(spark, tables):
+    """The texts to correct may come out of a costly chain; they are read several times."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def costly(text):
+        seen.add(1)
+        return text
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["the cat", "teh cat", "the cat", None])], "i int, t string").repartition(1)
+    got = {r.i: r.t for r in spell_correct(df.withColumn("t", costly("t")), "t", *tables).collect()}
+    assert got == {0: "the cat", 1: "the cat", 2: "the cat", 3: None}
+    assert seen.value == 4
