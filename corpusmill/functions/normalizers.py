@@ -9,6 +9,7 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from corpusmill.functions.charclasses import UWS
 
@@ -25,7 +26,8 @@ TEXTS_AT_ONCE = 128
 
 
 def _unicode_form(form: str) -> Callable[[Column], Column]:
-    @F.arrow_udf("string")
+    # A type by its name would be read by a session, and this module is imported before there is one.
+    @F.arrow_udf(StringType())
     def convert(texts: pa.Array) -> pa.Array:
         # A batch is bounded by its rows, not by its characters, so only some of its texts are Python strings at once.
         parts = [pa.array([], pa.string())]

@@ -1,5 +1,9 @@
 """Written tables: what stands for them goes, settings stay, slices are folders."""
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -39,3 +43,12 @@ def test_a_sliced_table_is_read_by_slice_and_can_be_emptied(spark):
     folders = {f.rsplit("/", 1)[0] for f in table.inputFiles()}
     session.discard(table)
     assert len(folders) == 3 and all(spark.read.schema("id bigint").parquet(f).count() == 0 for f in folders)
+
+
+def test_queries_are_named_before_there_is_a_session():
+    root = Path(__file__).resolve().parents[1]
+    made = "import __spark_entry__ as e; from pyspark.sql import SparkSession as S; print(len(e.queries()), len(e.oracle_sql()), S.getActiveSession())"
+    said = subprocess.run([sys.executable, "-c", made], cwd=root, capture_output=True, text=True, timeout=120)
+    assert said.returncode == 0, said.stderr[-2000:]
+    found, checked, session_made = said.stdout.split()
+    assert int(found) > int(checked) > 0 and session_made == "None"
