@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,9 @@ from corpusmill.session import materialize
 
 # A vocabulary sent to every task has at most this many table rows (tokens and merges).
 BROADCAST_ROWS = 400_000
+# Draws of a block (`draws_of`), and cuts that a task remembers before it begins anew.
+DRAWS_AT_ONCE = 8
+REMEMBERED = 500_000
 
 
 def _entries(v: Vocabulary) -> DataFrame:
@@ -93,14 +97,48 @@ def encode_with_dropout(df: DataFrame, tokens: str, v: Vocabulary, key: list[str
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         pieces, ranks = shared.value
+        known: dict[tuple[str, int, int], list[int] | None] = {}
+
+        def cut_by(word: str, draws: Iterator[float]) -> list[int]:
+            return byte_pairs(word, pieces, ranks, **constants, dropout=dropout, draws=draws)
+
+        def cut_for(word: str, mask: int, n: int = DRAWS_AT_ONCE) -> list[int] | None:
+            """The cut if the first n draws are those of the mask, null if these do not decide it."""
+            if (word, mask, n) not in known:
+                if len(known) >= REMEMBERED:
+                    known.clear()
+                try:
+                    cut = cut_by(word, iter([-1.0 if mask >> (n - 1 - i) & 1 else 2.0 for i in range(n)]))
+                except StopIteration:
+                    cut = None
+                known[word, mask, n] = cut
+                return cut
+            return known[word, mask, n]
+
         for names, rows in batches:
-            out = []
-            for name, words in zip(names.to_pylist(), rows.to_pylist(), strict=True):
-                out.append(None if words is None else [
-                    i for place, word in enumerate(words)
-                    for i in byte_pairs(word, pieces, ranks, **constants, dropout=dropout, draws=draws_of(seed, name, place))
-                ])
-            yield pa.array(out, pa.list_(pa.int32()))
+            flat = rows.flatten().dictionary_encode()
+            words = flat.dictionary.to_pylist()
+            code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+            # A word that no merge fits needs no draws.
+            draws = np.array([cut_for(w, 0, 0) is None for w in words], bool)
+            mask = np.zeros(len(code), np.int64)
+            lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lengths)
+            texts = names.to_pylist()
+            for name, begin, end in zip(texts, (ends - lengths).tolist(), ends.tolist(), strict=True):
+                places = np.flatnonzero(draws[code[begin:end]])
+                if len(places):
+                    mask[begin + places] = _draw_masks(seed, name, places.tolist(), dropout)
+            # Words with the same draws are cut up once for a batch; a word whose first draws do not decide it, each time.
+            both, of = np.unique(code * (1 << DRAWS_AT_ONCE) + mask, return_inverse=True)
+            cut = [cut_for(words[b >> DRAWS_AT_ONCE], b & ((1 << DRAWS_AT_ONCE) - 1)) for b in both.tolist()]
+            undecided = np.array([c is None for c in cut], bool)
+            for at in np.flatnonzero(undecided[of]).tolist():
+                row = int(np.searchsorted(ends, at, "right"))
+                place = at - int(ends[row] - lengths[row])
+                of[at] = len(cut)
+                cut.append(cut_by(words[code[at]], draws_of(seed, texts[row], place)))
+            yield _listed_ids(rows, [c or [] for c in cut], of)
 
     return df.withColumn("ids", ids_of(F.to_json(F.struct(*key)), F.col(tokens)))
 
@@ -113,6 +151,26 @@ def encode_by_join(df: DataFrame, tokens: str, v: Vocabulary, key: list[str], **
     return _encode_by_join(df, tokens, v.kind, _entries(v), _constants(v, options), key)
 
 
+def _draw_masks(seed: int, name: str, places: list[int], dropout: float) -> np.ndarray:
+    """For each place, which of the first block of its draws (`draws_of`) pass over a merge, as bits from the highest."""
+    key = name.encode()
+    blocks = b"".join([blake2b(b"%d:%d:0:%b" % (seed, place, key), digest_size=64).digest() for place in places])
+    passed = np.frombuffer(blocks, ">u8").astype(np.uint64).reshape(-1, DRAWS_AT_ONCE) / 2.0**64 < dropout
+    return np.packbits(passed, axis=1)[:, 0]
+
+
+def _listed_ids(rows: pa.Array, cut: list[list[int]], of: np.ndarray) -> pa.Array:
+    """The rows with each word replaced by the ids of its entry in `cut`; `of` has the entries of all words in order."""
+    sizes = np.array([len(c) for c in cut], dtype=np.int64)
+    values = np.fromiter((i for c in cut for i in c), dtype=np.int32, count=int(sizes.sum()))
+    ends = np.cumsum(sizes[of])
+    shift = (np.cumsum(sizes) - sizes)[of] - (ends - sizes[of])
+    ids = values[np.arange(len(shift) and ends[-1]) + np.repeat(shift, sizes[of])]
+    lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+    bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()), mask=rows.is_null())
+
+
 def _encode_in_tasks(df: DataFrame, kind: str, entries: list, constants: dict):
     shared = df.sparkSession.sparkContext.broadcast(_lookups(entries))
 
@@ -123,15 +181,7 @@ def _encode_in_tasks(df: DataFrame, kind: str, entries: list, constants: dict):
             flat = rows.flatten().dictionary_encode()
             # Each distinct word of a batch is cut up once; the rest is index arithmetic.
             cut = [segment(w) for w in flat.dictionary.to_pylist()]
-            sizes = np.array([len(c) for c in cut], dtype=np.int64)
-            values = np.fromiter((i for c in cut for i in c), dtype=np.int32, count=int(sizes.sum()))
-            of = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            ends = np.cumsum(sizes[of])
-            shift = (np.cumsum(sizes) - sizes)[of] - (ends - sizes[of])
-            ids = values[np.arange(len(shift) and ends[-1]) + np.repeat(shift, sizes[of])]
-            lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
-            bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths)])]
-            yield pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()), mask=rows.is_null())
+            yield _listed_ids(rows, cut, flat.indices.to_numpy(zero_copy_only=False).astype(np.int64))
 
     return ids_of
 

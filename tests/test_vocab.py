@@ -211,3 +211,36 @@ def test_dropout(spark):
 def test_draws_pass_over_the_right_share():
     numbers = [x for key in range(50) for _, x in zip(range(200), segment.draws_of(3, str(key), key))]
     assert abs(sum(x < 0.1 for x in numbers) / len(numbers) - 0.1) < 0.01 and len(set(numbers)) == len(numbers)
+
+
+@pytest.mark.parametrize("dropout", [0.0, 0.1, 0.6, 1.0])
+@pytest.mark.parametrize("unk", [None, "[UNK]"])
+def test_dropout_by_masks_is_dropout_word_by_word(spark, dropout, unk):
+    """Each row beside one word at a time with its own draws, short words, unknown characters and words of many draws among them;
+    words with the same first draws are cut up once."""
+    from corpusmill.operators import encode as E
+
+    texts = [(1, ["abab", "ab", "a", "", "☃", "a☃b", "abababababababababab"]), (2, []), (3, None), (None, ["ab"] * 300 + ["bab"]), (5, ["abab"] * 700)]
+    docs = spark.createDataFrame(texts, "doc_id long, tokens array<string>").coalesce(1)
+    rows = [(0, "[UNK]"), *enumerate(["a", "b", "ab", "ba", "abab", "bab"], 1)]
+    merges = [(0, "a", "b"), (1, "ab", "ab"), (2, "b", "a"), (3, "b", "ab")]
+    v = V.vocabulary(spark, "bpe", [(i, t, None, None) for i, t in rows], merges, unk_token=unk)
+    found = {r.doc_id: r.ids for r in E.encode_with_dropout(docs, "tokens", v, ["doc_id"], dropout).collect()}
+    pieces, ranks, unk_id = {t: (i, None) for i, t in rows}, {(a, b): n for n, a, b in merges}, 0 if unk else None
+    for key, words in texts:
+        name = "{}" if key is None else f'{{"doc_id":{key}}}'
+        wanted = None if words is None else [
+            i for place, word in enumerate(words)
+            for i in segment.byte_pairs(word, pieces, ranks, unk_id, dropout=dropout, draws=segment.draws_of(0, name, place))
+        ]
+        assert found[key] == wanted
+
+
+def test_dropout_cuts_a_word_once_for_the_same_draws():
+    from corpusmill.operators import encode as E
+
+    masks = E._draw_masks(0, "{}", list(range(2000)), 0.1)
+    for place in (0, 7, 1999):
+        bits = [x < 0.1 for _, x in zip(range(E.DRAWS_AT_ONCE), segment.draws_of(0, "{}", place))]
+        assert [bool(masks[place] >> (E.DRAWS_AT_ONCE - 1 - i) & 1) for i in range(E.DRAWS_AT_ONCE)] == bits
+    assert len(set(masks.tolist())) < 100
