@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import blake2b
+from operator import length_hint
 
 import numpy as np
 import pandas as pd
@@ -19,9 +20,11 @@ from corpusmill.session import materialize
 
 # A vocabulary sent to every task has at most this many table rows (tokens and merges).
 BROADCAST_ROWS = 400_000
-# Draws of a block (`draws_of`), and cuts that a task remembers before it begins anew.
+# Draws of a block (`draws_of`), and cuts that a task remembers.
 DRAWS_AT_ONCE = 8
-REMEMBERED = 500_000
+REMEMBERED = 200_000
+# Kinds that look up a word as it is and no part of it.
+WHOLE_WORDS = {"word_level"}
 
 
 def _entries(v: Vocabulary) -> DataFrame:
@@ -97,38 +100,53 @@ def encode_with_dropout(df: DataFrame, tokens: str, v: Vocabulary, key: list[str
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         pieces, ranks = shared.value
-        known: dict[tuple[str, int, int], list[int] | None] = {}
+        known: dict[tuple[str, int], list[int] | None] = {}
+        needed: dict[str, int] = {}
 
         def cut_by(word: str, draws: Iterator[float]) -> list[int]:
             return byte_pairs(word, pieces, ranks, **constants, dropout=dropout, draws=draws)
 
-        def cut_for(word: str, mask: int, n: int = DRAWS_AT_ONCE) -> list[int] | None:
-            """The cut if the first n draws are those of the mask, null if these do not decide it."""
-            if (word, mask, n) not in known:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                try:
-                    cut = cut_by(word, iter([-1.0 if mask >> (n - 1 - i) & 1 else 2.0 for i in range(n)]))
-                except StopIteration:
-                    cut = None
-                known[word, mask, n] = cut
-                return cut
-            return known[word, mask, n]
+        def cut_for(word: str, mask: int) -> list[int] | None:
+            """The cut if the first draws are those of the mask, null if these do not decide it."""
+            if (word, mask) in known:
+                return known[word, mask]
+            try:
+                cut = cut_by(word, iter([-1.0 if mask >> (DRAWS_AT_ONCE - 1 - i) & 1 else 2.0 for i in range(DRAWS_AT_ONCE)]))
+            except StopIteration:
+                cut = None
+            if len(known) < REMEMBERED:
+                known[word, mask] = cut
+            return cut
+
+        def draws_for(word: str) -> int:
+            """How many draws the word takes if none of them passes over a merge."""
+            if word in needed:
+                return needed[word]
+            most = 3 * len(word) + 1
+            left = iter([2.0] * most)
+            cut = cut_by(word, left)
+            taken = most - length_hint(left)
+            if len(needed) < REMEMBERED:
+                needed[word] = taken
+                if taken <= DRAWS_AT_ONCE:
+                    known[word, 0] = cut
+            return taken
 
         for names, rows in batches:
             flat = rows.flatten().dictionary_encode()
             words = flat.dictionary.to_pylist()
             code = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-            # A word that no merge fits needs no draws.
-            draws = np.array([cut_for(w, 0, 0) is None for w in words], bool)
+            draws = np.array([draws_for(w) for w in words], np.int64)
             mask = np.zeros(len(code), np.int64)
             lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
             ends = np.cumsum(lengths)
             texts = names.to_pylist()
             for name, begin, end in zip(texts, (ends - lengths).tolist(), ends.tolist(), strict=True):
-                places = np.flatnonzero(draws[code[begin:end]])
+                places = np.flatnonzero(draws[code[begin:end]] > 0)
                 if len(places):
                     mask[begin + places] = _draw_masks(seed, name, places.tolist(), dropout)
+            # Where none of the draws that a word then takes passes over a merge, the others do not matter.
+            mask[mask >> np.maximum(DRAWS_AT_ONCE - draws[code], 0) == 0] = 0
             # Words with the same draws are cut up once for a batch; a word whose first draws do not decide it, each time.
             both, of = np.unique(code * (1 << DRAWS_AT_ONCE) + mask, return_inverse=True)
             cut = [cut_for(words[b >> DRAWS_AT_ONCE], b & ((1 << DRAWS_AT_ONCE) - 1)) for b in both.tolist()]
@@ -189,13 +207,16 @@ def _encode_in_tasks(df: DataFrame, kind: str, entries: list, constants: dict):
 def _encode_by_join(df: DataFrame, tokens: str, kind: str, entries: DataFrame, constants: dict, key: list[str]) -> DataFrame:
     occurrences = df.select(*key, F.posexplode(tokens).alias("_pos", "_word"))
     words = materialize(occurrences.groupBy("_word").agg(F.count("*").alias("_n")), "words")
-    # All substrings up to the longest token, with how many words hold them.
-    n, longest = F.length("_word"), constants["longest"]
-    starts = words.select("_word", n.alias("_len"), F.explode(F.sequence(F.lit(1), n)).alias("_from")).where("_len > 0")
-    sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.col("_len") - F.col("_from") + 1))
-    parts = starts.select("_word", "_from", F.explode(sizes).alias("_size")).select(
-        "_word", F.substr("_word", F.col("_from"), F.col("_size")).alias("key")
-    ).distinct()
+    if kind in WHOLE_WORDS and not constants.get("continuing_subword_prefix") and not constants.get("end_of_word_suffix"):
+        parts = words.where(F.length("_word") > 0).select("_word", F.col("_word").alias("key"))
+    else:
+        # All substrings up to the longest token, with how many words hold them.
+        n, longest = F.length("_word"), constants["longest"]
+        starts = words.select("_word", n.alias("_len"), F.explode(F.sequence(F.lit(1), n)).alias("_from")).where("_len > 0")
+        sizes = F.sequence(F.lit(1), F.least(F.lit(longest), F.col("_len") - F.col("_from") + 1))
+        parts = starts.select("_word", "_from", F.explode(sizes).alias("_size")).select(
+            "_word", F.substr("_word", F.col("_from"), F.col("_size")).alias("key")
+        ).distinct()
     known = entries.groupBy("key").agg(F.collect_list(F.struct("token", "id", "score", "left", "right", "rank")).alias("_entry"))
     weighted = materialize(
         known.join(parts.groupBy("key").agg(F.count("*").alias("_weight")), "key").select("key", "_weight", "_entry"), "pieces"

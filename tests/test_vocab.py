@@ -244,3 +244,24 @@ def test_dropout_cuts_a_word_once_for_the_same_draws():
         bits = [x < 0.1 for _, x in zip(range(E.DRAWS_AT_ONCE), segment.draws_of(0, "{}", place))]
         assert [bool(masks[place] >> (E.DRAWS_AT_ONCE - 1 - i) & 1) for i in range(E.DRAWS_AT_ONCE)] == bits
     assert len(set(masks.tolist())) < 100
+
+
+def test_whole_words_are_joined_without_their_substrings(spark, monkeypatch):
+    """A word-level vocabulary is asked for whole words only, so a long word is one row of the join; ids are those of `encode`."""
+    from corpusmill.operators import encode as E
+
+    texts = [(1, ["ab", "a", "", "zz", "ab"]), (2, []), (3, None), (4, ["a" * 3000, "b" * 30])]
+    docs = spark.createDataFrame(texts, "doc_id long, tokens array<string>")
+    rows = [(i, t, 1, None) for i, t in enumerate(["[UNK]", "a", "ab", "a" * 40, "b" * 30])]
+    v = V.vocabulary(spark, "word_level", rows, unk_token="[UNK]")
+    written = {}
+
+    def recorded(df, purpose, **more):
+        written[purpose] = [tuple(r) for r in df.select("key", "_weight").collect()] if purpose == "pieces" else None
+        return materialize(df, purpose, **more)
+
+    materialize = E.materialize
+    monkeypatch.setattr(E, "materialize", recorded)
+    found = {r.doc_id: r.ids for r in E.encode_by_join(docs, "tokens", v, ["doc_id"]).collect()}
+    assert found == {r.doc_id: r.ids for r in E.encode(docs, "tokens", v).collect()} == {1: [2, 1, 0, 0, 2], 2: [], 3: None, 4: [0, 4]}
+    assert sorted(written["pieces"]) == [("a", 1), ("ab", 1), ("b" * 30, 1)]
