@@ -266,6 +266,18 @@ def test_fuzzy_passages_of_common_phrases_are_found(spark, holders, edits):
         assert len(found & {(10_000 * c + 4001, 10_000 * c + 4000) for c in range(cases)}) == cases
 
 
+def test_every_key_of_hot_seeds_pairs_its_documents(spark):
+    """Two documents that share one key of two hot seeds and nothing else are paired, whatever the key's number."""
+    rng = random.Random(18)
+    rows = []
+    for i in range(100):
+        a, b = rng.randrange(2**62), rng.randrange(2**62)
+        rows += [(2 * i + side, pos, seed) for side in (0, 1) for pos, seed in ((5 * side, a), (5 * side + 12 + i % 33, b))]
+    hot = spark.createDataFrame(rows, "doc_id bigint, pos int, seed bigint")
+    pairs = {tuple(r) for r in substring_dedup._linked_keys(substring_dedup._key_rows(hot, substring_dedup.FEW), substring_dedup.FEW).collect()}
+    assert pairs == {(2 * i + 1, 2 * i) for i in range(100)}
+
+
 def test_a_passage_of_very_many_documents_costs_its_size(spark):
     """Each is paired with few others, and all but the first lose it."""
     rng = random.Random(16)
