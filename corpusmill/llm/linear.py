@@ -16,6 +16,8 @@ from corpusmill.llm.words import binary_rows, slices
 # Features of texts: (feature ids below 2**BITS, text of each), one entry per occurrence.
 FeatureFn = Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]
 BITS = 20
+# Features take many times the memory of a text, and training adds its counterfactual forms, so slices are small here.
+TEXT_BYTES = 1 << 18
 
 FOLDS = 5
 
@@ -174,7 +176,7 @@ def train(texts: DataFrame, features: FeatureFn, binary: bool, counterfactuals:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most=TEXT_BYTES):
                 n, texts = part.num_rows, part.column(2)
                 owner, place, sides, forms = list(range(n)), [0] * n, [], []
                 if counterfactuals is not None:
@@ -242,7 +244,7 @@ def scorer(spark: SparkSession, features: FeatureFn, model: Model) -> Callable[[
     @F.arrow_udf("double")
     def scored(texts: pa.Array) -> pa.Array:
         whole = pa.RecordBatch.from_arrays([texts], names=["text"])
-        raw = [raw_scores(part.column(0), features, shared.value) for part in slices(whole)]
+        raw = [raw_scores(part.column(0), features, shared.value) for part in slices(whole, most=TEXT_BYTES)]
         return pa.array(1.0 / (1.0 + np.exp(-np.concatenate([np.zeros(0), *raw]))))
 
     return scored
@@ -255,7 +257,7 @@ def score(docs: DataFrame, features: FeatureFn, model: Model, key: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "_body"):
+            for part in slices(batch, "_body", TEXT_BYTES):
                 raw = raw_scores(part.column(1), features, shared.value)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(1.0 / (1.0 + np.exp(-raw)))], names=[key, "score"])
 

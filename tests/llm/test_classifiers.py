@@ -50,6 +50,23 @@ def test_the_sample_is_bounded_and_leaves_the_held_out_fold_out(spark, odd_docs,
     assert sorted(ids) == sorted(r.doc_id for r in linear.training_texts(odd_docs, labels, "quality", 4).collect())
 
 
+def test_features_are_worked_out_for_little_text_at_a_time(spark):
+    most = 1 << 20
+
+    def counted(texts):
+        size = sum(len(t) for t in texts.to_pylist())
+        if size > most:
+            raise ValueError(f"features of {size} bytes at once")
+        return toxicity.features(texts)
+
+    docs = spark.createDataFrame([(i, f"women and men w{i} " * 100) for i in range(2000)], "doc_id bigint, text string").coalesce(1)
+    given = spark.createDataFrame([(i, i % 2) for i in range(2000)], "doc_id bigint, toxic int")
+    texts = linear.training_texts(docs, given, "toxic", 2000).coalesce(1)
+    model = linear.train(texts, counted, True, toxicity.Swapper(toxicity.IDENTITY_TERMS), epochs=1, alpha=1.0, l1=1.0)
+    assert model.n_pairs == 2 * sum(not held(i) for i in range(2000))
+    assert linear.score(docs, counted, model).where("score >= 0").count() == 2000
+
+
 def test_updates_follow_the_closed_form():
     rng = np.random.default_rng(1)
     ids, gradients = np.array([3, 9]), rng.normal(size=(50, 2)) * 3
