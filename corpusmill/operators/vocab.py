@@ -7,11 +7,12 @@ Both are bounded by the `vocab_size` parameter; the word counts they are learned
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 from heapq import heapify, heappop, heappush
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,9 @@ MERGES_SCHEMA = "rank int, left string, right string"
 FIRST_PAIRS = 64
 MOST_PAIRS = 4096
 SEGMENTS_PER_ROUND = 50_000
+# Pairs that a task holds before it hands them over, and room for a code point beside another.
+PAIRS_HELD = 500_000
+_POINT_BITS = 21
 
 
 @dataclass
@@ -144,14 +148,73 @@ class Symbols:
         return F.when(n < 2, part(word, True, True)).otherwise(whole)
 
 
+def _points(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of all words, and the word of each."""
+    texts = words.to_pylist()
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    return flat, np.repeat(np.arange(len(texts)), sizes)
+
+
+def _as_pairs(points: np.ndarray) -> np.ndarray:
+    """Each code point with the next as one number."""
+    return points[:-1] << _POINT_BITS | points[1:]
+
+
+def symbol_pair_counts(words: DataFrame) -> DataFrame:
+    """`pair_counts` of words without nulls, summed up in each task before pairs become rows."""
+
+    def rows(keys: list[np.ndarray], totals: list[np.ndarray]) -> pa.RecordBatch:
+        pairs, total = _sums_by_key(np.concatenate(keys), np.concatenate(totals))
+        text = np.stack([pairs >> _POINT_BITS, pairs & (1 << _POINT_BITS) - 1], axis=1).astype(np.uint32).tobytes().decode("utf-32-le")
+        return pa.RecordBatch.from_arrays([pa.array([text[i:i + 2] for i in range(0, len(text), 2)], pa.string()), pa.array(total)], names=["pair", "cnt"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, totals, held = [], [], 0
+        for batch in batches:
+            flat, word = _points(batch.column(0))
+            same = np.flatnonzero(word[1:] == word[:-1])
+            key, total = _sums_by_key(_as_pairs(flat)[same], batch.column(1).fill_null(0).to_numpy()[word[same]])
+            keys.append(key)
+            totals.append(total)
+            held += len(key)
+            if held >= PAIRS_HELD:
+                yield rows(keys, totals)
+                keys, totals, held = [], [], 0
+        if held:
+            yield rows(keys, totals)
+
+    found = words.select("word", F.col("cnt").cast("bigint")).mapInArrow(run, "pair string, cnt bigint")
+    return found.groupBy("pair").agg(F.sum("cnt").alias("cnt"))
+
+
+def _sums_by_key(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    distinct, of = np.unique(keys, return_inverse=True)
+    if len(of) and np.bincount(of, weights=np.abs(values.astype(float))).max() >= 2**63:
+        raise OverflowError("counts of a pair beyond 64 bits")
+    total = np.zeros(len(distinct), np.int64)
+    np.add.at(total, of, values)
+    return distinct, total
+
+
 def cut_words(words: DataFrame, heavy: Sequence[str]) -> DataFrame:
-    """(word, cnt): a NUL between all symbols that form none of the heavy pairs."""
-    symbols = F.split("word", "")
-    glued = F.zip_with(
-        symbols, adjacent_pairs(symbols),
-        lambda symbol, pair: F.when(F.coalesce(pair.isin(list(heavy)), F.lit(False)), symbol).otherwise(F.concat(symbol, F.lit("\0"))),
-    )
-    return words.select(F.array_join(glued, "").alias("word"), "cnt")
+    """(word, cnt): a NUL between all symbols that form none of the heavy pairs, and at the end."""
+    known = np.sort(np.array([ord(a) << _POINT_BITS | ord(b) for a, b in heavy], np.int64))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flat, word = _points(batch.column(0))
+            apart = np.ones(len(flat), bool)
+            apart[:-1] = (word[1:] != word[:-1]) | ~np.isin(_as_pairs(flat), known)
+            ends = np.arange(1, len(flat) + 1) + np.cumsum(apart)
+            cut = np.zeros(len(flat) + np.count_nonzero(apart), np.uint32)
+            cut[ends - 1 - apart] = flat
+            text = cut.tobytes().decode("utf-32-le")
+            bounds = np.concatenate([[0], ends])[np.searchsorted(word, np.arange(batch.num_rows + 1))].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array([text[a:b] for a, b in zip(bounds, bounds[1:])], pa.string()), batch.column(1)], names=["word", "cnt"])
+
+    chosen = words.select("word", "cnt")
+    return chosen.mapInArrow(run, chosen.schema)
 
 
 def segments(cut: DataFrame) -> DataFrame:
@@ -277,7 +340,7 @@ def train_bpe(
     merges: list[tuple[str, str]] = []
     n_pairs = FIRST_PAIRS
     while len(symbols.names) < room_for:
-        ranking = pair_counts(words).where(F.col("cnt") >= least).orderBy(F.desc("cnt"), "pair")
+        ranking = symbol_pair_counts(words).where(F.col("cnt") >= least).orderBy(F.desc("cnt"), "pair")
         ranked = ranking.limit(n_pairs + 1).collect()
         if not ranked:
             break

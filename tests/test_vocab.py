@@ -143,6 +143,21 @@ def test_encoding_equals_library(spark, documents, name):
         assert not wrong, (len(wrong), wrong[0], got[wrong[0]][:20], wanted[wrong[0]][:20])
 
 
+def test_symbol_pairs_are_summed_in_tasks_and_words_cut_between_others(spark, monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abc\u00e9\U0001f600\ue000") for _ in range(rng.randrange(2, 9))) for _ in range(500)]
+    table = spark.createDataFrame([(w, rng.randrange(1, 2**52)) for w in dict.fromkeys(words)], "word string, cnt bigint").repartition(2)
+    expected = {(r.pair, r.cnt) for r in V.pair_counts(table).collect()}
+    monkeypatch.setattr(V, "PAIRS_HELD", 10)
+    counted = V.symbol_pair_counts(table)
+    assert {(r.pair, r.cnt) for r in counted.collect()} == expected
+    assert "Generate" not in counted._jdf.queryExecution().toString()
+    heavy = ["ab", "b\U0001f600", "cc"]
+    cut = {(r.word, r.cnt) for r in V.cut_words(table, heavy).collect()}
+    assert cut == {("".join(c if w[i:i + 2] in heavy else c + "\0" for i, c in enumerate(w)), n) for w, n in table.collect()}
+    assert V.symbol_pair_counts(table.limit(0)).collect() == V.cut_words(table.limit(0), heavy).collect() == []
+
+
 def test_wordpiece_learning(spark):
     counts = counts_of(spark, MERGE_WORDS)
     v = V.train_wordpiece(counts, vocab_size=40)
