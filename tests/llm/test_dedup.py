@@ -3,12 +3,14 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from corpusmill.llm import jaccard_join, substring_dedup
 from corpusmill.llm.components import components
+from corpusmill.llm.words import find_words, run_hashes
 
 from .conftest import prose
 
@@ -278,6 +280,53 @@ def test_every_key_of_hot_seeds_pairs_its_documents(spark):
     assert pairs == {(2 * i + 1, 2 * i) for i in range(100)}
 
 
+@pytest.mark.parametrize("words", [50, 53, 70])
+def test_no_exact_passage_is_lost_to_parts_that_many_have(spark, words):
+    """C and D share a passage of which earlier documents have every run of 49 words, so all its seeds and keys are hot."""
+    rng = random.Random(19)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    rows, must = [], set()
+    for case in range(6):
+        passage, place = filler(words), 10_000 * case
+        for low in range(words - 48):
+            rows += [(place + 100 * low + i, " ".join(filler(30) + passage[low:low + 49] + filler(30))) for i in range(9)]
+        rows += [(place + 9000 + side, " ".join(filler(30) + passage + filler(30))) for side in (0, 1)]
+        must.add((place + 9001, 30, 30 + words, place + 9000, 30, 30 + words, 0))
+    found = {tuple(r) for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert must <= found
+
+
+def test_runs_without_two_rare_seeds_are_keys(spark):
+    """Whatever seeds are hot, a run is a key or two of its seeds are rare; the same run is judged alike in both texts."""
+    rng = random.Random(20)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    for share in (0.0, 0.5, 0.8, 0.95, 1.0):
+        passage = filler(400)
+        texts = pa.array([" ".join(filler(17) + passage + filler(9)), " ".join(filler(60) + passage)], pa.large_string())
+        words = find_words(texts)
+        seeds, owner, pos = substring_dedup.minimizers(words)
+        rare = {h for h in set(seeds.tolist()) if rng.random() >= share}
+        is_rare = np.array([h in rare for h in seeds.tolist()])
+        at = words.bounds[owner] + pos
+        mark = np.zeros(len(words.start), bool)
+        mark[at[~is_rare]] = True
+        hashes, text = substring_dedup.whole_runs(words, mark)
+        both = set(hashes[text == 0].tolist()) & set(hashes[text == 1].tolist())
+        for low in range(351):
+            [run] = run_hashes(words.hashes, words.bounds[:1] + 17 + low, 50).tolist()
+            inside = is_rare & (at >= 17 + low) & (at + substring_dedup.K <= 17 + low + 50) & (owner == 0)
+            assert run in both or inside.sum() >= 2
+        assert share < 1 or len(both) == 351
+
+
+def test_a_pair_of_many_keys_is_one_row(spark):
+    rng = random.Random(21)
+    rows = [(doc, pos, seed) for pos, seed in ((4 * i, rng.randrange(2**62)) for i in range(3000)) for doc in range(3)]
+    hot = spark.createDataFrame(rows, "doc_id bigint, pos int, seed bigint").coalesce(1)
+    linked = substring_dedup._linked_keys(substring_dedup._key_rows(hot, substring_dedup.FEW).coalesce(1), substring_dedup.FEW)
+    assert linked.count() <= 3 * linked.rdd.getNumPartitions()
+
+
 def test_a_passage_of_very_many_documents_costs_its_size(spark):
     """Each is paired with few others, and all but the first lose it."""
     rng = random.Random(16)
