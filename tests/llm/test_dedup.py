@@ -296,6 +296,55 @@ def test_no_exact_passage_is_lost_to_parts_that_many_have(spark, words):
     assert must <= found
 
 
+def test_edited_passages_are_found_where_earlier_documents_have_only_their_keys(spark):
+    """C and D share 60 words but for every third of the last 20. All earlier documents have the first 40, which make all common keys and no passage."""
+    rng = random.Random(22)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    rows, must = [], set()
+    for case in range(4):
+        passage, place = filler(60), 1000 * case
+        rows += [(place + i, " ".join(filler(30) + passage[:40] + filler(30))) for i in range(60)]
+        edited = list(passage)
+        edited[40:60:3] = filler(7)
+        rows += [(place + 900 + side, " ".join(filler(30) + words + filler(30))) for side, words in enumerate((passage, edited))]
+        must.add((place + 901, 30, 88, place + 900, 30, 88, 6))
+    found = {tuple(r) for r in substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert must <= found
+
+
+@pytest.mark.parametrize("at_once", [1 << 17, 40])
+def test_open_keys_meet_all_earlier_documents_in_turns(spark, monkeypatch, at_once):
+    """An open document meets the first ones of its key, and goes on with those behind them until it met all; a covered one is met only."""
+    monkeypatch.setattr(substring_dedup, "_ROWS_AT_ONCE", at_once)
+    rng = random.Random(23)
+    rows, must = [], set()
+    for place, size in enumerate([1, 2, 3, 9, 10, 50, 200]):
+        docs = sorted(rng.sample(range(1000), size))
+        open_ = [rng.random() < 0.3 for _ in docs]
+        rows += [(place, d, k if o else -1, k + 20 if o else -1) for d, o in zip(docs, open_) for k in ([0, 50] if o else [0])]
+        must |= {(d, e) for i, (d, o) in enumerate(zip(docs, open_)) if o for e in docs[:i]}
+    left, leaders, met = spark.createDataFrame(rows, substring_dedup._OPEN_ROWS), 3, set()
+    while not left.isEmpty():
+        linked = substring_dedup._next_pairs(left, leaders).collect()
+        pairs = {(r.doc_id, r.other_id) for r in linked if r.other_id is not None}
+        assert pairs <= must and (leaders > 3 or len(pairs) < len(must))
+        met |= pairs
+        left = spark.createDataFrame([(r.place, r.doc_id, r.start, r.end) for r in linked if r.place is not None], substring_dedup._OPEN_ROWS)
+        leaders *= 4
+    assert met == must
+
+
+def test_covered_keys_are_told_from_open_ones(spark):
+    """Two seeds in one passage, in two that do not hold both, and beside one."""
+    hot = spark.createDataFrame([(1, 0, 5), (1, 20, 6), (2, 0, 5), (2, 20, 6), (3, 10, 5), (3, 30, 6), (4, 10, 5), (4, 30, 6)], "doc_id bigint, pos int, seed bigint")
+    found = spark.createDataFrame([(1, 0, 24), (2, 0, 23), (2, 1, 60), (3, 0, 25), (3, 9, 34), (5, 0, 90)], "doc_id bigint, start bigint, end bigint")
+    rows = substring_dedup._open_keys(hot, found)
+    assert sorted((r.doc_id, r.start, r.end) for r in rows.collect()) == [(1, -1, -1), (2, 0, 24), (3, -1, -1), (4, 10, 34)]
+    more = spark.createDataFrame([(4, 10, 40)], "doc_id bigint, start bigint, end bigint")
+    assert sorted((r.doc_id, r.start) for r in substring_dedup._still_open(rows, more).collect()) == [(1, -1), (2, 0), (3, -1), (4, -1)]
+    assert substring_dedup._still_open(rows, more.unionByName(found.selectExpr("doc_id", "start", "end + 1 AS end"))).collect() == []
+
+
 def test_runs_without_two_rare_seeds_are_keys(spark):
     """Whatever seeds are hot, a run is a key or two of its seeds are rare; the same run is judged alike in both texts."""
     rng = random.Random(20)
