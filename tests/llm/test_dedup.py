@@ -345,6 +345,30 @@ def test_covered_keys_are_told_from_open_ones(spark):
     assert substring_dedup._still_open(rows, more.unionByName(found.selectExpr("doc_id", "start", "end + 1 AS end"))).collect() == []
 
 
+def test_parts_bound_what_is_moved_at_once(spark, monkeypatch):
+    """The same pairs and passages in parts, each of which moves its share of the texts to pairs and of the keys."""
+    rng = random.Random(24)
+    filler = lambda n: [f"f{rng.randrange(10**9)}" for _ in range(n)]
+    passages = [filler(60) for _ in range(40)]
+    rows = [(i, " ".join(filler(5) + passages[i % 40][:rng.randrange(52, 61)] + filler(5))) for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    moved, dealt = [], []
+    inner, link = substring_dedup._passage_rows, substring_dedup._linked_keys
+    monkeypatch.setattr(substring_dedup, "_passage_rows", lambda pairs, *rest: moved.append(pairs) or inner(pairs, *rest))
+    monkeypatch.setattr(substring_dedup, "_linked_keys", lambda rows, few: dealt.append(rows) or link(rows, few))
+    monkeypatch.setattr(substring_dedup, "discard", lambda table: None)
+    found = []
+    for part_of_keys in (10.0**9, 0.5):
+        monkeypatch.setattr(substring_dedup, "PART_OF_KEYS", part_of_keys)
+        monkeypatch.setattr(substring_dedup, "PART_OF_TEXTS", part_of_keys)
+        moved.clear(), dealt.clear()
+        found.append(sorted(map(tuple, substring_dedup.repeated_passages(docs).collect())))
+    assert found[0] == found[1] and len({r[0] for r in found[0]}) == 960
+    assert len(moved) > 1 and max(p.count() for p in moved) <= 0.75 * 1000
+    sizes = [r.count() for r in dealt]
+    assert len(sizes) > 1 and max(sizes) <= 2 * sum(sizes) / len(sizes)
+
+
 def test_runs_without_two_rare_seeds_are_keys(spark):
     """Whatever seeds are hot, a run is a key or two of its seeds are rare; the same run is judged alike in both texts."""
     rng = random.Random(20)
