@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.operators import spelling as S
 from corpusmill.operators.edit_walk import Trie, walk
+from corpusmill.plans import corpus as P
 from corpusmill.plans.corpus import spell_correct
 
 N = S.CORPUS_WORDS
@@ -220,3 +221,25 @@ def test_texts_are_worked_out_once(spark, tables):
     got = {r.i: r.t for r in spell_correct(df.withColumn("t", costly("t")), "t", *tables).collect()}
     assert got == {0: "the cat", 1: "the cat", 2: "the cat", 3: None}
     assert seen.value == 4
+
+
+def test_tables_go_when_they_are_not_read_any_more(spark, tables, monkeypatch):
+    """Each word travels with the number of its text, and of what was written in between only the last table is left."""
+    keys, written = [], {}
+    compound, write = P.spell_compound, S.materialize
+    monkeypatch.setattr(P, "spell_compound", lambda df, text, key, *rest, **params: keys.append(df.schema[key[0]].dataType.typeName()) or compound(df, text, key, *rest, **params))
+
+    def kept(df, purpose):
+        table = write(df, purpose)
+        written.setdefault(purpose, []).append((table, table.count()))
+        return table
+
+    monkeypatch.setattr(S, "materialize", kept)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(["the catsat", "teh cat", "thec at", None])], "i int, t string")
+    assert spell_correct(df, "t", *tables).count() == 4
+    assert keys == ["long"]
+    own = [t for name, made in written.items() if name not in ("asked", "sizes", "marked") for t in made]
+    assert len(own) == 13 and sum(n for _, n in own) > 13
+    assert all(t.isEmpty() for t, _ in own)
+    [(marked, n)] = written["marked"]
+    assert marked.count() == n == 6
